@@ -1,0 +1,22 @@
+"""Sinks: table writes and versions, registration, views, inventory, run log."""
+
+from cardmarts.sinks.runlog import log_step, new_run_id, read_log, run_context
+from cardmarts.sinks.tables import (
+    Written,
+    compact_table,
+    create_schema,
+    create_serving_views,
+    current_path,
+    layer_inventory,
+    publish_table,
+    read_table,
+    register_table,
+    top_n,
+    write_table,
+)
+
+__all__ = [
+    "Written", "compact_table", "create_schema", "create_serving_views", "current_path",
+    "layer_inventory", "log_step", "new_run_id", "publish_table", "read_log", "read_table",
+    "register_table", "run_context", "top_n", "write_table",
+]

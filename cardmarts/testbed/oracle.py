@@ -329,4 +329,40 @@ FROM raw_users"""
 FROM ({_fact_totals_by('merchant_id')}) g"""
     out["json_dict_explode"] = """SELECT event_id, k AS prop_key, props ->> k AS prop_value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) e"""
+    out.update(source_and_sink_sql())
+    return out
+
+
+def _bronze_consts(entity: str) -> str:
+    return f"'{RUN_DATE}' AS _ingestion_date, '{entity}_{RUN_DATE}' AS _batch_id"
+
+
+def source_and_sink_sql() -> dict[str, str]:
+    """Oracles for the source, sink and end-to-end queries."""
+    out: dict[str, str] = {}
+    # CSV has no empty-versus-null distinction: an empty field scans as null
+    csv_cols = ", ".join(f"nullif({c}, '') AS {c}" for c in ENTITY_COLUMNS["transactions"])
+    out["bronze_csv_scan"] = _raw("raw_transactions") + (
+        f"SELECT {csv_cols}, {_bronze_consts('transactions')} FROM raw_transactions")
+    for key in ("bronze_json_dict_nested", "bronze_json_dict_nested_whole"):
+        out[key] = _raw("raw_fraud_labels") + (
+            f"SELECT *, {_bronze_consts('fraud_labels')} FROM raw_fraud_labels")
+    out["bronze_json_dict_flat"] = _raw("raw_mcc_codes") + (
+        f"SELECT *, {_bronze_consts('mcc_codes')} FROM raw_mcc_codes")
+    out["landing_partition_scan"] = _raw("raw_users") + f"SELECT *, {_bronze_consts('users')} FROM raw_users"
+    out["write_read_roundtrip"] = silver_sql("dim_card")
+    out["fact_partition_prune"] = f"SELECT * FROM ({silver_sql('fact_transactions')}) f WHERE txn_year = 1997"
+    out["compact_table"] = silver_sql("fact_transactions")
+    out["row_count_from_write"] = _with("fact_transactions") + (
+        "SELECT 'fact_transactions' AS table_name, count(*) AS row_count FROM silver_fact_transactions")
+    out["layer_inventory"] = _raw(*RAW) + "\nUNION ALL\n".join(
+        f"SELECT '{n[4:]}' AS table_name, count(*) AS row_count FROM {n}" for n in RAW)
+    out["serving_view_top_n"] = (
+        f"SELECT * FROM ({gold_sql('monthly_transaction_trends')}) g "
+        "ORDER BY total_transactions DESC, txn_year ASC NULLS LAST, txn_month ASC NULLS LAST LIMIT 10")
+    out["run_log_append"] = _with() + """SELECT 'silver' AS pipeline_layer, 'dim_mcc' AS table_name,
+  'build silver.dim_mcc' AS step_name, s.status, CASE s.status WHEN 'STARTED' THEN 0 ELSE n.c END
+  AS row_count, 'silver_build' AS job_name, 'overwrite' AS load_type, NULL::varchar AS error_message
+FROM (VALUES ('STARTED'), ('SUCCESS')) s(status), (SELECT count(*) AS c FROM latest_mcc_codes) n"""
+    out["pipeline_end_to_end"] = gold_sql("customer_risk_profile")
     return out

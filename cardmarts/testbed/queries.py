@@ -8,6 +8,7 @@ DuckDB's answer can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,21 @@ from cardmarts.operators.aggregates import fraud_totals
 from cardmarts.operators.dedup import keep_latest
 from cardmarts.plans import gold as G
 from cardmarts.plans import silver as S
+from cardmarts.plans.run import Lake, build_silver_table, run_all, run_layer
+from cardmarts.session import shared_dir
+from cardmarts.sinks.runlog import read_log
+from cardmarts.sinks.tables import (
+    Written,
+    compact_table,
+    create_serving_views,
+    publish_table,
+    read_table,
+    top_n,
+)
+from cardmarts.sinks.tables import layer_inventory as inventory
+from cardmarts.sources.landing import read_landing
 from cardmarts.testbed import entities as E
+from cardmarts.testbed.landing import JSON_FILE_GLOB, new_landing_root, write_landing
 
 RUN_DATE = E.RUN_DATE
 _UNCHECKED = ("customer_sk", "card_sk", "mcc_sk", "transaction_sk", "_silver_loaded_at",
@@ -164,6 +179,133 @@ def json_dict_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .alias("prop_key", "prop_value"))
 
 
+# -- sources ------------------------------------------------------------------
+
+NEXT_DATE = "2024-01-02"
+
+
+def _landing(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+    root = new_landing_root(spark)
+    for e in entities:
+        write_landing(spark, sf_dir, root, e, RUN_DATE)
+    return root
+
+
+def bronze_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions written as CSV landing files, scanned back with the fixed schema."""
+    root = _landing(spark, sf_dir, "transactions")
+    return checked(read_landing(spark, root, "transactions", RUN_DATE, "csv"))
+
+
+def bronze_json_dict_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels written as ``{"target": {...}}`` files, read in comma-separated splits."""
+    root = _landing(spark, sf_dir, "fraud_labels")
+    return checked(read_landing(spark, root, "fraud_labels", RUN_DATE, "json", chunked=True,
+                                file_glob=JSON_FILE_GLOB))
+
+
+def bronze_json_dict_nested_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same label files read whole and parsed with ``from_json``."""
+    root = _landing(spark, sf_dir, "fraud_labels")
+    return checked(read_landing(spark, root, "fraud_labels", RUN_DATE, "json", chunked=False,
+                                file_glob=JSON_FILE_GLOB))
+
+
+def bronze_json_dict_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchant codes written as one flat ``{code: description}`` file."""
+    root = _landing(spark, sf_dir, "mcc_codes")
+    return checked(read_landing(spark, root, "mcc_codes", RUN_DATE, "json", file_glob=JSON_FILE_GLOB))
+
+
+def landing_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two delivery dates of users; reading one date must not see the other."""
+    root = _landing(spark, sf_dir, "users")
+    later = E.raw_users(spark, sf_dir).filter(F.col("id").isNotNull())
+    write_landing(spark, sf_dir, root, "users", NEXT_DATE, df=later)
+    return checked(read_landing(spark, root, "users", RUN_DATE))
+
+
+# -- sinks and runs ---------------------------------------------------------------
+
+def _lake(spark: SparkSession) -> Lake:
+    return Lake(shared_dir(spark, "cardmarts-testbed", f"lake-{uuid.uuid4().hex[:12]}"))
+
+
+def write_read_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_card published as parquet and read back through its live-copy pointer."""
+    lake = _lake(spark)
+    root = lake.table_root("silver", "dim_card")
+    publish_table(spark, silver_tables(spark, sf_dir)["dim_card"], root)
+    return checked(read_table(spark, root))
+
+
+def _published_fact(spark: SparkSession, sf_dir: str) -> tuple[str, Written]:
+    lake = _lake(spark)
+    root = lake.table_root("silver", "fact_transactions")
+    fact = silver_tables(spark, sf_dir)["fact_transactions"]
+    return root, publish_table(spark, fact, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"])
+
+
+def fact_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month-partitioned fact read back with a year filter (pruned to that year's folders)."""
+    root, _ = _published_fact(spark, sf_dir)
+    return checked(read_table(spark, root).filter(F.col("txn_year") == 1997))
+
+
+def compact_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitioned fact compacted into a new version; the rows must not change."""
+    root, _ = _published_fact(spark, sf_dir)
+    compact_table(spark, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"])
+    return checked(read_table(spark, root))
+
+
+def row_count_from_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the fact as observed during its write (no second count job)."""
+    _, w = _published_fact(spark, sf_dir)
+    return spark.createDataFrame([("fact_transactions", w.rows)], "table_name string, row_count long")
+
+
+def layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze layer ingested from landing files for all five entities, then counted."""
+    lake = _lake(spark)
+    root = _landing(spark, sf_dir, *E.RAW_ENTITIES)
+    written = run_layer(spark, lake, "bronze", RUN_DATE, landing_root=root, log=False,
+                        file_glob=JSON_FILE_GLOB)
+    return inventory(spark, {t: lake.table_root("bronze", t) for t in written})
+
+
+def serving_view_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly trends published, served as a view, and the 10 busiest months taken."""
+    lake = _lake(spark)
+    s = silver_tables(spark, sf_dir)
+    root = lake.table_root("gold", "monthly_transaction_trends")
+    publish_table(spark, G.build_monthly_transaction_trends(s["fact_transactions"], RUN_DATE), root)
+    create_serving_views(spark, {"monthly_transaction_trends": root})
+    view = spark.table("vw_monthly_transaction_trends")
+    return checked(top_n(view, 10, F.desc("total_transactions"), F.asc_nulls_last("txn_year"),
+                         F.asc_nulls_last("txn_month")))
+
+
+def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of one logged silver build: STARTED with 0 rows, then SUCCESS with the count."""
+    lake = _lake(spark)
+    root = _landing(spark, sf_dir, "mcc_codes")
+    run_layer(spark, lake, "bronze", RUN_DATE, landing_root=root, tables=["mcc_codes"], log=False,
+              file_glob=JSON_FILE_GLOB)
+    build_silver_table(spark, lake, "dim_mcc", RUN_DATE)
+    return read_log(spark, lake.log_path).select(
+        "pipeline_layer", "table_name", "step_name", "status", "row_count", "job_name", "load_type",
+        "error_message")
+
+
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers from landing files: bronze, silver, gold; the risk profile read back."""
+    lake = _lake(spark)
+    root = _landing(spark, sf_dir, *E.RAW_ENTITIES)
+    run_all(spark, lake, root, RUN_DATE, file_glob=JSON_FILE_GLOB)
+    return checked(lake.read(spark, "gold", "customer_risk_profile"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"silver_{n}": _silver(n) for n in S.SILVER_TABLES},
     **{f"gold_{n}": _gold(n) for n in G.GOLD_TABLES},
@@ -183,4 +325,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_tier": risk_tier_by_customer,
     "fraud_rate": fraud_rate,
     "json_dict_explode": json_dict_explode,
+    "bronze_csv_scan": bronze_csv_scan,
+    "bronze_json_dict_nested": bronze_json_dict_nested,
+    "bronze_json_dict_nested_whole": bronze_json_dict_nested_whole,
+    "bronze_json_dict_flat": bronze_json_dict_flat,
+    "landing_partition_scan": landing_partition_scan,
+    "write_read_roundtrip": write_read_roundtrip,
+    "fact_partition_prune": fact_partition_prune,
+    "compact_table": compact_fact,
+    "row_count_from_write": row_count_from_write,
+    "layer_inventory": layer_inventory,
+    "serving_view_top_n": serving_view_top_n,
+    "run_log_append": run_log_append,
+    "pipeline_end_to_end": pipeline_end_to_end,
 }
