@@ -48,7 +48,7 @@ def _json_dictionary_files(df: DataFrame, key: str, value: str, root: str | None
 
 def write_landing(
     spark: SparkSession, sf_dir: str, landing_root: str, entity: str,
-    ingestion_date: str = RUN_DATE, df: DataFrame | None = None, pairs_per_file: int = 200_000,
+    ingestion_date: str = RUN_DATE, df: DataFrame | None = None, pairs_per_file: int = 50_000,
 ) -> str:
     """Write one entity's raw rows as landing files; returns the date folder."""
     path = landing_path(landing_root, entity, ingestion_date)
