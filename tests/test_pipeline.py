@@ -1,0 +1,114 @@
+"""Layer runs, versioned tables, run log, views and partition pruning."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardmarts.plans.run import Lake, build_silver_table, register_layers, run_all, run_layer
+from cardmarts.session import shared_dir
+from cardmarts.sinks import (
+    compact_table,
+    create_serving_views,
+    layer_inventory,
+    read_log,
+    read_table,
+    run_context,
+    top_n,
+)
+from cardmarts.testbed.entities import RUN_DATE
+from cardmarts.testbed.landing import JSON_FILE_GLOB, new_landing_root, write_all_landing
+
+
+@pytest.fixture(scope="module")
+def run(spark, sf_dir):
+    landing = new_landing_root(spark)
+    write_all_landing(spark, sf_dir, landing)
+    lake = Lake(shared_dir(spark, "tests", "lake-" + uuid.uuid4().hex[:10]))
+    written = run_all(spark, lake, landing, RUN_DATE, file_glob=JSON_FILE_GLOB)
+    return lake, landing, written
+
+
+def test_all_layers_written(run):
+    _, _, written = run
+    assert set(written) == {"bronze", "silver", "gold"}
+    assert len(written["bronze"]) == 5 and len(written["silver"]) == 4 and len(written["gold"]) == 4
+    assert all(w.rows > 0 for layer in written.values() for w in layer.values())
+
+
+def test_observed_count_equals_count(spark, run):
+    lake, _, written = run
+    for layer, tables in written.items():
+        for t, w in tables.items():
+            assert lake.read(spark, layer, t).count() == w.rows, (layer, t)
+
+
+def test_run_log_rows(spark, run):
+    lake, _, written = run
+    log = read_log(spark, lake.log_path)
+    assert log.filter(F.col("status") == "STARTED").count() == 13
+    ok = {(r.pipeline_layer, r.table_name): r.row_count
+          for r in log.filter(F.col("status") == "SUCCESS").collect()}
+    assert ok[("silver", "fact_transactions")] == written["silver"]["fact_transactions"].rows
+    assert log.select("triggered_by").distinct().first()[0] == "MANUAL"
+
+
+def test_rerun_same_date_same_rows(spark, run):
+    lake, _, written = run
+    before = lake.read(spark, "silver", "dim_card").drop("card_sk", "_silver_loaded_at")
+    again = build_silver_table(spark, lake, "dim_card", RUN_DATE)
+    after = lake.read(spark, "silver", "dim_card").drop("card_sk", "_silver_loaded_at")
+    assert again.path != written["silver"]["dim_card"].path
+    assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
+
+
+def test_partition_filter_prunes(spark, run):
+    lake, _, _ = run
+    q = lake.read(spark, "silver", "fact_transactions").filter(F.col("txn_year") == 1997)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(txn_year" in plan and "= 1997)" in plan
+    assert q.count() == q.filter(F.year("transaction_datetime") == 1997).count()
+
+
+def test_compaction_keeps_rows(spark, run):
+    lake, _, _ = run
+    root = lake.table_root("gold", "customer_risk_profile")
+    before = read_table(spark, root).drop("_gold_loaded_at")
+    w = compact_table(spark, root)
+    after = read_table(spark, root).drop("_gold_loaded_at")
+    assert w.rows == before.count()
+    assert before.exceptAll(after).count() == 0
+
+
+def test_views_top_n_and_inventory(spark, run):
+    lake, _, written = run
+    roots = {t: lake.table_root("gold", t) for t in written["gold"]}
+    names = create_serving_views(spark, roots)
+    assert "vw_fraud_summary_by_state" in names
+    top = top_n(spark.table("vw_fraud_summary_by_state"), 3, F.desc("total_transactions"), "merchant_state")
+    assert top.count() == 3
+    with pytest.raises(ValueError):
+        top_n(spark.table("vw_fraud_summary_by_state"), 3)
+    inv = {r.table_name: r.row_count for r in layer_inventory(spark, roots).collect()}
+    assert inv == {t: w.rows for t, w in written["gold"].items()}
+
+
+def test_register_layers(spark, run):
+    lake, _, written = run
+    names = register_layers(spark, lake, written)
+    assert "gold.customer_risk_profile" in names
+    assert spark.table("gold.fraud_summary_by_mcc").count() == written["gold"]["fraud_summary_by_mcc"].rows
+
+
+def test_unknown_tables_rejected(spark, run):
+    lake, landing, _ = run
+    with pytest.raises(ValueError):
+        build_silver_table(spark, lake, "dim_merchant", RUN_DATE)
+    with pytest.raises(ValueError):
+        run_layer(spark, lake, "platinum", RUN_DATE)
+
+
+def test_run_context(spark):
+    assert run_context(spark)["triggered_by"] == "MANUAL"
+    ctx = run_context(spark, job_id="42", job_run_id="7")
+    assert ctx == {"job_id": "42", "job_run_id": "7", "triggered_by": "SCHEDULER"}
