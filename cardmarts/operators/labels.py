@@ -1,28 +1,109 @@
-"""Left join of transactions to fraud labels (one shuffle on transaction_id)."""
+"""Left join of transactions to fraud labels on transaction_id.
+
+Labels are joined as they come: a repeated label repeats the transaction row
+(the reference behaviour). A transaction id that repeats very often would
+send all its label rows, and all its output rows, through one task of a
+sort-merge join; AQE cannot split it here because the transaction side
+arrives from the dedup window rather than straight from a shuffle. So the
+join sets such hot ids apart:
+
+* label rows are counted per id in one small job over the labels; ids with
+  more than ``hot_key_rows`` rows are hot. There are at most
+  ``rows(labels) / hot_key_rows`` of them, which bounds both the list that
+  reaches the driver and its broadcast. With no hot id (the usual case) the
+  join is a single sort-merge left join and nothing below applies;
+* hot ids: their raw transaction rows are picked out *before* the dedup (a
+  map-side broadcast filter), deduplicated on their own, broadcast (one row
+  per hot id), and the hot label rows stream past them in parallel;
+* all other ids: the usual sort-merge left join, with hot label rows removed
+  first so they never pile up in one reducer. The transaction side keeps its
+  partitioning from the dedup, so only the labels are shuffled.
+
+Transaction rows with a null id cannot match; ``split_null_keys`` routes them
+around the join.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardmarts.functions.cleaning import label_to_boolean
 from cardmarts.operators.dedup import keep_latest
 
+KEY = "transaction_id"
+HOT_KEY_ROWS = 1_000_000
+LABEL_COLUMNS = ("is_fraud", "_bronze_batch_id_fraud_labels")
 
-def attach_fraud_labels(txn: DataFrame, labels: DataFrame, dedup_labels: bool = False) -> DataFrame:
-    """Add ``is_fraud`` and ``_bronze_batch_id_fraud_labels`` to ``txn`` by transaction_id.
 
-    A transaction with no label keeps a null ``is_fraud`` (unknown, not false).
-    Labels are joined as they come, so a repeated label repeats the
-    transaction row; ``dedup_labels=True`` keeps the latest label per id first.
-    The join key is the deduplicated transaction id, so no key is hot on the
-    transaction side; AQE splits a label key that repeats heavily.
-    """
-    if dedup_labels:
-        labels = keep_latest(labels, "transaction_id")
-    slim = labels.select(
-        F.col("transaction_id"),
+def fraud_label_columns(labels: DataFrame) -> DataFrame:
+    """``(transaction_id, is_fraud, _bronze_batch_id_fraud_labels)`` from bronze labels."""
+    return labels.select(
+        F.col(KEY),
         label_to_boolean("is_fraud_label").alias("is_fraud"),
         F.col("_batch_id").alias("_bronze_batch_id_fraud_labels"),
-    )
-    return txn.join(slim, on="transaction_id", how="left")
+    ).filter(F.col(KEY).isNotNull())
+
+
+def hot_label_ids(slim: DataFrame, hot_key_rows: int) -> list[str]:
+    """Ids with more than ``hot_key_rows`` label rows (one small job over the labels).
+
+    At most ``rows(labels) / hot_key_rows`` ids can qualify, so the list that
+    reaches the driver is bounded by the threshold.
+    """
+    hot = slim.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_key_rows)
+    return [r[0] for r in hot.select(KEY).collect()]
+
+
+def _left_join(txn: DataFrame, slim: DataFrame, split_null_keys: bool) -> DataFrame:
+    if not split_null_keys:
+        return txn.join(slim, KEY, "left")
+    # null ids never match; kept apart they do not all land in one join task
+    keyed = txn.filter(F.col(KEY).isNotNull()).join(slim, KEY, "left")
+    unkeyed = txn.filter(F.col(KEY).isNull()).select(
+        "*", *[F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in LABEL_COLUMNS])
+    return keyed.unionByName(unkeyed)
+
+
+def attach_fraud_labels(
+    txn: DataFrame,
+    labels: DataFrame,
+    prepare: Callable[[DataFrame, bool], DataFrame] | None = None,
+    raw_key: str = KEY,
+    dedup_labels: bool = False,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
+    split_null_keys: bool = False,
+) -> DataFrame:
+    """Add ``is_fraud`` and ``_bronze_batch_id_fraud_labels`` by transaction_id.
+
+    ``prepare(rows, hot)`` turns raw transaction rows (keyed by ``raw_key``)
+    into one row per ``transaction_id``; with hot ids it is called once for
+    them and once for the rest (``hot`` says which), so that per-row work
+    such as surrogate keys can keep the two apart. Without ``prepare``,
+    ``txn`` must already hold one row per transaction_id.
+
+    A transaction with no label keeps a null ``is_fraud`` (unknown, not
+    false). ``dedup_labels=True`` keeps the latest label per id instead of
+    all; ``hot_key_rows=None`` skips the hot-id check; ``split_null_keys``
+    routes null ids around the join (use it when many ids may be null).
+    """
+    if prepare is None:
+        def prepare(rows: DataFrame, hot: bool) -> DataFrame:
+            return rows
+    if dedup_labels:
+        labels = keep_latest(labels, KEY)
+    slim = fraud_label_columns(labels)
+    ids = [] if hot_key_rows is None or dedup_labels else hot_label_ids(slim, hot_key_rows)
+    if not ids:
+        return _left_join(prepare(txn, False), slim, split_null_keys)
+
+    spark = txn.sparkSession
+    hot = F.broadcast(spark.createDataFrame([(i,) for i in ids], f"{KEY} string"))
+    raw_hot = hot.withColumnRenamed(KEY, raw_key) if raw_key != KEY else hot
+    cold = _left_join(prepare(txn.join(raw_hot, raw_key, "left_anti"), False),
+                      slim.join(hot, KEY, "left_anti"), split_null_keys)
+    hot_txn = F.broadcast(prepare(txn.join(raw_hot, raw_key, "left_semi"), True))
+    hot_rows = slim.join(hot, KEY, "left_semi").join(hot_txn, KEY, "inner")
+    return cold.unionByName(hot_rows.select(*cold.columns))

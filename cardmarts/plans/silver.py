@@ -26,7 +26,7 @@ from cardmarts.functions.cleaning import (
 )
 from cardmarts.functions.quality import CARD_RULES, CUSTOMER_RULES, FACT_RULES, null_rules
 from cardmarts.operators.dedup import keep_latest
-from cardmarts.operators.labels import attach_fraud_labels
+from cardmarts.operators.labels import HOT_KEY_ROWS, attach_fraud_labels
 
 LAYER = "silver"
 
@@ -98,32 +98,43 @@ def build_fact_transactions(
     load_date: str,
     keep_null_keys: bool = False,
     dedup_labels: bool = False,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Deduplicated, typed transactions left-joined to their fraud label.
 
     Two shuffles: by id for the dedup and by transaction_id for the label
     join; the fact side keeps its partitioning through the rename, so only
-    the labels move for the join.
+    the labels move for the join. Ids with very many labels are joined apart
+    (see ``attach_fraud_labels``); their surrogate keys are negative so the
+    two branches never share one. Rows of one transaction that a repeated
+    label multiplies share its surrogate key.
     """
-    latest = keep_latest(transactions, "id", keep_null_keys=keep_null_keys)
-    txn = latest.select(
-        surrogate_key().alias("transaction_sk"),
-        F.col("id").alias("transaction_id"),
-        to_timestamp("date").alias("transaction_datetime"),
-        F.col("client_id").alias("customer_id"),
-        F.col("card_id"),
-        clean_currency("amount").alias("amount"),
-        F.col("use_chip").alias("channel"),
-        F.col("merchant_id"),
-        F.col("merchant_city"),
-        F.col("merchant_state"),
-        F.col("zip"),
-        F.col("mcc").alias("mcc_code"),
-        error_flag("errors").alias("has_error"),
-        F.col("errors").alias("error_detail"),
-        F.col("_batch_id").alias("_bronze_batch_id_transactions"),
+
+    def typed(rows: DataFrame, hot: bool) -> DataFrame:
+        latest = keep_latest(rows, "id", keep_null_keys=keep_null_keys)
+        sk = -surrogate_key() - 1 if hot else surrogate_key()
+        return latest.select(
+            sk.alias("transaction_sk"),
+            F.col("id").alias("transaction_id"),
+            to_timestamp("date").alias("transaction_datetime"),
+            F.col("client_id").alias("customer_id"),
+            F.col("card_id"),
+            clean_currency("amount").alias("amount"),
+            F.col("use_chip").alias("channel"),
+            F.col("merchant_id"),
+            F.col("merchant_city"),
+            F.col("merchant_state"),
+            F.col("zip"),
+            F.col("mcc").alias("mcc_code"),
+            error_flag("errors").alias("has_error"),
+            F.col("errors").alias("error_detail"),
+            F.col("_batch_id").alias("_bronze_batch_id_transactions"),
+        )
+
+    df = attach_fraud_labels(
+        transactions, fraud_labels, prepare=typed, raw_key="id", dedup_labels=dedup_labels,
+        hot_key_rows=hot_key_rows, split_null_keys=keep_null_keys,
     )
-    df = attach_fraud_labels(txn, fraud_labels, dedup_labels=dedup_labels)
     df = df.withColumn("_dq_flags", null_rules(FACT_RULES))
     return add_layer_audit(df, load_date, "fact_transactions", LAYER)
 

@@ -66,3 +66,41 @@ def test_risk_profile_one_row_per_customer(silver):
     # customers without activity have a null rate and are High
     none = prof.filter(F.col("total_transactions").isNull())
     assert none.filter(F.col("risk_tier") != "High").count() == 0
+
+
+def test_hot_label_ids_split_matches_plain_join(spark, sf_dir):
+    """With a tiny threshold many ids are 'hot'; rows must equal the plain left join."""
+    from cardmarts.plans.silver import build_fact_transactions
+
+    b = E.bronze_all(spark, sf_dir)
+    labels = b["fraud_labels"]
+    # a repeated label fans out: repeat the labels of every 5th id three times
+    rep = labels.filter(F.expr("hash(transaction_id) % 5 = 0"))
+    fanned = labels.unionByName(rep).unionByName(rep)
+    plain = build_fact_transactions(b["transactions"], fanned, RUN_DATE, hot_key_rows=None)
+    split = build_fact_transactions(b["transactions"], fanned, RUN_DATE, hot_key_rows=2)
+    cols = [c for c in plain.columns if c not in ("transaction_sk", "_silver_loaded_at", "_dq_flags")]
+    assert plain.select(cols).exceptAll(split.select(cols)).count() == 0
+    assert split.select(cols).exceptAll(plain.select(cols)).count() == 0
+    # fan-out rows of one transaction share its surrogate key; keys differ across transactions
+    per_id = split.groupBy("transaction_id").agg(F.countDistinct("transaction_sk").alias("k"))
+    assert per_id.filter("k != 1").count() == 0
+    per_sk = split.groupBy("transaction_sk").agg(F.countDistinct("transaction_id").alias("k"))
+    assert per_sk.filter("k != 1").count() == 0
+    assert split.filter("transaction_sk < 0").count() > 0
+
+
+def test_null_keys_kept_and_routed(spark):
+    from cardmarts.plans.silver import build_fact_transactions
+    from cardmarts.schemas import TRANSACTIONS
+
+    rows = [(None, "2024-01-01", "1", "c", "$1.00", "Chip", "m", "x", "s", "z", "Brand#1", None)] * 3
+    rows += [("1-1", "2024-01-01", "1", "c", "$2.00", "Chip", "m", "x", "s", "z", "Brand#1", None)]
+    txn = spark.createDataFrame(rows, TRANSACTIONS).withColumns(
+        {"_ingested_at": F.current_timestamp(), "_batch_id": F.lit("t")})
+    labels = spark.createDataFrame([("1-1", "Yes", "l")], "transaction_id string, is_fraud_label string, _batch_id string")
+    kept = build_fact_transactions(txn, labels, RUN_DATE, keep_null_keys=True)
+    assert kept.count() == 4
+    assert kept.filter("is_fraud").count() == 1
+    parity = build_fact_transactions(txn, labels, RUN_DATE)
+    assert parity.count() == 2
