@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library rebuilds is batch only: no stream source, watermark,
+windowed or stateful operator occurs in it, so none is built here. New landing
+dates are ingested by re-running the bronze layer for that date.
+"""

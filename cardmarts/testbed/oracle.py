@@ -329,6 +329,12 @@ FROM raw_users"""
 FROM ({_fact_totals_by('merchant_id')}) g"""
     out["json_dict_explode"] = """SELECT event_id, k AS prop_key, props ->> k AS prop_value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) e"""
+    out["surrogate_key"] = _with("fact_transactions") + (
+        "SELECT count(DISTINCT transaction_id) AS distinct_keys, count(DISTINCT transaction_id) "
+        "AS distinct_transactions, count(DISTINCT transaction_id) AS distinct_pairs "
+        "FROM silver_fact_transactions")
+    out["dq_flags"] = _with("fact_transactions") + (
+        f"SELECT transaction_id, {FACT_FLAGS} AS dq_flags FROM silver_fact_transactions")
     out.update(source_and_sink_sql())
     return out
 

@@ -179,6 +179,22 @@ def json_dict_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .alias("prop_key", "prop_value"))
 
 
+def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate keys of the fact: one per transaction, none shared between transactions."""
+    fact = silver_tables(spark, sf_dir)["fact_transactions"]
+    return fact.agg(
+        F.count_distinct("transaction_sk").alias("distinct_keys"),
+        F.count_distinct("transaction_id").alias("distinct_transactions"),
+        F.count_distinct("transaction_id", "transaction_sk").alias("distinct_pairs"),
+    )
+
+
+def dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality flags of every fact row, as comma-joined text."""
+    fact = silver_tables(spark, sf_dir)["fact_transactions"]
+    return fact.select("transaction_id", F.array_join("_dq_flags", ",").alias("dq_flags"))
+
+
 # -- sources ------------------------------------------------------------------
 
 NEXT_DATE = "2024-01-02"
@@ -325,6 +341,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "risk_tier": risk_tier_by_customer,
     "fraud_rate": fraud_rate,
     "json_dict_explode": json_dict_explode,
+    "surrogate_key": surrogate_key,
+    "dq_flags": dq_flags,
     "bronze_csv_scan": bronze_csv_scan,
     "bronze_json_dict_nested": bronze_json_dict_nested,
     "bronze_json_dict_nested_whole": bronze_json_dict_nested_whole,
