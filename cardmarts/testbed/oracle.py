@@ -195,8 +195,8 @@ def _with(*names: str) -> str:
     for n in names:
         body = SILVER[n]
         if n == "fact_transactions":
-            body = (f"SELECT *, year(transaction_datetime) AS txn_year, "
-                    f"month(transaction_datetime) AS txn_month FROM ({body}) f")
+            body = (f"SELECT *, cast(year(transaction_datetime) AS integer) AS txn_year, "
+                    f"cast(month(transaction_datetime) AS integer) AS txn_month FROM ({body}) f")
         ctes.append(f"silver_{n} AS ({body})")
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -316,8 +316,8 @@ FROM raw_users"""
     out["parse_date"] = _raw("raw_cards") + (
         "SELECT id, acct_open_date, try_cast(acct_open_date AS date) AS acct_open_date_value FROM raw_cards")
     out["txn_year_month"] = _raw("raw_transactions") + (
-        "SELECT id, year(try_cast(date AS timestamp)) AS txn_year, "
-        "month(try_cast(date AS timestamp)) AS txn_month FROM raw_transactions")
+        "SELECT id, cast(year(try_cast(date AS timestamp)) AS integer) AS txn_year, "
+        "cast(month(try_cast(date AS timestamp)) AS integer) AS txn_month FROM raw_transactions")
     out["error_flag"] = _raw("raw_transactions") + (
         "SELECT id, errors, errors IS NOT NULL AS has_error FROM raw_transactions")
     out["label_to_boolean"] = _raw("raw_fraud_labels") + (

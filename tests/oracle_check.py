@@ -26,6 +26,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison
+TYPE_NAMES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -54,6 +59,12 @@ def compare(spark, sf_dir: str, key: str, query, sql: str, con=None) -> tuple[bo
     d_rows = [tuple(_norm(r[i]) for i in idx) for r in d_all]
     if s_cols != d_cols:
         return False, f"{key}: columns differ\n spark={s_cols}\n duck ={d_cols}"
+    s_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    bad = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if bad:
+        return False, f"{key}: types differ {bad}"
     if len(s_rows) != len(d_rows):
         return False, f"{key}: rows spark={len(s_rows)} duck={len(d_rows)}"
     cs, cd = Counter(s_rows), Counter(d_rows)
