@@ -17,8 +17,14 @@ def dq_flag(condition: Column, name: str) -> Column:
 
 
 def dq_flags(*flags: Column) -> Column:
-    """Array of the non-null flags, in argument order; empty (not null) when clean."""
-    return F.array_compact(F.array(*flags))
+    """Array of the non-null flags, in argument order; empty (not null) when clean.
+
+    Built as a concatenation of one-element or empty arrays rather than
+    ``array_compact`` (a lambda ``filter`` that Spark cannot code-generate),
+    so the projection that carries it stays inside whole-stage codegen.
+    """
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.when(f.isNotNull(), F.array(f)).otherwise(empty) for f in flags])
 
 
 # Flag names and the column each one tests for null.
