@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "cardmarts-warehouse"))
         .config("spark.driver.memory", os.environ.get("CARDMARTS_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -51,3 +52,31 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")
     return "/".join([base, *[p.strip("/") for p in parts if p]])
+
+
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """SQL settings sized for ``input_bytes`` of input on ``cores`` executor cores.
+
+    The shuffle starts with about one partition per ``partition_bytes`` of
+    input (at least two per core, at most ``max_partitions``) and AQE merges
+    small ones towards ``partition_bytes`` and splits skewed ones, in joins
+    and in the rebalance before partitioned writes. Scans read splits of the
+    same size.
+    """
+    parts = max(2 * cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on a live session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)

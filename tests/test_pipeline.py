@@ -112,3 +112,66 @@ def test_run_context(spark):
     assert run_context(spark)["triggered_by"] == "MANUAL"
     ctx = run_context(spark, job_id="42", job_run_id="7")
     assert ctx == {"job_id": "42", "job_run_id": "7", "triggered_by": "SCHEDULER"}
+
+
+def test_scale_conf():
+    from cardmarts.session import scale_conf
+
+    big = scale_conf(100 << 40, cores=8000)  # 100 TB on 1000 executors of 8 cores
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(1 << 30, cores=8)["spark.sql.shuffle.partitions"] == "16"
+    assert scale_conf(10 << 30, cores=8)["spark.sql.shuffle.partitions"] == "40"
+
+
+def _exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_fact_plan_shuffles_only_twice(spark, run):
+    """Dedup shuffles the transactions by id; the label join shuffles only the labels."""
+    from cardmarts.plans.silver import build_fact_transactions
+
+    lake, _, _ = run
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = build_fact_transactions(lake.read(spark, "bronze", "transactions"),
+                                       lake.read(spark, "bronze", "fraud_labels"), RUN_DATE)
+        assert _exchanges(fact) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_risk_profile_reuses_partitioning(spark, run):
+    """Three inputs hashed once each on customer_id; the second join adds no shuffle."""
+    from cardmarts.plans.gold import build_customer_risk_profile
+
+    lake, _, _ = run
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = {t: lake.read(spark, "silver", t) for t in ("fact_transactions", "dim_customer", "dim_card")}
+        df = build_customer_risk_profile(s["fact_transactions"], s["dim_customer"], s["dim_card"], RUN_DATE)
+        assert _exchanges(df) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_chunked_json_reader_splits_one_file(spark):
+    """One label file is read by several tasks (the whole-file reader would use one)."""
+    import os
+
+    from cardmarts.sources.files import read_json_dictionary_chunked
+
+    root = shared_dir(spark, "tests", "bigjson-" + uuid.uuid4().hex[:8])
+    os.makedirs(root)
+    pairs = ", ".join(f'"{i}-1": "{"Yes" if i % 7 == 0 else "No"}"' for i in range(60_000))
+    with open(os.path.join(root, "labels.json"), "w") as fh:
+        fh.write('{"target": {' + pairs + "}}")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 10))
+    try:
+        df = read_json_dictionary_chunked(spark, root, "k", "v", "target")
+        assert df.rdd.getNumPartitions() > 4
+        assert df.count() == 60_000
+        assert df.filter("v = 'Yes'").count() == len(range(0, 60_000, 7))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
