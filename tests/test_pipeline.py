@@ -175,3 +175,19 @@ def test_chunked_json_reader_splits_one_file(spark):
         assert df.filter("v = 'Yes'").count() == len(range(0, 60_000, 7))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_job_entry_point(spark, sf_dir, capsys):
+    import json
+
+    from cardmarts.__main__ import main
+
+    landing = new_landing_root(spark)
+    write_all_landing(spark, sf_dir, landing)
+    lake_root = shared_dir(spark, "tests", "cli-" + uuid.uuid4().hex[:8])
+    assert main(["--landing", landing, "--lake", lake_root, "--date", RUN_DATE,
+                 "--json-glob", JSON_FILE_GLOB, "--register"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert len(lines) == 13 and all(x["rows"] > 0 for x in lines)
+    assert spark.table("gold.customer_risk_profile").count() == next(
+        x["rows"] for x in lines if x["table"] == "customer_risk_profile")
