@@ -1,4 +1,4 @@
-"""Job entry point: ``spark-submit -m cardmarts`` or ``python -m cardmarts``.
+"""Job entry point: ``spark-submit cardmarts/__main__.py`` or ``python -m cardmarts``.
 
     python -m cardmarts --landing s3a://b/landing --lake s3a://b/lake --date 2024-01-01
     python -m cardmarts ... --layers silver gold --tables fact_transactions

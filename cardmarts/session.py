@@ -18,10 +18,20 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_CONF = "spark.cardmarts.localSharedDir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cardmarts") -> SparkSession:
-    """A local session with AQE on and the UI off (tests, bench)."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cardmarts",
+    event_log_dir: str | None = None,
+) -> SparkSession:
+    """A local session with AQE on and the UI off (tests, bench).
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task metrics).
+    """
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
