@@ -8,7 +8,10 @@ arrives as at most one row per input split.
 
 Ties: bronze stamps one ``_ingested_at`` per ingest, so every row of a batch
 ties on it. To make the survivor reproducible the remaining columns break
-the tie (descending, nulls last) unless the caller names other columns.
+the tie (descending, nulls last) unless the caller names other columns. The
+bronze lineage columns (constant within a batch) are left out of that
+default, so a plan that does not output them never carries them, e.g. the
+long source-file path, through the shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardmarts.schemas import LINEAGE_COLUMNS
+
 _RN = "__cardmarts_rn"
 
 
@@ -34,7 +39,7 @@ def keep_latest(
     ``keep_null_keys=True`` they all pass through untouched instead.
     """
     if tie_break is None:
-        taken = {key, *order_by}
+        taken = {key, *order_by, *LINEAGE_COLUMNS}
         tie_break = [c for c in df.columns if c not in taken]
     ordering: list[Column] = [F.col(c).desc_nulls_last() for c in (*order_by, *tie_break)]
     w = Window.partitionBy(key).orderBy(*ordering)
