@@ -335,6 +335,17 @@ FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) e"""
         "FROM silver_fact_transactions")
     out["dq_flags"] = _with("fact_transactions") + (
         f"SELECT transaction_id, {FACT_FLAGS} AS dq_flags FROM silver_fact_transactions")
+    out["layer_audit"] = _with("dim_card", "fact_transactions") + f"""
+SELECT '{RUN_DATE}' AS load_date, 'dim_card' AS table_name, 'dim_card_{RUN_DATE}' AS batch_id,
+  count(*) AS row_count, count(*) AS stamped_rows FROM silver_dim_card
+UNION ALL
+SELECT '{RUN_DATE}', 'fraud_summary_by_state', 'fraud_summary_by_state_{RUN_DATE}',
+  count(DISTINCT merchant_state) + max(CASE WHEN merchant_state IS NULL THEN 1 ELSE 0 END),
+  count(DISTINCT merchant_state) + max(CASE WHEN merchant_state IS NULL THEN 1 ELSE 0 END)
+FROM silver_fact_transactions"""
+    out["bronze_lineage"] = _raw("raw_cards") + f"""SELECT '{RUN_DATE}' AS _ingestion_date,
+  'cards_{RUN_DATE}' AS _batch_id, count(*) AS row_count, count(*) AS stamped_rows,
+  count(*) AS csv_file_rows FROM raw_cards"""
     out.update(source_and_sink_sql())
     return out
 

@@ -189,6 +189,20 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit values of every silver dim_card row and every gold state-mart row."""
+    s = silver_tables(spark, sf_dir)
+    g = G.build_fraud_summary_by_state(s["fact_transactions"], RUN_DATE)
+
+    def audit(df: DataFrame, layer: str) -> DataFrame:
+        return df.groupBy(F.col(f"_{layer}_load_date").alias("load_date"), F.col(f"_{layer}_table").alias("table_name"),
+                          F.col(f"_{layer}_batch_id").alias("batch_id")).agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.col(f"_{layer}_loaded_at").isNotNull()).alias("stamped_rows"))
+
+    return audit(s["dim_card"], "silver").unionByName(audit(g, "gold"))
+
+
 def dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality flags of every fact row, as comma-joined text."""
     fact = silver_tables(spark, sf_dir)["fact_transactions"]
@@ -233,6 +247,17 @@ def bronze_json_dict_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked(read_landing(spark, root, "mcc_codes", RUN_DATE, "json", file_glob=JSON_FILE_GLOB))
 
 
+def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage values of every bronze row scanned from CSV landing files."""
+    root = _landing(spark, sf_dir, "cards")
+    b = read_landing(spark, root, "cards", RUN_DATE)
+    return b.groupBy("_ingestion_date", "_batch_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("_ingested_at").isNotNull()).alias("stamped_rows"),
+        F.count_if(F.col("_source_file").endswith(".csv")).alias("csv_file_rows"),
+    )
+
+
 def landing_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two delivery dates of users; reading one date must not see the other."""
     root = _landing(spark, sf_dir, "users")
@@ -343,6 +368,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_dict_explode": json_dict_explode,
     "surrogate_key": surrogate_key,
     "dq_flags": dq_flags,
+    "layer_audit": layer_audit,
+    "bronze_lineage": bronze_lineage,
     "bronze_csv_scan": bronze_csv_scan,
     "bronze_json_dict_nested": bronze_json_dict_nested,
     "bronze_json_dict_nested_whole": bronze_json_dict_nested_whole,
