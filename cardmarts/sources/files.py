@@ -52,8 +52,9 @@ def read_csv_entity(spark: SparkSession, path: str, entity: str) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
-def _json_text(spark: SparkSession, path: str, file_glob: str, **options: str) -> DataFrame:
-    df = spark.read.option("pathGlobFilter", file_glob).options(**options).text(path)
+def _json_text(spark: SparkSession, path: str, file_glob: str, **options) -> DataFrame:
+    # text() resets wholetext to its own keyword default, so options go in as keywords
+    df = spark.read.text(path, pathGlobFilter=file_glob, **options)
     if not df.inputFiles():
         raise SourceMissing(f"no {file_glob} file in {path}")
     return df
@@ -68,7 +69,7 @@ def read_json_dictionary(
     Malformed JSON gives zero rows for that file (``from_json`` yields null);
     a repeated key gives one row per occurrence.
     """
-    raw = _json_text(spark, path, file_glob, wholetext="true")
+    raw = _json_text(spark, path, file_glob, wholetext=True)
     if root:
         parsed = F.from_json("value", StructType([StructField(root, STRING_MAP)]))[root]
     else:
@@ -85,12 +86,11 @@ def read_json_dictionary_chunked(
 ) -> DataFrame:
     """Same rows as ``read_json_dictionary``, read in parallel splits of each file.
 
-    Chunks without a backslash (nearly all) take a code-generated path: one
-    anchored regex extracts the ``"key": value`` text, plain string functions
-    cut it into key and value. String values lose their quotes, numbers and
-    booleans keep their text and ``null`` is null, as ``from_json`` into a
-    string map gives them. The rare chunks holding an escape are parsed with
-    ``from_json``, which is exact but several times slower per row.
+    Chunks whose value is a plain string or null (nearly all) take a
+    code-generated path: one anchored regex extracts the ``"key": value``
+    text and plain string functions cut it into key and value. Chunks with
+    an escape, a number or a boolean are parsed with ``from_json``, exact but
+    several times slower per row, so both readers give the same text.
     """
     raw = _json_text(spark, path, file_glob, lineSep=",")
     head = rf'\{{\s*"{root}"\s*:\s*\{{' if root else r'\{'
@@ -99,7 +99,9 @@ def read_json_dictionary_chunked(
     empty = rf'^\s*{head}\s*{tail}\s*$'
     v = F.col("value")
     chunks = raw.select(v, F.col("_metadata.file_path").alias(SOURCE_FILE)).filter(~v.rlike(empty))
-    escaped = v.contains("\\")
+    # the value ends the chunk: a plain string (no escape) or null takes the fast path;
+    # numbers and booleans go through from_json too, which normalises their text
+    simple = ~v.contains("\\") & v.rlike(r'("|null)\s*(?:\}\s*)*$')
 
     def pair_or_fail(c):
         p = F.regexp_extract(c, one_pair, 1)
@@ -108,7 +110,7 @@ def read_json_dictionary_chunked(
                   "value?) in "), F.col(SOURCE_FILE))))
 
     # plain chunks: the regex runs once, in a projection of its own
-    plain = chunks.filter(~escaped).select(pair_or_fail(v).alias("pair"), SOURCE_FILE)
+    plain = chunks.filter(simple).select(pair_or_fail(v).alias("pair"), SOURCE_FILE)
     pair = F.col("pair")
     key = F.substring_index(F.substring(pair, F.lit(2), F.length(pair)), '"', 1)
     rest = F.substring(pair, F.length(key) + 3, F.length(pair))
@@ -119,7 +121,7 @@ def read_json_dictionary_chunked(
         .otherwise(val)
     )
     plain = plain.select(key.alias(key_col), value.alias(value_col), SOURCE_FILE)
-    # escaped chunks: exact JSON decoding of the single pair
+    # other chunks: exact JSON decoding of the single pair
     parsed = F.from_json(F.concat(F.lit("{"), pair_or_fail(v), F.lit("}")), STRING_MAP)
-    decoded = chunks.filter(escaped).select(F.explode(parsed).alias(key_col, value_col), SOURCE_FILE)
+    decoded = chunks.filter(~simple).select(F.explode(parsed).alias(key_col, value_col), SOURCE_FILE)
     return plain.unionByName(decoded)

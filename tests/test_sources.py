@@ -114,3 +114,12 @@ def test_config_active_filter(spark):
                                       '"bronze_source": ["cards"], "is_active": true}]'})
     assert active_tables(spark, "silver", os.path.join(p, "silver.json")) == ["dim_card"]
     assert read_config(spark, "silver", os.path.join(p, "silver.json")).count() == 2
+
+
+def test_json_dictionary_pretty_printed(spark):
+    text = '{\n  "target": {\n    "10-1": "Yes",\n    "10-2": "No",\n    "10-3": -1.5e3\n  }\n}\n'
+    p = folder(spark, {"labels.json": text})
+    for reader in (read_json_dictionary, read_json_dictionary_chunked):
+        rows = sorted((r.k, r.v) for r in reader(spark, p, "k", "v", "target").collect())
+        # numbers keep from_json's text form in both readers
+        assert rows == [("10-1", "Yes"), ("10-2", "No"), ("10-3", "-1500.0")], reader.__name__
