@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cardmarts.schemas import RUN_LOG
 
@@ -57,10 +56,13 @@ def log_step(
         "triggered_by": ctx["triggered_by"], "load_type": load_type,
         "job_id": ctx["job_id"], "job_run_id": ctx["job_run_id"],
     }
-    given = StructType([f for f in RUN_LOG.fields if f.name != "logged_at"])
-    df = spark.createDataFrame([tuple(row[f.name] for f in given.fields)], given)
-    df = df.withColumn("logged_at", F.current_timestamp()).select(*RUN_LOG.fieldNames())
-    df.coalesce(1).write.mode("append").parquet(log_path)
+    # one row built from literals on the JVM side (no Python rows to ship)
+    cols = [
+        F.current_timestamp().alias(f.name) if f.name == "logged_at"
+        else F.lit(row[f.name]).cast(f.dataType).alias(f.name)
+        for f in RUN_LOG.fields
+    ]
+    spark.range(1, numPartitions=1).select(*cols).write.mode("append").parquet(log_path)
 
 
 def read_log(spark: SparkSession, log_path: str):

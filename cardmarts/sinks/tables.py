@@ -66,7 +66,7 @@ def current_path(spark: SparkSession, table_root: str) -> str:
 
 
 def _set_current(spark: SparkSession, table_root: str, path: str) -> None:
-    pointer = spark.createDataFrame([(path,)], "value string").coalesce(1)
+    pointer = spark.range(1, numPartitions=1).select(F.lit(path).alias("value"))
     pointer.write.mode("overwrite").text(f"{table_root.rstrip('/')}/{POINTER}")
 
 
