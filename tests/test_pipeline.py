@@ -191,3 +191,23 @@ def test_job_entry_point(spark, sf_dir, capsys):
     assert len(lines) == 13 and all(x["rows"] > 0 for x in lines)
     assert spark.table("gold.customer_risk_profile").count() == next(
         x["rows"] for x in lines if x["table"] == "customer_risk_profile")
+
+
+def _scan_schemas(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    return re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
+
+
+def test_marts_read_only_needed_columns(spark, run):
+    """Column pruning reaches the parquet scan of the fact."""
+    from cardmarts.plans import gold as G
+
+    lake, _, _ = run
+    fact = lake.read(spark, "silver", "fact_transactions")
+    state = G.build_fraud_summary_by_state(fact, RUN_DATE)
+    schemas = _scan_schemas(state)
+    assert schemas == ["struct<amount:double,merchant_state:string,is_fraud:boolean>"]
+    monthly = G.build_monthly_transaction_trends(fact, RUN_DATE)
+    assert _scan_schemas(monthly) == ["struct<customer_id:string,amount:double,is_fraud:boolean>"]
