@@ -21,6 +21,8 @@ and below, and fails when there is none.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -93,7 +95,7 @@ def read_json_dictionary_chunked(
     several times slower per row, so both readers give the same text.
     """
     raw = _json_text(spark, path, file_glob, lineSep=",")
-    head = rf'\{{\s*"{root}"\s*:\s*\{{' if root else r'\{'
+    head = rf'\{{\s*"{re.escape(root)}"\s*:\s*\{{' if root else r'\{'
     tail = r'\}\s*\}' if root else r'\}'
     one_pair = rf'^\s*(?:{head})?\s*({_PAIR})\s*(?:{tail})?\s*$'
     empty = rf'^\s*{head}\s*{tail}\s*$'
