@@ -42,10 +42,11 @@ def write_table(
     partition value goes to few tasks (few files), and AQE splits a value that
     holds too many rows over several tasks instead of one.
     """
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    # observed in the write (result) stage, whose task updates count once even
+    # when a lost executor makes Spark rerun earlier stages
     obs = Observation()
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
