@@ -34,7 +34,11 @@ def _json_dictionary_files(df: DataFrame, key: str, value: str, root: str | None
     buckets = max(1, math.ceil(n / pairs_per_file))
     pair = F.regexp_replace(F.to_json(F.create_map(F.col(key), F.col(value))), r"^\{|\}$", "")
     grouped = (
-        df.select(F.pmod(F.hash(key), F.lit(buckets)).alias("bucket"), pair.alias("pair"))
+        # copies of one key from different input splits go to different files, so a
+        # key repeated very often never gathers in one task; the split id keeps it
+        # deterministic when a task is retried
+        df.select(F.pmod(F.hash(F.col(key), F.spark_partition_id()), F.lit(buckets)).alias("bucket"),
+                  pair.alias("pair"))
         .groupBy("bucket")
         .agg(F.concat_ws(", ", F.collect_list("pair")).alias("pairs"))
     )
