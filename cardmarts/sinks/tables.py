@@ -17,6 +17,7 @@ import uuid
 from dataclasses import dataclass
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,10 @@ def new_version(label: str = "") -> str:
 
 def current_path(spark: SparkSession, table_root: str) -> str:
     """Path of the live copy of a table."""
-    row = spark.read.text(f"{table_root.rstrip('/')}/{POINTER}").first()
+    try:
+        row = spark.read.text(f"{table_root.rstrip('/')}/{POINTER}").first()
+    except AnalysisException as e:
+        raise FileNotFoundError(f"table not written yet: {table_root}") from e
     if row is None:
         raise FileNotFoundError(f"no live copy recorded for {table_root}")
     return row[0]

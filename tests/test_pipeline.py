@@ -211,3 +211,11 @@ def test_marts_read_only_needed_columns(spark, run):
     assert schemas == ["struct<amount:double,merchant_state:string,is_fraud:boolean>"]
     monthly = G.build_monthly_transaction_trends(fact, RUN_DATE)
     assert _scan_schemas(monthly) == ["struct<customer_id:string,amount:double,is_fraud:boolean>"]
+
+
+def test_missing_input_table_fails_clearly_and_is_logged(spark):
+    lake = Lake(shared_dir(spark, "tests", "empty-lake-" + uuid.uuid4().hex[:8]))
+    with pytest.raises(FileNotFoundError, match="not written yet"):
+        build_silver_table(spark, lake, "dim_mcc", RUN_DATE)
+    log = read_log(spark, lake.log_path)
+    assert sorted(r.status for r in log.collect()) == ["FAILED", "STARTED"]
