@@ -104,3 +104,32 @@ def test_null_keys_kept_and_routed(spark):
     assert kept.filter("is_fraud").count() == 1
     parity = build_fact_transactions(txn, labels, RUN_DATE)
     assert parity.count() == 2
+
+
+def test_dedup_labels_option(spark, sf_dir):
+    from cardmarts.plans.silver import build_fact_transactions
+
+    b = E.bronze_all(spark, sf_dir)
+    labels = b["fraud_labels"]
+    doubled = labels.unionByName(labels.withColumn("is_fraud_label", F.lit("Yes")))
+    fanned = build_fact_transactions(b["transactions"], doubled, RUN_DATE)
+    single = build_fact_transactions(b["transactions"], doubled, RUN_DATE, dedup_labels=True)
+    plain = build_fact_transactions(b["transactions"], labels, RUN_DATE)
+    n = plain.count()
+    assert single.count() == n
+    assert fanned.count() == n + plain.filter(F.col("is_fraud").isNotNull()).count()
+    # "Yes" > "No": the kept label is the greatest under the tie-break (all rows tie on ingest time)
+    assert single.filter("is_fraud = false").count() == 0
+
+
+def test_keep_null_keys_on_dimension(spark, sf_dir):
+    from cardmarts.plans.silver import build_dim_customer
+
+    users = E.bronze(spark, sf_dir, "users")
+    nulls = users.filter(F.col("id").isNull()).count()
+    assert nulls > 1
+    parity = build_dim_customer(users, RUN_DATE)
+    kept = build_dim_customer(users, RUN_DATE, keep_null_keys=True)
+    assert kept.count() == parity.count() - 1 + nulls
+    flagged = kept.filter(F.array_contains("_dq_flags", "missing_customer_id")).count()
+    assert flagged == nulls
