@@ -43,9 +43,10 @@ def main(argv: list[str] | None = None) -> int:
         apply_conf(spark, scale_conf(args.input_bytes, cores))
     lake = Lake(args.lake, args.format)
     written = {}
+    prev = None
     for layer in args.layers:
-        written[layer] = run_layer(spark, lake, layer, args.date, landing_root=args.landing,
-                                   tables=args.tables, file_glob=args.json_glob)
+        prev = written[layer] = run_layer(spark, lake, layer, args.date, landing_root=args.landing,
+                                          tables=args.tables, file_glob=args.json_glob, inputs=prev)
         for table, w in written[layer].items():
             print(json.dumps({"layer": layer, "table": table, "path": w.path, "rows": w.rows}))
     if args.register:

@@ -8,7 +8,7 @@ one in parallel across the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,18 +88,32 @@ def ingest_entity(
     return _logged(spark, lake, run_id, "bronze", entity, work, log)
 
 
+def _reader(spark: SparkSession, lake: Lake, layer: str, inputs: Mapping[str, Written] | None):
+    def read(table: str) -> DataFrame:
+        if inputs and table in inputs:
+            return spark.read.format(lake.fmt).load(inputs[table].path)
+        return lake.read(spark, layer, table)
+    return read
+
+
 def build_silver_table(
     spark: SparkSession, lake: Lake, table: str, load_date: str, run_id: str | None = None,
-    log: bool = True,
+    log: bool = True, inputs: Mapping[str, Written] | None = None,
 ) -> Written:
-    """Bronze tables -> a new version of one silver table (the fact partitioned by month)."""
+    """Bronze tables -> a new version of one silver table (the fact partitioned by month).
+
+    ``inputs`` pins bronze versions (as returned by the bronze run); other
+    inputs are read at their live copy.
+    """
     _check("silver", table)
     run_id = run_id or new_run_id()
-    builder, inputs = SILVER_TABLES[table]
+    builder, sources = SILVER_TABLES[table]
     parts = PARTITION_COLUMNS.get(table, ())
 
+    read = _reader(spark, lake, "bronze", inputs)
+
     def work() -> Written:
-        df = builder(*[lake.read(spark, "bronze", i) for i in inputs], load_date)
+        df = builder(*[read(i) for i in sources], load_date)
         if parts:
             df = with_month_partition(df)
         return publish_table(spark, df, lake.table_root("silver", table),
@@ -110,15 +124,16 @@ def build_silver_table(
 
 def build_gold_table(
     spark: SparkSession, lake: Lake, table: str, load_date: str, run_id: str | None = None,
-    log: bool = True,
+    log: bool = True, inputs: Mapping[str, Written] | None = None,
 ) -> Written:
-    """Silver tables -> a new version of one gold mart."""
+    """Silver tables -> a new version of one gold mart (``inputs`` pins silver versions)."""
     _check("gold", table)
     run_id = run_id or new_run_id()
-    builder, inputs = GOLD_TABLES[table]
+    builder, sources = GOLD_TABLES[table]
+    read = _reader(spark, lake, "silver", inputs)
 
     def work() -> Written:
-        df = builder(*[lake.read(spark, "silver", i) for i in inputs], load_date)
+        df = builder(*[read(i) for i in sources], load_date)
         return publish_table(spark, df, lake.table_root("gold", table),
                              version=load_date + "-" + _short(run_id), fmt=lake.fmt)
 
@@ -132,9 +147,12 @@ def _short(run_id: str) -> str:
 def run_layer(
     spark: SparkSession, lake: Lake, layer: str, run_date: str, landing_root: str | None = None,
     tables: Sequence[str] | None = None, run_id: str | None = None, log: bool = True,
-    file_glob: str = "*.json",
+    file_glob: str = "*.json", inputs: Mapping[str, Written] | None = None,
 ) -> dict[str, Written]:
-    """Build every active table of a layer (from its config unless ``tables`` is given)."""
+    """Build every active table of a layer (from its config unless ``tables`` is given).
+
+    ``inputs``: versions of the previous layer to build from (default: live copies).
+    """
     if layer not in LAYERS:
         raise ValueError(f"Unsupported layer: {layer}")
     run_id = run_id or new_run_id()
@@ -147,9 +165,9 @@ def run_layer(
             out[name] = ingest_entity(spark, lake, landing_root, name, run_date, run_id=run_id, log=log,
                                       file_glob=file_glob)
         elif layer == "silver":
-            out[name] = build_silver_table(spark, lake, name, run_date, run_id, log)
+            out[name] = build_silver_table(spark, lake, name, run_date, run_id, log, inputs)
         else:
-            out[name] = build_gold_table(spark, lake, name, run_date, run_id, log)
+            out[name] = build_gold_table(spark, lake, name, run_date, run_id, log, inputs)
     return out
 
 
@@ -157,13 +175,18 @@ def run_all(
     spark: SparkSession, lake: Lake, landing_root: str, run_date: str, run_id: str | None = None,
     log: bool = True, file_glob: str = "*.json",
 ) -> dict[str, dict[str, Written]]:
-    """Bronze, then silver, then gold for one date; a failing table stops the run."""
+    """Bronze, then silver, then gold for one date; a failing table stops the run.
+
+    Each layer is built from exactly the versions the previous layer just wrote,
+    so the run reads one consistent snapshot even if other jobs publish meanwhile.
+    """
     run_id = run_id or new_run_id()
-    return {
-        layer: run_layer(spark, lake, layer, run_date, landing_root, run_id=run_id, log=log,
-                         file_glob=file_glob)
-        for layer in LAYERS
-    }
+    out: dict[str, dict[str, Written]] = {}
+    prev: dict[str, Written] | None = None
+    for layer in LAYERS:
+        prev = out[layer] = run_layer(spark, lake, layer, run_date, landing_root, run_id=run_id,
+                                      log=log, file_glob=file_glob, inputs=prev)
+    return out
 
 
 def register_layers(spark: SparkSession, lake: Lake, written: dict[str, dict[str, Written]]) -> list[str]:
