@@ -117,9 +117,15 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Point a catalog name at a path (external table: dropping it keeps the files)."""
+    """Point a catalog name at a path (external table: dropping it keeps the files).
+
+    A partitioned table only shows the partitions the catalog knows, so its
+    folders are registered too.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def create_serving_views(spark: SparkSession, tables: Mapping[str, str], fmt: str = "parquet") -> list[str]:

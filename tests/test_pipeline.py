@@ -98,6 +98,9 @@ def test_register_layers(spark, run):
     names = register_layers(spark, lake, written)
     assert "gold.customer_risk_profile" in names
     assert spark.table("gold.fraud_summary_by_mcc").count() == written["gold"]["fraud_summary_by_mcc"].rows
+    fact = spark.table("silver.fact_transactions")
+    assert "txn_year" in fact.columns
+    assert fact.count() == written["silver"]["fact_transactions"].rows
 
 
 def test_unknown_tables_rejected(spark, run):
