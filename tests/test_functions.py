@@ -1,6 +1,5 @@
 """Edge rows for every column helper (hand-written small frames)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from cardmarts.functions import (

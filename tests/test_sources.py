@@ -4,7 +4,6 @@ import os
 import uuid
 
 import pytest
-from pyspark.errors import PythonException  # noqa: F401  (kept for clarity of expected errors)
 
 from cardmarts.session import shared_dir
 from cardmarts.sources import (
