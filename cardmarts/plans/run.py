@@ -17,7 +17,14 @@ from cardmarts.plans.gold import GOLD_TABLES
 from cardmarts.plans.silver import PARTITION_COLUMNS, SILVER_TABLES, with_month_partition
 from cardmarts.schemas import ENTITIES
 from cardmarts.sinks.runlog import log_step, new_run_id, run_context
-from cardmarts.sinks.tables import Written, create_schema, publish_table, read_table, register_table
+from cardmarts.sinks.tables import (
+    Written,
+    create_schema,
+    new_version,
+    publish_table,
+    read_table,
+    register_table,
+)
 from cardmarts.sources.config import active_tables
 from cardmarts.sources.landing import read_landing
 
@@ -83,7 +90,7 @@ def ingest_entity(
 
     def work() -> Written:
         df = read_landing(spark, landing_root, entity, ingestion_date, source_format, file_glob=file_glob)
-        return publish_table(spark, df, root, version=ingestion_date + "-" + _short(run_id), fmt=lake.fmt)
+        return publish_table(spark, df, root, version=_version(ingestion_date, run_id), fmt=lake.fmt)
 
     return _logged(spark, lake, run_id, "bronze", entity, work, log)
 
@@ -117,7 +124,7 @@ def build_silver_table(
         if parts:
             df = with_month_partition(df)
         return publish_table(spark, df, lake.table_root("silver", table),
-                             version=load_date + "-" + _short(run_id), partition_by=parts, fmt=lake.fmt)
+                             version=_version(load_date, run_id), partition_by=parts, fmt=lake.fmt)
 
     return _logged(spark, lake, run_id, "silver", table, work, log)
 
@@ -135,13 +142,14 @@ def build_gold_table(
     def work() -> Written:
         df = builder(*[read(i) for i in sources], load_date)
         return publish_table(spark, df, lake.table_root("gold", table),
-                             version=load_date + "-" + _short(run_id), fmt=lake.fmt)
+                             version=_version(load_date, run_id), fmt=lake.fmt)
 
     return _logged(spark, lake, run_id, "gold", table, work, log)
 
 
-def _short(run_id: str) -> str:
-    return run_id.replace("-", "")[:12]
+def _version(date: str, run_id: str) -> str:
+    """A fresh version folder name: date, run, and a unique suffix (a retry never reuses one)."""
+    return new_version(f"{date}-{run_id.replace('-', '')[:12]}")
 
 
 def run_layer(
