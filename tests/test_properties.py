@@ -133,3 +133,18 @@ def test_keep_null_keys_on_dimension(spark, sf_dir):
     assert kept.count() == parity.count() - 1 + nulls
     flagged = kept.filter(F.array_contains("_dq_flags", "missing_customer_id")).count()
     assert flagged == nulls
+
+
+def test_fixture_expectations_at_sf001(spark):
+    """Numbers FIXTURES.md gives for its derivation at sf0.01, computed outside this code."""
+    from cardmarts.testbed.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    prof = QUERIES["gold_customer_risk_profile"](spark, sf)
+    tiers = {r[0]: r[1] for r in prof.groupBy("risk_tier").count().collect()}
+    assert tiers == {"Low": 918, "Medium": 192, "High": 375}
+    fact = QUERIES["silver_fact_transactions"](spark, sf)
+    n = fact.count()
+    assert 41_000 <= n <= 41_800
+    unlabelled = fact.filter(F.col("is_fraud").isNull()).count() / n
+    assert 0.26 <= unlabelled <= 0.28
