@@ -62,6 +62,15 @@ def _json_text(spark: SparkSession, path: str, file_glob: str, **options) -> Dat
     return df
 
 
+def largest_file_bytes(spark: SparkSession, path: str, file_glob: str = "*.json") -> int:
+    """Size of the largest matching file below ``path`` (file listing only; no content read)."""
+    files = spark.read.format("binaryFile").load(path, pathGlobFilter=file_glob)
+    largest = files.agg(F.max("length")).first()[0]
+    if largest is None:
+        raise SourceMissing(f"no {file_glob} file in {path}")
+    return int(largest)
+
+
 def read_json_dictionary(
     spark: SparkSession, path: str, key_col: str, value_col: str, root: str | None = None,
     file_glob: str = "*.json",

@@ -16,13 +16,15 @@ from cardmarts.schemas import CSV_ENTITIES, ENTITIES, JSON_ENTITIES, SOURCE_FORM
 from cardmarts.sources.files import (
     SOURCE_FILE,
     SourceMissing,
+    largest_file_bytes,
     read_csv_entity,
     read_json_dictionary,
     read_json_dictionary_chunked,
 )
 
-# Entities whose dictionary file grows with the data and is read in splits.
-CHUNKED_BY_DEFAULT = frozenset({"fraud_labels"})
+# Dictionary files up to this size are parsed whole (one bounded task per file);
+# larger ones are read in comma splits spread over many tasks.
+WHOLE_FILE_MAX_BYTES = 32 << 20
 
 
 def landing_path(landing_root: str, entity: str, ingestion_date: str) -> str:
@@ -54,7 +56,9 @@ def read_landing(
     """Bronze rows of one entity and date: entity columns then the four lineage columns.
 
     Fails with ``SourceMissing`` when the date folder is absent (the presence
-    check runs before any job starts).
+    check runs before any job starts). JSON dictionaries are parsed whole when
+    every file is at most ``WHOLE_FILE_MAX_BYTES`` and read in splits otherwise;
+    ``chunked`` forces one reader (both give the same rows).
     """
     check_ingest_args(entity, source_format)
     path = landing_path(landing_root, entity, ingestion_date)
@@ -63,7 +67,9 @@ def read_landing(
             df = read_csv_entity(spark, path, entity)
         else:
             root, key, value = JSON_ENTITIES[entity]
-            use_chunks = entity in CHUNKED_BY_DEFAULT if chunked is None else chunked
+            if chunked is None:
+                chunked = largest_file_bytes(spark, path, file_glob) > WHOLE_FILE_MAX_BYTES
+            use_chunks = chunked
             reader = read_json_dictionary_chunked if use_chunks else read_json_dictionary
             df = reader(spark, path, key, value, root, file_glob)
     except AnalysisException as e:

@@ -122,3 +122,24 @@ def test_json_dictionary_pretty_printed(spark):
         rows = sorted((r.k, r.v) for r in reader(spark, p, "k", "v", "target").collect())
         # numbers keep from_json's text form in both readers
         assert rows == [("10-1", "Yes"), ("10-2", "No"), ("10-3", "-1500.0")], reader.__name__
+
+
+def test_reader_choice_by_file_size(spark, monkeypatch):
+    import cardmarts.sources.landing as L
+    from cardmarts.sources.files import largest_file_bytes
+
+    root = shared_dir(spark, "tests", "sized-" + uuid.uuid4().hex[:8])
+    d = os.path.join(root, "fraud_labels", "ingestion_date=2024-05-01")
+    os.makedirs(d)
+    text = '{"target": {' + ", ".join(f'"{i}-1": "No"' for i in range(1000)) + "}}"
+    with open(os.path.join(d, "labels.json"), "w") as fh:
+        fh.write(text)
+    assert largest_file_bytes(spark, d) == len(text)
+    picked = []
+    for name in ("read_json_dictionary", "read_json_dictionary_chunked"):
+        real = getattr(L, name)
+        monkeypatch.setattr(L, name, lambda *a, _r=real, _n=name, **k: (picked.append(_n), _r(*a, **k))[1])
+    assert read_landing(spark, root, "fraud_labels", "2024-05-01").count() == 1000
+    monkeypatch.setattr(L, "WHOLE_FILE_MAX_BYTES", 100)
+    assert read_landing(spark, root, "fraud_labels", "2024-05-01").count() == 1000
+    assert picked == ["read_json_dictionary", "read_json_dictionary_chunked"]
