@@ -222,3 +222,17 @@ def test_missing_input_table_fails_clearly_and_is_logged(spark):
         build_silver_table(spark, lake, "dim_mcc", RUN_DATE)
     log = read_log(spark, lake.log_path)
     assert sorted(r.status for r in log.collect()) == ["FAILED", "STARTED"]
+
+
+def test_apply_conf_on_live_session(spark):
+    from cardmarts.session import apply_conf, scale_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_conf(spark, scale_conf(50 << 30, cores=16))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
