@@ -45,16 +45,16 @@ def _slots(digest: Column, bits: int) -> list[Column]:
     return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1)) + F.lit(bits)]
 
 
-def repeated_slots(narrow: DataFrame, bits: int) -> DataFrame:
-    """Bitmaps (bucket, bitmap) of the slots that two or more rows hit."""
+def hit_slots(narrow: DataFrame, bits: int, at_least: int) -> DataFrame:
+    """Bitmaps (bucket, bitmap) of the slots that ``at_least`` rows hit."""
     slot = narrow.select(F.explode(F.array(*_slots(F.col("digest"), bits))).alias("slot"))
-    hit = slot.groupBy("slot").agg(F.count("*").alias("n")).filter("n > 1")
+    hit = slot.groupBy("slot").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
     return hit.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
 
-def repeat_filter(narrow: DataFrame, max_bits: int = 1 << 26) -> tuple[DataFrame, int]:
-    """The broadcast filter of possibly repeated digests, and its bits per hash function.
+def repeat_filter(narrow: DataFrame, max_bits: int = 1 << 26, at_least: int = 2) -> tuple[DataFrame, int]:
+    """The broadcast filter of digests that possibly occur ``at_least`` times, and its bits per hash function.
 
     ``max_bits`` (a power of two) bounds the filter; see the module's text.
     """
@@ -62,7 +62,7 @@ def repeat_filter(narrow: DataFrame, max_bits: int = 1 << 26) -> tuple[DataFrame
     wanted = min(max_bits, 16 * max(1, narrow.count()))
     while bits < wanted:
         bits *= 2
-    return materialize(repeated_slots(narrow, bits), "bloom"), bits
+    return materialize(hit_slots(narrow, bits, at_least), "bloom"), bits
 
 
 def probe(rows: DataFrame, filters: DataFrame, bits: int) -> DataFrame:

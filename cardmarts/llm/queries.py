@@ -6,9 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardmarts.llm import exact_dedup, language_id, mixing, pii, quality_rules, url_reputation
+from cardmarts.llm import (
+    cross_polytope,
+    exact_dedup,
+    language_id,
+    mixing,
+    pii,
+    prob_minhash,
+    quality_rules,
+    url_reputation,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_prob_minhash": prob_minhash.op2_prob_minhash,
+    "op3_cross_polytope": cross_polytope.op3_cross_polytope,
     "op4_url_reputation": url_reputation.op4_url_reputation,
     "op5_language_id": language_id.op5_language_id,
     "op6_pii": pii.op6_pii,
