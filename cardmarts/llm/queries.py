@@ -14,20 +14,25 @@ from cardmarts.llm import (
     pii,
     prob_minhash,
     quality_rules,
+    sentencepieces,
     url_reputation,
+    warc_index,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_index": warc_index.op1_warc_index,
     "op2_prob_minhash": prob_minhash.op2_prob_minhash,
     "op3_cross_polytope": cross_polytope.op3_cross_polytope,
     "op4_url_reputation": url_reputation.op4_url_reputation,
     "op5_language_id": language_id.op5_language_id,
     "op6_pii": pii.op6_pii,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc_index": warc_index.OP1_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
 }
