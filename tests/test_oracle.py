@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry  # noqa: E402
+from cardmarts.testbed.queries import QUERIES
 from oracle_check import compare, duck
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
