@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from cardmarts.plans.run import LAYERS, Lake, register_layers, run_layer
 from cardmarts.session import apply_conf, scale_conf
+from cardmarts.sinks.tables import drop_old_versions
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -28,7 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--layers", nargs="+", choices=LAYERS, default=list(LAYERS))
     ap.add_argument("--tables", nargs="+", help="only these tables (with a single layer)")
     ap.add_argument("--format", default="parquet", help="table format (parquet, or delta if installed)")
-    ap.add_argument("--register", action="store_true", help="register <layer>.<table> in the catalog")
+    ap.add_argument("--register", action="store_true",
+                    help="register <layer>.<table>, gold.vw_<table> and the run log in the catalog")
+    ap.add_argument("--config-root", help="folder with the three config files (default: the packaged ones)")
+    ap.add_argument("--keep-versions", type=int, help="afterwards remove older copies of the built tables")
     ap.add_argument("--input-bytes", type=int, help="approximate input size, to size shuffles")
     ap.add_argument("--json-glob", default="*.json", help="file pattern of JSON dictionary files")
     args = ap.parse_args(argv)
@@ -46,11 +50,16 @@ def main(argv: list[str] | None = None) -> int:
     prev = None
     for layer in args.layers:
         prev = written[layer] = run_layer(spark, lake, layer, args.date, landing_root=args.landing,
-                                          tables=args.tables, file_glob=args.json_glob, inputs=prev)
+                                          tables=args.tables, file_glob=args.json_glob, inputs=prev,
+                                          config_root=args.config_root)
         for table, w in written[layer].items():
             print(json.dumps({"layer": layer, "table": table, "path": w.path, "rows": w.rows}))
     if args.register:
         register_layers(spark, lake, written)
+    if args.keep_versions:
+        for layer, tables in written.items():
+            for table in tables:
+                drop_old_versions(spark, lake.table_root(layer, table), args.keep_versions)
     return 0
 
 

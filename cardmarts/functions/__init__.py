@@ -16,6 +16,7 @@ from cardmarts.functions.cleaning import (
     year_month,
 )
 from cardmarts.functions.metrics import (
+    as_money,
     fraud_amount_sum,
     fraud_count,
     money_avg,
@@ -26,7 +27,7 @@ from cardmarts.functions.metrics import (
 from cardmarts.functions.quality import dq_flag, dq_flags, null_rules
 
 __all__ = [
-    "CARD_MASK", "add_bronze_lineage", "add_layer_audit", "card_last4", "clean_currency",
+    "CARD_MASK", "add_bronze_lineage", "add_layer_audit", "as_money", "card_last4", "clean_currency",
     "dq_flag", "dq_flags", "error_flag", "fraud_amount_sum", "fraud_count", "label_to_boolean",
     "mask_card_number", "money_avg", "money_sum", "null_rules", "rate_pct", "risk_tier",
     "round_coordinates", "to_boolean", "to_date", "to_int", "to_timestamp", "year_month",

@@ -1,10 +1,12 @@
 """Money sums, rates and the risk tier.
 
-Money columns are doubles (as in the source), but sums run over
-``decimal(18,2)``: the two-digit amounts add up exactly, so the result does
-not depend on the order in which partitions are merged. Rates and averages
-are rounded half up with exact integer arithmetic rather than by rounding a
-double, which can land on either side of a tie.
+Money columns are doubles (as in the source), but sums run over a wide
+decimal with six digits after the point: amounts add up exactly, so the result
+does not depend on the order in which partitions are merged, and rounding
+comes after the sum. A value that the decimal cannot hold (NaN, infinite, or
+beyond 10^24) is no amount: it is skipped like a null and flagged
+``invalid_amount``. Rates are rounded half up in decimal arithmetic rather
+than by rounding a double, which can land on either side of a tie.
 """
 
 from __future__ import annotations
@@ -12,16 +14,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(30,6)"
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def as_money(col: str | Column) -> Column:
+    """A money column as an exact decimal; null where it cannot hold the value."""
+    return _c(col).try_cast(MONEY)
+
+
 def money_sum(col: str | Column) -> Column:
-    """Exact sum of a money column as double; nulls skipped, all-null gives null."""
-    return F.sum(_c(col).cast(MONEY)).cast("double")
+    """Exact sum of a money column as double; what is no amount is skipped, all-null gives null."""
+    return F.sum(as_money(col)).cast("double")
 
 
 def fraud_count(flag: str | Column = "is_fraud") -> Column:
@@ -34,29 +41,23 @@ def fraud_amount_sum(amount: str | Column = "amount", flag: str | Column = "is_f
     return money_sum(F.when(_c(flag) == F.lit(True), _c(amount)).otherwise(F.lit(0.0)))
 
 
-def _floor_div(a: Column, b: Column) -> Column:
-    # a >= 0, b > 0, both long. a - a % b is an exact multiple of b, so the
-    # double quotient is exact while it stays below 2**53.
-    return ((a - a % b) / b).cast("long")
-
-
 def half_up_div(num: Column, den: Column) -> Column:
-    """``num / den`` rounded half away from zero to an integer; num, den integral, den > 0."""
-    q = _floor_div((F.abs(num) * 2 + den).cast("long"), (den * 2).cast("long"))
+    """``num / den`` rounded half away from zero to a whole number; decimals, den > 0."""
+    q = F.call_function("div", F.abs(num) * 2 + den, den * 2)
     return F.when(num < 0, -q).otherwise(q)
 
 
 def rate_pct(part: str | Column, total: str | Column) -> Column:
     """``round(part / total * 100, 2)`` half up, exactly; null when total is null or 0."""
-    p, t = _c(part).cast("long"), _c(total).cast("long")
+    p, t = _c(part).cast("decimal(20,0)"), _c(total).cast("decimal(20,0)")
     return F.when(t > 0, half_up_div(p * 10000, t) / F.lit(100.0))
 
 
 def money_avg(col: str | Column) -> Column:
-    """``round(avg(col), 2)`` half up over the two-digit money values, exactly."""
-    cents = F.sum((_c(col).cast(MONEY) * 100).cast("long"))
-    n = F.count(_c(col))
-    return F.when(n > 0, half_up_div(cents, n) / F.lit(100.0))
+    """``round(avg(col), 2)`` half up over the exact amounts."""
+    m = as_money(col)
+    total, n = F.sum(m).cast("decimal(33,6)"), F.count(m).cast("decimal(20,0)")
+    return F.when(n > 0, half_up_div((total * 100).cast("decimal(35,6)"), n) / F.lit(100.0))
 
 
 # Tier names and the bound of the middle tier (percent).

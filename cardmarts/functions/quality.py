@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cardmarts.functions.metrics import as_money
+
 
 def dq_flag(condition: Column, name: str) -> Column:
     """The flag name when ``condition`` is true, else null."""
@@ -44,6 +46,11 @@ FACT_RULES = (
 )
 
 
+# Money columns: also flagged when no exact amount can hold the value.
+MONEY_COLUMNS = ("amount",)
+
+
 def null_rules(rules: tuple[tuple[str, str], ...]) -> Column:
-    """``dq_flags`` over "column is null" rules."""
-    return dq_flags(*(dq_flag(F.col(c).isNull(), name) for c, name in rules))
+    """``dq_flags`` over "column is null" rules (for money: "is no amount")."""
+    value = lambda c: as_money(c) if c in MONEY_COLUMNS else F.col(c)
+    return dq_flags(*(dq_flag(value(c).isNull(), name) for c, name in rules))

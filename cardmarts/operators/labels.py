@@ -1,31 +1,21 @@
 """Left join of transactions to fraud labels on transaction_id.
 
 Labels are joined as they come: a repeated label repeats the transaction row
-(the reference behaviour). A transaction id that repeats very often would
-send all its label rows, and all its output rows, through one task of a
-sort-merge join; AQE cannot split it here because the transaction side
-arrives from the dedup window rather than straight from a shuffle. So the
-join sets such hot ids apart:
-
-* label rows are counted per id in one small job over the labels; ids with
-  more than ``hot_key_rows`` rows are hot. There are at most
-  ``rows(labels) / hot_key_rows`` of them, which bounds both the list that
-  reaches the driver and its broadcast. With no hot id (the usual case) the
-  join is a single sort-merge left join and nothing below applies;
-* hot ids: their raw transaction rows are picked out *before* the dedup (a
-  map-side broadcast filter), deduplicated on their own, broadcast (one row
-  per hot id), and the hot label rows stream past them in parallel;
-* all other ids: the usual sort-merge left join, with hot label rows removed
-  first so they never pile up in one reducer. The transaction side keeps its
-  partitioning from the dedup, so only the labels are shuffled.
-
-Transaction rows with a null id cannot match; ``split_null_keys`` routes them
-around the join.
+(the reference behaviour). The transaction side keeps its partitioning from
+the dedup, so only the labels are shuffled, once.
+
+A transaction id that repeats very often would send all its label rows, and
+all its output rows, through one task; adaptive execution cannot split that
+join, because the transaction side does not come straight from a shuffle. The
+caller may therefore name such ids (``hot_ids``, see ``hot_label_ids``). Their
+label rows are then spread over ``salts`` join keys and their transaction rows
+repeated once per salt; every other row keeps salt 0. Nothing is broadcast and
+every key is assigned before the spread. Naming no id plans the plain join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +25,9 @@ from cardmarts.operators.dedup import keep_latest
 
 KEY = "transaction_id"
 HOT_KEY_ROWS = 1_000_000
+MAX_HOT_IDS = 10_000
 LABEL_COLUMNS = ("is_fraud", "_bronze_batch_id_fraud_labels")
+_SALT, _HIT = "__salt", "__hit"
 
 
 def fraud_label_columns(labels: DataFrame) -> DataFrame:
@@ -47,63 +39,56 @@ def fraud_label_columns(labels: DataFrame) -> DataFrame:
     ).filter(F.col(KEY).isNotNull())
 
 
-def hot_label_ids(slim: DataFrame, hot_key_rows: int) -> list[str]:
-    """Ids with more than ``hot_key_rows`` label rows (one small job over the labels).
+def hot_label_ids(labels: DataFrame, hot_key_rows: int = HOT_KEY_ROWS, seed: int = 1) -> list[str]:
+    """Ids with more than ``hot_key_rows`` label rows; runs jobs, so it belongs to a runner.
 
-    At most ``rows(labels) / hot_key_rows`` ids can qualify, so the list that
-    reaches the driver is bounded by the threshold.
+    A sample that expects a thousand rows of any such id names the candidates
+    (those with at least half of that); only their rows are then counted, so
+    the near-unique ids are not shuffled. An id also needs one row in
+    ``MAX_HOT_IDS`` of all rows, which bounds the list.
     """
-    hot = slim.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_key_rows)
-    return [r[0] for r in hot.select(KEY).collect()]
-
-
-def _left_join(txn: DataFrame, slim: DataFrame, split_null_keys: bool) -> DataFrame:
-    if not split_null_keys:
-        return txn.join(slim, KEY, "left")
-    # null ids never match; kept apart they do not all land in one join task
-    keyed = txn.filter(F.col(KEY).isNotNull()).join(slim, KEY, "left")
-    unkeyed = txn.filter(F.col(KEY).isNull()).select(
-        "*", *[F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in LABEL_COLUMNS])
-    return keyed.unionByName(unkeyed)
+    ids = labels.select(KEY).filter(F.col(KEY).isNotNull())
+    share = min(1.0, 1000 / hot_key_rows)
+    least = share * hot_key_rows / 2
+    total, drawn = ids.count(), ids.sample(fraction=share, seed=seed) if share < 1 else ids
+    likely = drawn.groupBy(KEY).agg(F.count("*").alias("n")).filter(
+        (F.col("n") >= least) & (F.col("n") >= share * total / MAX_HOT_IDS / 2))
+    names = [r[0] for r in likely.select(KEY).collect()]
+    if not names:
+        return []
+    exact = ids.filter(F.col(KEY).isin(names)).groupBy(KEY).agg(F.count("*").alias("n"))
+    exact = exact.filter((F.col("n") > hot_key_rows) & (F.col("n") > total / MAX_HOT_IDS))
+    return sorted(r[0] for r in exact.select(KEY).collect())
 
 
 def attach_fraud_labels(
     txn: DataFrame,
     labels: DataFrame,
-    prepare: Callable[[DataFrame, bool], DataFrame] | None = None,
-    raw_key: str = KEY,
     dedup_labels: bool = False,
-    hot_key_rows: int | None = HOT_KEY_ROWS,
-    split_null_keys: bool = False,
+    hot_ids: Sequence[str] = (),
+    salts: int = 64,
 ) -> DataFrame:
-    """Add ``is_fraud`` and ``_bronze_batch_id_fraud_labels`` by transaction_id.
-
-    ``prepare(rows, hot)`` turns raw transaction rows (keyed by ``raw_key``)
-    into one row per ``transaction_id``; with hot ids it is called once for
-    them and once for the rest (``hot`` says which), so that per-row work
-    such as surrogate keys can keep the two apart. Without ``prepare``,
-    ``txn`` must already hold one row per transaction_id.
-
-    A transaction with no label keeps a null ``is_fraud`` (unknown, not
-    false). ``dedup_labels=True`` keeps the latest label per id instead of
-    all; ``hot_key_rows=None`` skips the hot-id check; ``split_null_keys``
-    routes null ids around the join (use it when many ids may be null).
+    """Add ``is_fraud`` and ``_bronze_batch_id_fraud_labels`` by transaction_id; lazy.
+
+    ``txn`` holds one row per transaction_id. A transaction with no label keeps
+    a null ``is_fraud`` (unknown, not false). ``dedup_labels=True`` keeps the
+    latest label per id instead of all.
     """
-    if prepare is None:
-        def prepare(rows: DataFrame, hot: bool) -> DataFrame:
-            return rows
     if dedup_labels:
         labels = keep_latest(labels, KEY)
     slim = fraud_label_columns(labels)
-    ids = [] if hot_key_rows is None or dedup_labels else hot_label_ids(slim, hot_key_rows)
-    if not ids:
-        return _left_join(prepare(txn, False), slim, split_null_keys)
-
-    spark = txn.sparkSession
-    hot = F.broadcast(spark.createDataFrame([(i,) for i in ids], f"{KEY} string"))
-    raw_hot = hot.withColumnRenamed(KEY, raw_key) if raw_key != KEY else hot
-    cold = _left_join(prepare(txn.join(raw_hot, raw_key, "left_anti"), False),
-                      slim.join(hot, KEY, "left_anti"), split_null_keys)
-    hot_txn = F.broadcast(prepare(txn.join(raw_hot, raw_key, "left_semi"), True))
-    hot_rows = slim.join(hot, KEY, "left_semi").join(hot_txn, KEY, "inner")
-    return cold.unionByName(hot_rows.select(*cold.columns))
+    if not hot_ids or dedup_labels:
+        return txn.join(slim, KEY, "left")
+    hot = F.col(KEY).isin(list(hot_ids))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    spread = slim.withColumn(_SALT, F.when(hot, salt).otherwise(0)).withColumn(_HIT, F.lit(True))
+    every = F.when(F.coalesce(hot, F.lit(False)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    joined = txn.withColumn(_SALT, F.explode(every)).join(spread, [KEY, _SALT], "left")
+    # a hot id has labels; those of its copies that met none are not rows of their own
+    return joined.filter(F.col(_HIT).isNotNull() | ~F.coalesce(hot, F.lit(False))).drop(_SALT, _HIT)
+
+
+def without_labels(txn: DataFrame, labels: DataFrame) -> DataFrame:
+    """``txn`` with null label columns: for rows whose id is null, which can match nothing."""
+    kinds = fraud_label_columns(labels).schema
+    return txn.select("*", *[F.lit(None).cast(kinds[c].dataType).alias(c) for c in LABEL_COLUMNS])

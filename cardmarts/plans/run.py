@@ -11,21 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from cardmarts.operators.labels import hot_label_ids
 from cardmarts.plans.gold import GOLD_TABLES
 from cardmarts.plans.silver import PARTITION_COLUMNS, SILVER_TABLES, with_month_partition
 from cardmarts.schemas import ENTITIES
-from cardmarts.sinks.runlog import log_step, new_run_id, run_context
+from cardmarts.sinks.runlog import log_step, new_run_id, register_log, run_context
 from cardmarts.sinks.tables import (
     Written,
+    create_catalog_views,
     create_schema,
     new_version,
     publish_table,
     read_table,
     register_table,
 )
-from cardmarts.sources.config import active_tables
+from cardmarts.sources.config import active_rows
 from cardmarts.sources.landing import read_landing
 
 LAYERS = ("bronze", "silver", "gold")
@@ -72,7 +75,7 @@ def _logged(
     try:
         out = work()
     except Exception as e:
-        note("FAILED", err=str(e)[:4000])
+        note("FAILED", err=str(e))
         raise
     note("SUCCESS", out.rows)
     return out
@@ -81,7 +84,7 @@ def _logged(
 def ingest_entity(
     spark: SparkSession, lake: Lake, landing_root: str, entity: str, ingestion_date: str,
     source_format: str | None = None, run_id: str | None = None, log: bool = True,
-    file_glob: str = "*.json",
+    file_glob: str = "*.json", folder: str | None = None,
 ) -> Written:
     """Landing files of one entity and date -> a new version of its bronze table."""
     _check("bronze", entity)
@@ -89,7 +92,8 @@ def ingest_entity(
     root = lake.table_root("bronze", entity)
 
     def work() -> Written:
-        df = read_landing(spark, landing_root, entity, ingestion_date, source_format, file_glob=file_glob)
+        df = read_landing(spark, landing_root, entity, ingestion_date, source_format, file_glob=file_glob,
+                          folder=folder)
         return publish_table(spark, df, root, version=_version(ingestion_date, run_id), fmt=lake.fmt)
 
     return _logged(spark, lake, run_id, "bronze", entity, work, log)
@@ -120,7 +124,10 @@ def build_silver_table(
     read = _reader(spark, lake, "bronze", inputs)
 
     def work() -> Written:
-        df = builder(*[read(i) for i in sources], load_date)
+        frames = [read(i) for i in sources]
+        # the one step that looks at the data before it plans: ids with very many labels
+        more = {"hot_ids": hot_label_ids(frames[1])} if table == "fact_transactions" else {}
+        df = builder(*frames, load_date, **more)
         if parts:
             df = with_month_partition(df)
         return publish_table(spark, df, lake.table_root("silver", table),
@@ -155,23 +162,31 @@ def _version(date: str, run_id: str) -> str:
 def run_layer(
     spark: SparkSession, lake: Lake, layer: str, run_date: str, landing_root: str | None = None,
     tables: Sequence[str] | None = None, run_id: str | None = None, log: bool = True,
-    file_glob: str = "*.json", inputs: Mapping[str, Written] | None = None,
+    file_glob: str = "*.json", inputs: Mapping[str, Written] | None = None, config_root: str | None = None,
 ) -> dict[str, Written]:
-    """Build every active table of a layer (from its config unless ``tables`` is given).
+    """Build every active table of a layer (from its config), or those of ``tables``.
+
+    A bronze entity's config row names its landing folder and source format;
+    a format that the entity is not delivered in is rejected. ``config_root``
+    is a folder with config files other than the packaged ones.
 
     ``inputs``: versions of the previous layer to build from (default: live copies).
     """
     if layer not in LAYERS:
         raise ValueError(f"Unsupported layer: {layer}")
     run_id = run_id or new_run_id()
-    names = list(tables) if tables is not None else active_tables(spark, layer)
+    rows = active_rows(spark, layer, config_root)
+    listed = {r[0]: r for r in rows}
+    names = list(tables) if tables is not None else list(listed)
     out: dict[str, Written] = {}
     for name in names:
         if layer == "bronze":
             if landing_root is None:
                 raise ValueError("bronze needs landing_root")
-            out[name] = ingest_entity(spark, lake, landing_root, name, run_date, run_id=run_id, log=log,
-                                      file_glob=file_glob)
+            row = listed.get(name)
+            out[name] = ingest_entity(spark, lake, landing_root, name, run_date,
+                                      source_format=row["source_format"] if row else None, run_id=run_id, log=log,
+                                      file_glob=file_glob, folder=row["landing_folder"] if row else None)
         elif layer == "silver":
             out[name] = build_silver_table(spark, lake, name, run_date, run_id, log, inputs)
         else:
@@ -181,7 +196,7 @@ def run_layer(
 
 def run_all(
     spark: SparkSession, lake: Lake, landing_root: str, run_date: str, run_id: str | None = None,
-    log: bool = True, file_glob: str = "*.json",
+    log: bool = True, file_glob: str = "*.json", config_root: str | None = None,
 ) -> dict[str, dict[str, Written]]:
     """Bronze, then silver, then gold for one date; a failing table stops the run.
 
@@ -193,16 +208,22 @@ def run_all(
     prev: dict[str, Written] | None = None
     for layer in LAYERS:
         prev = out[layer] = run_layer(spark, lake, layer, run_date, landing_root, run_id=run_id,
-                                      log=log, file_glob=file_glob, inputs=prev)
+                                      log=log, file_glob=file_glob, inputs=prev, config_root=config_root)
     return out
 
 
 def register_layers(spark: SparkSession, lake: Lake, written: dict[str, dict[str, Written]]) -> list[str]:
-    """Register every written table as ``<layer>.<table>`` in the session catalog."""
+    """Register every written table as ``<layer>.<table>`` in the catalog, a persistent view
+    ``gold.vw_<table>`` over each gold mart, and the run log once it has rows."""
     names = []
     for layer, tables in written.items():
         create_schema(spark, layer, f"{lake.root.rstrip('/')}/_catalog/{layer}.db")
         for table, w in tables.items():
             register_table(spark, f"{layer}.{table}", w.path, lake.fmt)
             names.append(f"{layer}.{table}")
+    names += create_catalog_views(spark, {t: f"gold.{t}" for t in written.get("gold", {})})
+    try:
+        names.append(register_log(spark, lake.log_path))
+    except AnalysisException:  # no step was logged
+        pass
     return names

@@ -49,12 +49,15 @@ def local_session(
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session. If it is unset (tests on a
-    laptop), a fresh folder is made once and recorded in the session so that
-    later calls and ``DataFrame.checkpoint`` agree on it.
+    Reads ``spark.checkpoint.dir`` from the session. If it is unset in local
+    mode (tests on a laptop), a fresh folder is made once and recorded in the
+    session so that later calls and ``DataFrame.checkpoint`` agree on it. On a
+    cluster a folder of one machine would lose data, so an unset one is an error.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None) or spark.conf.get(_LOCAL_CONF, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         # core settings cannot be changed on a live session; keep ours beside it
         base = tempfile.mkdtemp(prefix="cardmarts-")
         spark.conf.set(_LOCAL_CONF, base)
@@ -64,17 +67,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *[p.strip("/") for p in parts if p]])
 
 
-def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """SQL settings sized for ``input_bytes`` of input on ``cores`` executor cores.
 
     The shuffle starts with about one partition per ``partition_bytes`` of
-    input (at least two per core, at most ``max_partitions``) and AQE merges
+    input (at least two per core; no upper bound) and AQE merges
     small ones towards ``partition_bytes`` and splits skewed ones, in joins
     and in the rebalance before partitioned writes. Scans read splits of the
     same size.
     """
-    parts = max(2 * cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

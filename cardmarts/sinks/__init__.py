@@ -4,9 +4,11 @@ from cardmarts.sinks.runlog import log_step, new_run_id, read_log, run_context
 from cardmarts.sinks.tables import (
     Written,
     compact_table,
+    create_catalog_views,
     create_schema,
     create_serving_views,
     current_path,
+    drop_old_versions,
     layer_inventory,
     publish_table,
     read_table,
@@ -16,7 +18,7 @@ from cardmarts.sinks.tables import (
 )
 
 __all__ = [
-    "Written", "compact_table", "create_schema", "create_serving_views", "current_path",
+    "Written", "compact_table", "create_catalog_views", "create_schema", "create_serving_views", "current_path", "drop_old_versions",
     "layer_inventory", "log_step", "new_run_id", "publish_table", "read_log", "read_table",
     "register_table", "run_context", "top_n", "write_table",
 ]

@@ -65,5 +65,14 @@ def log_step(
     spark.range(1, numPartitions=1).select(*cols).write.mode("append").parquet(log_path)
 
 
+def register_log(spark: SparkSession, log_path: str, name: str = "control.pipeline_logs") -> str:
+    """The run log as a named table over its folder, so that later rows show without more ado."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RUN_LOG.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{log_path}'")
+    spark.catalog.refreshTable(name)
+    return name
+
+
 def read_log(spark: SparkSession, log_path: str):
     return spark.read.schema(RUN_LOG).parquet(log_path)

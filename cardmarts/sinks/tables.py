@@ -3,12 +3,13 @@
 Storage layout of one table::
 
     <table_root>/v=<version>/...      one complete copy per write
-    <table_root>/_current/            one text line: the path of the live copy
+    <table_root>/_current/n=<k>/      one text line: the path of the k-th live copy
 
-A write goes to a fresh version folder and only then moves the pointer, so
-readers never see a half-written or half-deleted table, and a job that dies
-mid-write leaves the live copy untouched (plain parquet has no atomic
-overwrite). Old versions stay until the caller removes them.
+A write goes to a fresh version folder and only then adds a pointer with the
+next number; the greatest one that is complete counts. Nothing is overwritten,
+so readers never see a half-written or half-deleted table, and a job that dies
+at any step leaves the live copy as it was. ``drop_old_versions`` removes what
+is no longer live.
 """
 
 from __future__ import annotations
@@ -36,14 +37,16 @@ def write_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> int:
     """Write ``df`` and return the number of rows written, observed during the write.
 
-    With ``partition_by`` the rows are rebalanced on those columns first: each
-    partition value goes to few tasks (few files), and AQE splits a value that
-    holds too many rows over several tasks instead of one.
+    The rows are rebalanced first, on the partition columns if there are any:
+    AQE then sizes the files (``advisoryPartitionSizeInBytes``), merging small
+    parts and splitting a partition value that holds too many rows. Every
+    write is thus compact; ``rebalance=False`` writes the parts as they come.
     """
-    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = df.hint("rebalance", *partition_by) if rebalance else df
     # observed in the write (result) stage, whose task updates count once even
     # when a lost executor makes Spark rerun earlier stages
     obs = Observation()
@@ -61,18 +64,44 @@ def new_version(label: str = "") -> str:
 
 def current_path(spark: SparkSession, table_root: str) -> str:
     """Path of the live copy of a table."""
+    live = _pointers(spark, table_root)
+    if not live:
+        raise FileNotFoundError(f"table not written yet: {table_root}")
+    return live[-1][1]
+
+
+def _pointers(spark: SparkSession, table_root: str) -> list[tuple[int, str]]:
+    """(number, path) of every recorded copy, oldest first (one line per kept version)."""
     try:
-        row = spark.read.text(f"{table_root.rstrip('/')}/{POINTER}").first()
-    except AnalysisException as e:
-        raise FileNotFoundError(f"table not written yet: {table_root}") from e
-    if row is None:
-        raise FileNotFoundError(f"no live copy recorded for {table_root}")
-    return row[0]
+        rows = spark.read.schema("value string, n long").text(f"{table_root.rstrip('/')}/{POINTER}").collect()
+    except AnalysisException:
+        return []
+    return sorted((r["n"], r["value"]) for r in rows)
 
 
 def _set_current(spark: SparkSession, table_root: str, path: str) -> None:
+    """Record ``path`` as the next copy. Two writers that take the same number both stay; the greater path counts."""
+    live = _pointers(spark, table_root)
+    number = live[-1][0] + 1 if live else 1
     pointer = spark.range(1, numPartitions=1).select(F.lit(path).alias("value"))
-    pointer.write.mode("overwrite").text(f"{table_root.rstrip('/')}/{POINTER}")
+    pointer.write.mode("append").text(f"{table_root.rstrip('/')}/{POINTER}/n={number}")
+
+
+def drop_old_versions(spark: SparkSession, table_root: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest ``keep`` recorded copies and their pointers; the removed paths.
+
+    Run it when no reader uses the older copies. Uses the file system of the
+    path, through Spark's Hadoop configuration.
+    """
+    if keep < 1:
+        raise ValueError("at least the live copy is kept")
+    old = _pointers(spark, table_root)[:-keep]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for number, path in old:
+        for gone in (f"{table_root.rstrip('/')}/{POINTER}/n={number}", path):  # the pointer first
+            p = jvm.org.apache.hadoop.fs.Path(gone)
+            p.getFileSystem(conf).delete(p, True)
+    return [path for _, path in old]
 
 
 def publish_table(
@@ -106,8 +135,6 @@ def compact_table(
     job fails.
     """
     df = read_table(spark, table_root, fmt)
-    if not partition_by:
-        df = df.hint("rebalance")
     return publish_table(spark, df, table_root, new_version("compact"), partition_by, fmt)
 
 
@@ -119,17 +146,37 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """Point a catalog name at a path (external table: dropping it keeps the files).
 
-    A partitioned table only shows the partitions the catalog knows, so its
-    folders are registered too.
+    A name that exists is moved to the new path, so readers always find it,
+    unless its columns changed. A partitioned table only shows the partitions
+    the catalog knows, so its folders are registered too.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    kind = spark.read.format(fmt).load(path).schema.simpleString()
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema.simpleString() == kind:
+            if any(c.isPartition for c in spark.catalog.listColumns(name)):
+                for row in spark.sql(f"SHOW PARTITIONS {name}").collect():  # a row per month
+                    spec = ", ".join("{}='{}'".format(*x.split("=", 1)) for x in row[0].split("/"))
+                    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def create_catalog_views(spark: SparkSession, tables: Mapping[str, str], schema: str = "gold") -> list[str]:
+    """One persistent view ``<schema>.vw_<name>`` per registered table (name -> catalog table)."""
+    names = []
+    for name, registered in tables.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.vw_{name} AS SELECT * FROM {registered}")
+        names.append(f"{schema}.vw_{name}")
+    return names
+
+
 def create_serving_views(spark: SparkSession, tables: Mapping[str, str], fmt: str = "parquet") -> list[str]:
-    """One ``vw_<table>`` temp view per table root, over its live copy."""
+    """One ``vw_<table>`` temp view of this session per table root, over its live copy."""
     names = []
     for name, root in tables.items():
         read_table(spark, root, fmt).createOrReplaceTempView(f"vw_{name}")

@@ -4,16 +4,17 @@ CSV: the header line is skipped and columns are matched by position against
 a fixed all-string schema; an empty field is null, a short row is padded
 with nulls and extra fields are dropped. Nothing is inferred.
 
-JSON dictionaries (``{"k": "v", ...}`` or ``{"target": {"k": "v", ...}}``):
-
-* ``read_json_dictionary`` reads each file as one text record and parses it
-  with ``from_json``. Simple and exact, but a whole file is one record in one
-  task, so it suits small files (code lists).
-* ``read_json_dictionary_chunked`` splits the text at commas, so a large file
-  is read by many tasks in parallel, and parses each ``"key": value`` chunk on
-  its own. It requires that no key or value contains a comma; any chunk that
-  is not exactly one pair fails the job with the file name, so a file it
-  cannot split correctly is never read wrongly.
+JSON dictionaries (``{"k": "v", ...}`` or ``{"target": {"k": "v", ...}}``) are
+read in splits by ``read_json_dictionary``, so one large file keeps many tasks
+busy, and the rows do not depend on a file's size. The text is cut after each
+quote-comma, which a comma inside a string does not match; every piece gets its
+quote and the braces it lacks back and is decoded by ``from_json``. Whitespace,
+escapes, numbers and nulls are therefore read as JSON has them, and members
+beside the root are dropped. What cannot be read exactly in pieces fails the
+job with the file's name, never silently: malformed JSON, nested values that
+are cut, a string that holds an escaped quote before a comma or begins with a
+comma, and string members before the root. ``read_json_dictionary_whole``
+reads such files, each in one task; the choice is an argument.
 
 Every reader takes all files matching ``file_glob`` (``*.json``) in the folder
 and below, and fails when there is none.
@@ -21,20 +22,16 @@ and below, and fails when there is none.
 
 from __future__ import annotations
 
-import re
+import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from cardmarts.schemas import CSV_ENTITIES, STRING_MAP
 
 SOURCE_FILE = "__source_file"
-
-# A JSON string, and the value forms a string map accepts.
-_STR = r'"(?:[^"\\]|\\.)*"'
-_VALUE = rf'(?:{_STR}|null|true|false|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)'
-_PAIR = rf'{_STR}\s*:\s*{_VALUE}'
+FAIL = {"mode": "FAILFAST"}
 
 
 class SourceMissing(FileNotFoundError):
@@ -62,77 +59,53 @@ def _json_text(spark: SparkSession, path: str, file_glob: str, **options) -> Dat
     return df
 
 
-def largest_file_bytes(spark: SparkSession, path: str, file_glob: str = "*.json") -> int:
-    """Size of the largest matching file below ``path`` (file listing only; no content read)."""
-    files = spark.read.format("binaryFile").load(path, pathGlobFilter=file_glob)
-    largest = files.agg(F.max("length")).first()[0]
-    if largest is None:
-        raise SourceMissing(f"no {file_glob} file in {path}")
-    return int(largest)
+def _pairs(text: Column, root: str | None) -> Column:
+    """The string map in a JSON object, or in its member ``root``; fails on other text."""
+    schema = StructType([StructField(root, STRING_MAP)]) if root else STRING_MAP
+    parsed = F.from_json(text, schema, FAIL)
+    return _or_fail(parsed[root] if root else parsed, f"JSON dictionary without its member {root!r}")
 
 
-def read_json_dictionary(
+def _or_fail(value: Column, reason: str) -> Column:
+    return F.when(value.isNotNull(), value).otherwise(
+        F.raise_error(F.concat(F.lit(f"{reason} in "), F.col(SOURCE_FILE))))
+
+
+def read_json_dictionary_whole(
     spark: SparkSession, path: str, key_col: str, value_col: str, root: str | None = None,
     file_glob: str = "*.json",
 ) -> DataFrame:
-    """Rows ``(key_col, value_col, __source_file)`` from whole-file JSON dictionaries.
+    """Rows ``(key_col, value_col, __source_file)``, each file parsed whole in one task.
 
-    Malformed JSON gives zero rows for that file (``from_json`` yields null);
-    a repeated key gives one row per occurrence.
+    A repeated key gives one row per occurrence; malformed JSON fails the job.
     """
-    raw = _json_text(spark, path, file_glob, wholetext=True)
-    if root:
-        parsed = F.from_json("value", StructType([StructField(root, STRING_MAP)]))[root]
-    else:
-        parsed = F.from_json("value", STRING_MAP)
-    return raw.select(
-        F.explode(parsed).alias(key_col, value_col),
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-    )
+    raw = _json_text(spark, path, file_glob, wholetext=True).select(
+        "value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return raw.select(F.explode(_pairs(F.col("value"), root)).alias(key_col, value_col), SOURCE_FILE)
 
 
-def read_json_dictionary_chunked(
+def read_json_dictionary(
     spark: SparkSession, path: str, key_col: str, value_col: str, root: str | None = None,
     file_glob: str = "*.json",
 ) -> DataFrame:
-    """Same rows as ``read_json_dictionary``, read in parallel splits of each file.
-
-    Chunks whose value is a plain string or null (nearly all) take a
-    code-generated path: one anchored regex extracts the ``"key": value``
-    text and plain string functions cut it into key and value. Chunks with
-    an escape, a number or a boolean are parsed with ``from_json``, exact but
-    several times slower per row, so both readers give the same text.
-    """
-    raw = _json_text(spark, path, file_glob, lineSep=",")
-    head = rf'\{{\s*"{re.escape(root)}"\s*:\s*\{{' if root else r'\{'
-    tail = r'\}\s*\}' if root else r'\}'
-    one_pair = rf'^\s*(?:{head})?\s*({_PAIR})\s*(?:{tail})?\s*$'
-    empty = rf'^\s*{head}\s*{tail}\s*$'
+    """The rows of ``read_json_dictionary_whole``, read in parallel splits in one pass."""
+    depth = 2 if root else 1
     v = F.col("value")
-    chunks = raw.select(v, F.col("_metadata.file_path").alias(SOURCE_FILE)).filter(~v.rlike(empty))
-    # the value ends the chunk: a plain string (no escape) or null takes the fast path;
-    # numbers and booleans go through from_json too, which normalises their text
-    simple = ~v.contains("\\") & v.rlike(r'("|null)\s*(?:\}\s*)*$')
-
-    def pair_or_fail(c):
-        p = F.regexp_extract(c, one_pair, 1)
-        return F.when(p != "", p).otherwise(F.raise_error(F.concat(
-            F.lit("JSON dictionary chunk is not one key/value pair (a comma inside a key or "
-                  "value?) in "), F.col(SOURCE_FILE))))
-
-    # plain chunks: the regex runs once, in a projection of its own
-    plain = chunks.filter(simple).select(pair_or_fail(v).alias("pair"), SOURCE_FILE)
-    pair = F.col("pair")
-    key = F.substring_index(F.substring(pair, F.lit(2), F.length(pair)), '"', 1)
-    rest = F.substring(pair, F.length(key) + 3, F.length(pair))
-    val = F.trim(F.substring(rest, F.instr(rest, ":") + 1, F.length(rest)))
-    value = (
-        F.when(val == "null", F.lit(None).cast("string"))
-        .when(val.startswith('"'), F.substring(val, F.lit(2), F.length(val) - 2))
-        .otherwise(val)
-    )
-    plain = plain.select(key.alias(key_col), value.alias(value_col), SOURCE_FILE)
-    # other chunks: exact JSON decoding of the single pair
-    parsed = F.from_json(F.concat(F.lit("{"), pair_or_fail(v), F.lit("}")), STRING_MAP)
-    decoded = chunks.filter(~simple).select(F.explode(parsed).alias(key_col, value_col), SOURCE_FILE)
-    return plain.unionByName(decoded)
+    raw = _json_text(spark, path, file_glob, lineSep='",').select(v, F.col("_metadata.file_path").alias(SOURCE_FILE))
+    bare = F.when(v.contains("\\"), F.regexp_replace(v, r"(?s)\\.", "")).otherwise(v)
+    raw = raw.withColumn("bare", bare)
+    bare = F.col("bare")
+    count = lambda text, c: F.length(text) - F.length(F.replace(text, F.lit(c)))
+    # a cut piece lacks its closing quote; only the end of a file has all of them
+    raw = raw.select(v, SOURCE_FILE, bare, (count(bare, '"') % 2 == 0).alias("last"), bare.rlike(r"^\s*\{").alias("first"))
+    first, last = F.col("first"), F.col("last")
+    braces = F.when(bare.contains("{") | bare.contains("}"), F.regexp_replace(bare, r'"[^"]*"?', "")).otherwise("")
+    opened, closed = count(braces, "{"), count(braces, "}")
+    fits = F.when(last, closed - opened == F.when(first, 0).otherwise(depth)).otherwise(
+        (closed == 0) & (opened == F.when(first, depth).otherwise(0)))
+    fits = fits & ~bare.endswith("\\")  # else cut at an escaped quote
+    head = f"{{{json.dumps(root)}:{{" if root else "{"
+    text = F.concat(F.when(first, "").otherwise(head), v, F.when(last, "").otherwise('"' + "}" * depth))
+    text = _or_fail(F.when(fits, text), "JSON dictionary that cannot be read in pieces")
+    whole = raw.select(text.alias("text"), SOURCE_FILE)
+    return whole.select(F.explode(_pairs(F.col("text"), root)).alias(key_col, value_col), SOURCE_FILE)

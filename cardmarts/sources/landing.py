@@ -16,16 +16,11 @@ from cardmarts.schemas import CSV_ENTITIES, ENTITIES, JSON_ENTITIES, SOURCE_FORM
 from cardmarts.sources.files import (
     SOURCE_FILE,
     SourceMissing,
-    largest_file_bytes,
     read_csv_entity,
     read_json_dictionary,
-    read_json_dictionary_chunked,
+    read_json_dictionary_whole,
 )
 
-# Dictionary files up to this size are parsed whole (one bounded task per file);
-# larger ones are read in comma splits spread over many tasks.
-WHOLE_FILE_MAX_BYTES = 32 << 20
-
 
 def landing_path(landing_root: str, entity: str, ingestion_date: str) -> str:
     return f"{landing_root.rstrip('/')}/{entity}/ingestion_date={ingestion_date}"
@@ -50,27 +45,25 @@ def read_landing(
     entity: str,
     ingestion_date: str,
     source_format: str | None = None,
-    chunked: bool | None = None,
+    whole: bool = False,
     file_glob: str = "*.json",
+    folder: str | None = None,
 ) -> DataFrame:
     """Bronze rows of one entity and date: entity columns then the four lineage columns.
 
     Fails with ``SourceMissing`` when the date folder is absent (the presence
-    check runs before any job starts). JSON dictionaries are parsed whole when
-    every file is at most ``WHOLE_FILE_MAX_BYTES`` and read in splits otherwise;
-    ``chunked`` forces one reader (both give the same rows).
+    check runs before any job starts). JSON dictionaries are read in splits,
+    at every size alike; ``whole`` reads each file in one task instead.
+    ``folder`` names the entity's landing folder where it differs from the entity.
     """
     check_ingest_args(entity, source_format)
-    path = landing_path(landing_root, entity, ingestion_date)
+    path = landing_path(landing_root, folder or entity, ingestion_date)
     try:
         if entity in CSV_ENTITIES:
             df = read_csv_entity(spark, path, entity)
         else:
             root, key, value = JSON_ENTITIES[entity]
-            if chunked is None:
-                chunked = largest_file_bytes(spark, path, file_glob) > WHOLE_FILE_MAX_BYTES
-            use_chunks = chunked
-            reader = read_json_dictionary_chunked if use_chunks else read_json_dictionary
+            reader = read_json_dictionary_whole if whole else read_json_dictionary
             df = reader(spark, path, key, value, root, file_glob)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from cardmarts.functions.audit import add_bronze_lineage
 
-# Fixed values of the testbed: the run date and the brand missing from the code list.
+# Fixed values of the testbed: the run date and a merchant code that no part has.
 RUN_DATE = "2024-01-01"
-MISSING_BRAND = "Brand#7"
+UNKNOWN_CODE = "Brand#00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +33,7 @@ def _money_text(c: Column) -> Column:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item of customers whose key is not a multiple of 10."""
+    """One row per line item; some amounts have three decimals, a few are beyond any decimal."""
     li = table(spark, sf_dir, "lineitem")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -44,7 +44,6 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(su, li.l_suppkey == su.s_suppkey)
         .join(na, su.s_nationkey == na.n_nationkey)
         .join(pa, li.l_partkey == pa.p_partkey)
-        .filter(F.col("o_custkey") % 10 != 0)
     )
     line3 = F.col("l_linenumber") % 3
     return j.select(
@@ -54,6 +53,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("o_custkey")).alias("client_id"),
         _s(F.col("o_custkey") * 3 + line3).alias("card_id"),
         F.when(F.col("l_partkey") % 37 == 0, F.lit(""))
+        .when((F.col("l_orderkey") % 499 == 0) & (F.col("l_linenumber") == 1), F.lit("$1e30"))
+        .when(F.col("l_partkey") % 41 == 0, F.concat(_money_text(F.col("l_extendedprice")), F.lit("5")))
         .otherwise(_money_text(F.col("l_extendedprice"))).alias("amount"),
         F.when(line3 == 0, F.lit("Chip Transaction"))
         .when(line3 == 1, F.lit("Swipe Transaction"))
@@ -63,7 +64,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("merchant_state"),
         F.when(line3 == 2, F.lit(None).cast("string"))
         .otherwise(_s(F.col("l_suppkey") + 10000)).alias("zip"),
-        F.col("p_brand").alias("mcc"),
+        F.when(F.col("l_partkey") % 53 == 0, F.lit(UNKNOWN_CODE)).otherwise(F.col("p_brand")).alias("mcc"),
         F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1), F.lit("Bad PIN"))
         .alias("errors"),
     )
@@ -83,10 +84,12 @@ def raw_fraud_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).filter(F.col("is_fraud_label").isNotNull())
 
 
-def _user_columns(c: Column, nation: Column, acctbal: Column, address_suffix: str) -> list[Column]:
+def _user_columns(c: Column, nation: Column, acctbal: Column, address_suffix: str,
+                  id_prefix: str = "") -> list[Column]:
     month = _s(c % 12 + 1)
+    ident = F.concat(F.lit(id_prefix), _s(c)) if id_prefix else _s(c)
     return [
-        F.when(c % 97 == 0, F.lit(None).cast("string")).otherwise(_s(c)).alias("id"),
+        F.when(c % 97 == 0, F.lit(None).cast("string")).otherwise(ident).alias("id"),
         _s(c % 60 + 20).alias("current_age"),
         _s(c % 10 + 60).alias("retirement_age"),
         _s(2004 - c % 60).alias("birth_year"),
@@ -108,12 +111,13 @@ def _user_columns(c: Column, nation: Column, acctbal: Column, address_suffix: st
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer, plus an older second delivery for every 7th customer."""
+    """One row per customer, an older second delivery for every 7th, and for every 10th a user without activity."""
     cu = table(spark, sf_dir, "customer")
     c, nk, bal = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
     current = cu.select(*_user_columns(c, nk, bal, " Main St"))
     older = cu.filter(c % 7 == 0).select(*_user_columns(c, nk, bal, " Old Rd"))
-    return current.unionByName(older)
+    idle = cu.filter(c % 10 == 0).select(*_user_columns(c, nk, bal, " Idle Ln", "new-"))
+    return current.unionByName(older).unionByName(idle)
 
 
 def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,13 +152,13 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_mcc_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One code per part brand (description = smallest part type), one brand left out."""
+    """One code per part brand; the description holds the smallest part type and a comma."""
     pa = table(spark, sf_dir, "part")
     return (
-        pa.filter(F.col("p_brand") != MISSING_BRAND)
-        .groupBy("p_brand")
+        pa.groupBy("p_brand")
         .agg(F.min("p_type").alias("mcc_description"))
-        .select(F.col("p_brand").alias("mcc_code"), "mcc_description")
+        .select(F.col("p_brand").alias("mcc_code"),
+                F.concat("mcc_description", F.lit(", all kinds")).alias("mcc_description"))
     )
 
 

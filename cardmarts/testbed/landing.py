@@ -33,6 +33,9 @@ def _json_dictionary_files(df: DataFrame, key: str, value: str, root: str | None
     n = df.count()
     buckets = max(1, math.ceil(n / pairs_per_file))
     pair = F.regexp_replace(F.to_json(F.create_map(F.col(key), F.col(value))), r"^\{|\}$", "")
+    # legal whitespace of every kind around the colon, by the key's hash
+    blank = F.element_at(F.array(*[F.lit(x) for x in ("", " ", "\t", "\n", "\r\n")]), F.pmod(F.hash(key), F.lit(5)) + 1)
+    pair = F.regexp_replace(pair, '^("[^"]*"):', F.concat(F.lit("$1"), blank, F.lit(":"), blank))
     grouped = (
         # copies of one key from different input splits go to different files, so a
         # key repeated very often never gathers in one task; the split id keeps it

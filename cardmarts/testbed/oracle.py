@@ -21,6 +21,8 @@ SELECT
   cast(o.o_custkey AS varchar) AS client_id,
   cast(o.o_custkey * 3 + l.l_linenumber % 3 AS varchar) AS card_id,
   CASE WHEN l.l_partkey % 37 = 0 THEN ''
+       WHEN l.l_orderkey % 499 = 0 AND l.l_linenumber = 1 THEN '$1e30'
+       WHEN l.l_partkey % 41 = 0 THEN '$' || cast(cast(l.l_extendedprice AS decimal(18,2)) AS varchar) || '5'
        ELSE '$' || cast(cast(l.l_extendedprice AS decimal(18,2)) AS varchar) END AS amount,
   CASE l.l_linenumber % 3 WHEN 0 THEN 'Chip Transaction' WHEN 1 THEN 'Swipe Transaction'
        ELSE 'Online Transaction' END AS use_chip,
@@ -28,14 +30,13 @@ SELECT
   s.s_name AS merchant_city,
   n.n_name AS merchant_state,
   CASE WHEN l.l_linenumber % 3 = 2 THEN NULL ELSE cast(l.l_suppkey + 10000 AS varchar) END AS zip,
-  p.p_brand AS mcc,
+  CASE WHEN l.l_partkey % 53 = 0 THEN 'Brand#00' ELSE p.p_brand END AS mcc,
   CASE WHEN l.l_linestatus = 'F' AND l.l_linenumber = 1 THEN 'Bad PIN' END AS errors
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey
-JOIN part p ON l.l_partkey = p.p_partkey
-WHERE o.o_custkey % 10 <> 0""",
+JOIN part p ON l.l_partkey = p.p_partkey""",
     "raw_fraud_labels": """
 SELECT transaction_id, is_fraud_label FROM (
   SELECT cast(l_orderkey AS varchar) || '-' || cast(l_linenumber AS varchar) AS transaction_id,
@@ -45,7 +46,7 @@ SELECT transaction_id, is_fraud_label FROM (
 WHERE is_fraud_label IS NOT NULL""",
     "raw_users": """
 SELECT
-  CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE cast(c_custkey AS varchar) END AS id,
+  CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE pre || cast(c_custkey AS varchar) END AS id,
   cast(c_custkey % 60 + 20 AS varchar) AS current_age,
   cast(c_custkey % 10 + 60 AS varchar) AS retirement_age,
   cast(2004 - c_custkey % 60 AS varchar) AS birth_year,
@@ -63,9 +64,11 @@ SELECT
       || '.' || lpad(cast(c_custkey % 100 AS varchar), 2, '0') AS total_debt,
   CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE cast(c_custkey % 350 + 500 AS varchar) END AS credit_score,
   cast(c_custkey % 4 AS varchar) AS num_credit_cards
-FROM (SELECT *, ' Main St' AS sfx FROM customer
+FROM (SELECT *, ' Main St' AS sfx, '' AS pre FROM customer
       UNION ALL
-      SELECT *, ' Old Rd' AS sfx FROM customer WHERE c_custkey % 7 = 0) cu""",
+      SELECT *, ' Old Rd' AS sfx, '' AS pre FROM customer WHERE c_custkey % 7 = 0
+      UNION ALL
+      SELECT *, ' Idle Ln' AS sfx, 'new-' AS pre FROM customer WHERE c_custkey % 10 = 0) cu""",
     "raw_cards": """
 SELECT
   cast(c_custkey * 3 + k AS varchar) AS id,
@@ -87,8 +90,8 @@ SELECT
   CASE WHEN c_custkey % 41 = 0 THEN 'Yes' ELSE 'No' END AS card_on_dark_web
 FROM (SELECT c_custkey, unnest(range(0, c_custkey % 4)) AS k FROM customer) cc""",
     "raw_mcc_codes": """
-SELECT p_brand AS mcc_code, min(p_type) AS mcc_description
-FROM part WHERE p_brand <> 'Brand#7' GROUP BY p_brand""",
+SELECT p_brand AS mcc_code, min(p_type) || ', all kinds' AS mcc_description
+FROM part GROUP BY p_brand""",
 }
 
 ENTITY_COLUMNS = {
@@ -201,7 +204,8 @@ def _with(*names: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-FACT_FLAGS = _flags(("amount", "invalid_amount"), ("transaction_datetime", "invalid_datetime"),
+AMOUNT = "try_cast(amount AS decimal(30,6))"  # what can be summed exactly
+FACT_FLAGS = _flags((AMOUNT, "invalid_amount"), ("transaction_datetime", "invalid_datetime"),
                     ("customer_id", "missing_customer_id"))
 CUSTOMER_FLAGS = _flags(("customer_id", "missing_customer_id"), ("yearly_income", "invalid_yearly_income"),
                         ("credit_score", "missing_credit_score"))
@@ -209,26 +213,25 @@ CARD_FLAGS = _flags(("card_id", "missing_card_id"), ("credit_limit", "invalid_cr
 
 
 def _totals(keys: str, amount_name: str = "total_amount", fraud_amount: bool = True, extra: str = "") -> str:
-    fa = (",\n  cast(sum(CASE WHEN is_fraud THEN cast(amount AS decimal(18,2)) ELSE 0 END) AS double)"
+    fa = (",\n  cast(sum(CASE WHEN is_fraud THEN try_cast(amount AS decimal(30,6)) ELSE 0 END) AS double)"
           " AS total_fraud_amount") if fraud_amount else ""
     return f"""SELECT {keys}, total_transactions, total_fraud_transactions, {amount_name}
   {', total_fraud_amount' if fraud_amount else ''}{extra and ', ' + extra},
   {_rate('total_fraud_transactions', 'total_transactions')} AS fraud_rate_pct
 FROM (SELECT {keys}, count(*) AS total_transactions,
   count(*) FILTER (WHERE is_fraud) AS total_fraud_transactions,
-  cast(sum(cast(amount AS decimal(18,2))) AS double) AS {amount_name}{fa}
+  cast(sum({AMOUNT}) AS double) AS {amount_name}{fa}
   {extra and ', ' + _EXTRA[extra]}
   FROM silver_fact_transactions GROUP BY {keys}) g"""
 
 
+# the mean's rounding: whole hundredths of the sum in millionths, half away from zero
+_MILLIONTHS = f"cast(sum({AMOUNT}) * 1000000 AS hugeint)"
 _EXTRA = {
-    "avg_transaction_amount, unique_customers": """
-  CASE WHEN count(amount) > 0 THEN cast(
-    CASE WHEN sum(cast(cast(amount AS decimal(18,2)) * 100 AS bigint)) < 0
-         THEN -((2 * abs(sum(cast(cast(amount AS decimal(18,2)) * 100 AS bigint))) + count(amount))
-                // (2 * count(amount)))
-         ELSE (2 * sum(cast(cast(amount AS decimal(18,2)) * 100 AS bigint)) + count(amount))
-                // (2 * count(amount)) END AS double) / 100 END AS avg_transaction_amount,
+    "avg_transaction_amount, unique_customers": f"""
+  CASE WHEN count({AMOUNT}) > 0 THEN cast(sign({_MILLIONTHS}) * (
+    (2 * abs({_MILLIONTHS}) + 10000 * cast(count({AMOUNT}) AS hugeint))
+    // (20000 * cast(count({AMOUNT}) AS hugeint))) AS double) / 100 END AS avg_transaction_amount,
   count(DISTINCT customer_id) AS unique_customers""",
 }
 
@@ -370,6 +373,7 @@ def source_and_sink_sql() -> dict[str, str]:
     out["write_read_roundtrip"] = silver_sql("dim_card")
     out["fact_partition_prune"] = f"SELECT * FROM ({silver_sql('fact_transactions')}) f WHERE txn_year = 1997"
     out["compact_table"] = silver_sql("fact_transactions")
+    out["registered_table"] = silver_sql("fact_transactions")
     out["row_count_from_write"] = _with("fact_transactions") + (
         "SELECT 'fact_transactions' AS table_name, count(*) AS row_count FROM silver_fact_transactions")
     out["layer_inventory"] = _raw(*RAW) + "\nUNION ALL\n".join(

@@ -26,9 +26,12 @@ from cardmarts.sinks.runlog import read_log
 from cardmarts.sinks.tables import (
     Written,
     compact_table,
-    create_serving_views,
+    create_catalog_views,
+    create_schema,
+    current_path,
     publish_table,
     read_table,
+    register_table,
     top_n,
 )
 from cardmarts.sinks.tables import layer_inventory as inventory
@@ -51,17 +54,22 @@ def checked(df: DataFrame) -> DataFrame:
 
 # -- silver ------------------------------------------------------------------
 
+class _Silver(dict):
+    """Silver tables as lazy plans over the testbed bronze, each built when it is named."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, table: str) -> DataFrame:
+        builder, inputs = S.SILVER_TABLES[table]
+        df = builder(*[E.bronze(self.spark, self.sf_dir, i) for i in inputs], RUN_DATE)
+        self[table] = S.with_month_partition(df) if table in S.PARTITION_COLUMNS else df
+        return self[table]
+
+
 def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four silver tables as lazy plans over the testbed bronze."""
-    b = E.bronze_all(spark, sf_dir)
-    return {
-        "dim_customer": S.build_dim_customer(b["users"], RUN_DATE),
-        "dim_card": S.build_dim_card(b["cards"], RUN_DATE),
-        "dim_mcc": S.build_dim_mcc(b["mcc_codes"], RUN_DATE),
-        "fact_transactions": S.with_month_partition(
-            S.build_fact_transactions(b["transactions"], b["fraud_labels"], RUN_DATE)
-        ),
-    }
+    return _Silver(spark, sf_dir)
 
 
 def _silver(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -228,16 +236,16 @@ def bronze_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_json_dict_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels written as ``{"target": {...}}`` files, read in comma-separated splits."""
+    """Labels written as ``{"target": {...}}`` files, read in splits."""
     root = _landing(spark, sf_dir, "fraud_labels")
-    return checked(read_landing(spark, root, "fraud_labels", RUN_DATE, "json", chunked=True,
+    return checked(read_landing(spark, root, "fraud_labels", RUN_DATE, "json", whole=False,
                                 file_glob=JSON_FILE_GLOB))
 
 
 def bronze_json_dict_nested_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same label files read whole and parsed with ``from_json``."""
     root = _landing(spark, sf_dir, "fraud_labels")
-    return checked(read_landing(spark, root, "fraud_labels", RUN_DATE, "json", chunked=False,
+    return checked(read_landing(spark, root, "fraud_labels", RUN_DATE, "json", whole=True,
                                 file_glob=JSON_FILE_GLOB))
 
 
@@ -315,15 +323,33 @@ def layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory(spark, {t: lake.table_root("bronze", t) for t in written})
 
 
+def _schema(spark: SparkSession) -> str:
+    """A catalog schema of this run's own."""
+    name = f"cardmarts_{uuid.uuid4().hex[:12]}"
+    create_schema(spark, name, shared_dir(spark, "cardmarts-testbed", f"{name}.db"))
+    return name
+
+
+def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month-partitioned fact registered, moved to a second version, and read by its name."""
+    root, first = _published_fact(spark, sf_dir)
+    name = f"{_schema(spark)}.fact_transactions"
+    register_table(spark, name, first.path)
+    second = compact_table(spark, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"])
+    register_table(spark, name, second.path)
+    return checked(spark.table(name))
+
+
 def serving_view_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly trends published, served as a view, and the 10 busiest months taken."""
+    """Monthly trends published, registered, served by a catalog view, and the 10 busiest months taken."""
     lake = _lake(spark)
     s = silver_tables(spark, sf_dir)
     root = lake.table_root("gold", "monthly_transaction_trends")
     publish_table(spark, G.build_monthly_transaction_trends(s["fact_transactions"], RUN_DATE), root)
-    create_serving_views(spark, {"monthly_transaction_trends": root})
-    view = spark.table("vw_monthly_transaction_trends")
-    return checked(top_n(view, 10, F.desc("total_transactions"), F.asc_nulls_last("txn_year"),
+    schema = _schema(spark)
+    register_table(spark, f"{schema}.trends", current_path(spark, root))
+    (view,) = create_catalog_views(spark, {"trends": f"{schema}.trends"}, schema)
+    return checked(top_n(spark.table(view), 10, F.desc("total_transactions"), F.asc_nulls_last("txn_year"),
                          F.asc_nulls_last("txn_month")))
 
 
@@ -379,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_partition_prune": fact_partition_prune,
     "compact_table": compact_fact,
     "row_count_from_write": row_count_from_write,
+    "registered_table": registered_table,
     "layer_inventory": layer_inventory,
     "serving_view_top_n": serving_view_top_n,
     "run_log_append": run_log_append,

@@ -1,5 +1,6 @@
 """Layer runs, versioned tables, run log, views and partition pruning."""
 
+import os
 import uuid
 
 import pytest
@@ -121,7 +122,7 @@ def test_scale_conf():
     from cardmarts.session import scale_conf
 
     big = scale_conf(100 << 40, cores=8000)  # 100 TB on 1000 executors of 8 cores
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"  # 256 MB each, however many
     assert scale_conf(1 << 30, cores=8)["spark.sql.shuffle.partitions"] == "16"
     assert scale_conf(10 << 30, cores=8)["spark.sql.shuffle.partitions"] == "40"
 
@@ -162,7 +163,7 @@ def test_chunked_json_reader_splits_one_file(spark):
     """One label file is read by several tasks (the whole-file reader would use one)."""
     import os
 
-    from cardmarts.sources.files import read_json_dictionary_chunked
+    from cardmarts.sources.files import read_json_dictionary
 
     root = shared_dir(spark, "tests", "bigjson-" + uuid.uuid4().hex[:8])
     os.makedirs(root)
@@ -172,7 +173,7 @@ def test_chunked_json_reader_splits_one_file(spark):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 10))
     try:
-        df = read_json_dictionary_chunked(spark, root, "k", "v", "target")
+        df = read_json_dictionary(spark, root, "k", "v", "target")
         assert df.rdd.getNumPartitions() > 4
         assert df.count() == 60_000
         assert df.filter("v = 'Yes'").count() == len(range(0, 60_000, 7))
@@ -236,3 +237,96 @@ def test_apply_conf_on_live_session(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_packaged_config_is_read_from_a_zip(spark, tmp_path):
+    """As with --py-files: the package in a zip, its config read without a path on disk."""
+    import subprocess
+    import sys
+    import zipfile
+
+    import cardmarts
+
+    top = os.path.dirname(cardmarts.__file__)
+    packed = tmp_path / "cardmarts.zip"
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in files:
+                if f.endswith((".py", ".json")):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("cardmarts", os.path.relpath(full, top)))
+    code = ("import sys; sys.path.insert(0, sys.argv[1]); import cardmarts; assert '.zip' in cardmarts.__file__;"
+            "from cardmarts.session import local_session; from cardmarts.sources import active_tables;"
+            "s = local_session(1, 1); print(len(active_tables(s, 'bronze')), len(active_tables(s, 'gold')))")
+    out = subprocess.run([sys.executable, "-c", code, str(packed)], capture_output=True, text=True, cwd=tmp_path, timeout=300)
+    assert out.stdout.split()[-2:] == ["5", "4"], out.stderr[-2000:]
+
+
+def test_config_folder_and_format_are_honoured(spark, sf_dir):
+    from cardmarts.testbed.landing import write_landing
+
+    landing = new_landing_root(spark)
+    path = write_landing(spark, sf_dir, landing, "mcc_codes", RUN_DATE)
+    os.makedirs(os.path.join(landing, "elsewhere"))
+    os.symlink(path, os.path.join(landing, "elsewhere", f"ingestion_date={RUN_DATE}"))
+    conf = shared_dir(spark, "tests", "conf-" + uuid.uuid4().hex[:8])
+    os.makedirs(conf)
+
+    def entities(fmt):
+        with open(os.path.join(conf, "entities.json"), "w") as fh:
+            fh.write(f'[{{"entity": "mcc_codes", "landing_folder": "elsewhere", "source_format": "{fmt}", "is_active": true}}]')
+
+    lake = Lake(shared_dir(spark, "tests", "conf-lake-" + uuid.uuid4().hex[:8]))
+    entities("json")
+    out = run_layer(spark, lake, "bronze", RUN_DATE, landing, log=False, file_glob=JSON_FILE_GLOB, config_root=conf)
+    assert out["mcc_codes"].rows > 0
+    for fmt in ("xml", "csv"):
+        entities(fmt)
+        spark.catalog.clearCache()
+        with pytest.raises(ValueError):
+            run_layer(spark, lake, "bronze", RUN_DATE, landing, log=False, file_glob=JSON_FILE_GLOB, config_root=conf)
+
+
+def test_a_publish_that_dies_leaves_the_live_copy(spark, monkeypatch):
+    from cardmarts.sinks import tables as T
+
+    root = shared_dir(spark, "tests", "life-" + uuid.uuid4().hex[:8])
+    T.publish_table(spark, spark.range(3).toDF("x"), root)
+
+    def dies(*a):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(T, "_set_current", dies)
+        with pytest.raises(RuntimeError):
+            T.publish_table(spark, spark.range(9).toDF("x"), root)
+    assert T.read_table(spark, root).count() == 3
+    paths = [T.publish_table(spark, spark.range(n).toDF("x"), root).path for n in (4, 5, 6)]
+    assert T.current_path(spark, root) == paths[-1]
+    removed = T.drop_old_versions(spark, root, keep=2)
+    assert len(removed) == 2 and not any(os.path.exists(p) for p in removed)
+    assert T.read_table(spark, root).count() == 6 and os.path.exists(paths[1])
+
+
+def test_catalog_views_and_log_are_named(spark, run):
+    lake, _, written = run
+    names = register_layers(spark, lake, written)
+    assert "gold.vw_customer_risk_profile" in names
+    assert spark.table("gold.vw_customer_risk_profile").count() == written["gold"]["customer_risk_profile"].rows
+    assert "control.pipeline_logs" in names and spark.table("control.pipeline_logs").count() > 0
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark):
+    from cardmarts import session
+
+    class Far:
+        class conf:
+            @staticmethod
+            def get(*a):
+                return None
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.shared_dir(Far())

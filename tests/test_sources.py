@@ -11,7 +11,7 @@ from cardmarts.sources import (
     check_ingest_args,
     read_csv_entity,
     read_json_dictionary,
-    read_json_dictionary_chunked,
+    read_json_dictionary_whole,
     read_landing,
 )
 from cardmarts.sources.config import active_tables, read_config
@@ -42,7 +42,7 @@ def test_csv_scan_positions_short_and_extra_rows(spark):
 def test_json_dictionary_edge_cases(spark):
     text = '{"target": {"1-1": "Yes", "1-2": null, "1-3": 5, "1-1": "No"}}'
     p = folder(spark, {"labels.json": text})
-    for reader in (read_json_dictionary, read_json_dictionary_chunked):
+    for reader in (read_json_dictionary, read_json_dictionary_whole):
         rows = sorted((r.k, r.v) for r in reader(spark, p, "k", "v", "target").collect())
         assert rows == [("1-1", "No"), ("1-1", "Yes"), ("1-2", None), ("1-3", "5")], reader.__name__
 
@@ -50,27 +50,77 @@ def test_json_dictionary_edge_cases(spark):
 def test_json_dictionary_escapes_and_flat(spark):
     text = '{"A\\"1": "x\\u00e9y", "B": "plain", "C": true}'
     p = folder(spark, {"codes.json": text})
-    for reader in (read_json_dictionary, read_json_dictionary_chunked):
+    for reader in (read_json_dictionary, read_json_dictionary_whole):
         rows = sorted((r.k, r.v) for r in reader(spark, p, "k", "v").collect())
         assert rows == [('A"1', "xéy"), ("B", "plain"), ("C", "true")], reader.__name__
 
 
 def test_json_dictionary_empty_and_truncated(spark):
     p = folder(spark, {"empty.json": '{"target": {}}'})
-    assert read_json_dictionary_chunked(spark, p, "k", "v", "target").count() == 0
+    assert read_json_dictionary_whole(spark, p, "k", "v", "target").count() == 0
     assert read_json_dictionary(spark, p, "k", "v", "target").count() == 0
-    bad = folder(spark, {"bad.json": '{"target": {"1-1": "Yes", "1-2": "N'})
-    assert read_json_dictionary(spark, bad, "k", "v", "target").count() == 0  # from_json gives null
-    with pytest.raises(Exception, match="not one key/value pair"):
-        read_json_dictionary_chunked(spark, bad, "k", "v", "target").collect()
-
-
-def test_json_comma_inside_value_fails_loudly(spark):
-    p = folder(spark, {"codes.json": '{"5411": "Grocery, Supermarkets", "5812": "Eating Places"}'})
+    for text in ('{"target": {"1-1": "Yes", "1-2": "N', '{"target": {"1-1": "Yes", "1-2" "No"}}', '{"other": {"a": "b"}}', "[1]"):
+        bad = folder(spark, {"bad.json": text})
+        for reader in (read_json_dictionary, read_json_dictionary_whole):
+            with pytest.raises(Exception, match="Malformed|without its member|in pieces"):
+                reader(spark, bad, "k", "v", "target").collect()
+
+
+DICTIONARIES = {
+    "commas": '{"5411": "Grocery, Supermarkets", "5812": "Eating, \\"fast\\" Places", "a,b": ", x"}',
+    "blanks": '\n{\t"1" :\t"Yes",\n"2"\r\n:\r\n"No" , "3":\tnull,"4"\n: 7.50,"5":true}\n',
+    "escapes": '{"q\\u0041": "back\\\\slash", "brace": "}{", "x": "a\\nb", "x": "again"}',
+    "empty": "{ }",
+    "numbers": '{"a": 1, "b": -2.5, "c": 3}',
+}
+
+
+@pytest.mark.parametrize("name", [k for k in DICTIONARIES if k != "commas"])
+@pytest.mark.parametrize("nested", [False, True])
+def test_split_and_whole_readers_agree(spark, name, nested):
+    text = DICTIONARIES[name]
+    text = f'{{"version": 3, "target": {text}, "note": "end"}}' if nested else text
+    p = folder(spark, {"d.json": text})
+    rows = [sorted((r.k, r.v or "") for r in reader(spark, p, "k", "v", "target" if nested else None).collect())
+            for reader in (read_json_dictionary, read_json_dictionary_whole)]
+    assert rows[0] == rows[1]
+    assert len(rows[0]) == {"blanks": 5, "escapes": 4, "empty": 0, "numbers": 3}[name]
+
+
+def test_commas_inside_values(spark):
+    p = folder(spark, {"d.json": '{"5411": "Grocery, Supermarkets", "5812": "Eating Places, Bars"}'})
     rows = sorted((r.k, r.v) for r in read_json_dictionary(spark, p, "k", "v").collect())
-    assert rows[0] == ("5411", "Grocery, Supermarkets")
-    with pytest.raises(Exception, match="not one key/value pair"):
-        read_json_dictionary_chunked(spark, p, "k", "v").collect()
+    assert rows == [("5411", "Grocery, Supermarkets"), ("5812", "Eating Places, Bars")]
+
+
+@pytest.mark.parametrize("text", [
+    DICTIONARIES["commas"],  # a value that begins with a comma
+    '{"a": "x\\", y", "b": "z"}',  # an escaped quote before a comma
+    '{"first": "x", "target": {"1": "Yes", "2": "No"}}',  # a string member before the root
+    '{"target": {"1": "Yes"}, "m": {"a": "x", "b": "y"}}',  # a second dictionary after it
+    '{"m": {"a": "x", "b": "y"}, "target": {"1": "Yes"}}',
+    '{"target": {"1": "Yes", "2": ["a", "b"]}}',
+])
+def test_what_cannot_be_cut_fails_loudly(spark, text):
+    p = folder(spark, {"d.json": text})
+    root = "target" if "target" in text else None
+    with pytest.raises(Exception, match="in pieces|Malformed|without its member"):
+        read_json_dictionary(spark, p, "k", "v", root).collect()
+    assert read_json_dictionary_whole(spark, p, "k", "v", root).count() > 0
+
+
+def test_splits_give_the_same_rows_in_one_scan(spark):
+    pairs = ", ".join(f'"{i}"{" " * (i % 3)}:{chr(10) * (i % 2)}{chr(9)}"v, {i}"' for i in range(5000))
+    p = folder(spark, {"d.json": '{"target": {' + pairs + "}}"})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = read_json_dictionary(spark, p, "k", "v", "target")
+        assert df.rdd.getNumPartitions() > 5
+        assert {(r.k, r.v) for r in df.collect()} == {(str(i), f"v, {i}") for i in range(5000)}
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_json_reader_requires_files(spark):
@@ -108,38 +158,17 @@ def test_landing_lineage_columns(spark):
 def test_config_active_filter(spark):
     assert active_tables(spark, "bronze") == ["transactions", "users", "cards", "mcc_codes", "fraud_labels"]
     assert len(active_tables(spark, "gold")) == 4
-    p = folder(spark, {"silver.json": '[{"silver_table": "dim_mcc", "bronze_source": ["mcc_codes"], '
+    p = folder(spark, {"silver_tables.json": '[{"silver_table": "dim_mcc", "bronze_source": ["mcc_codes"], '
                                       '"is_active": false}, {"silver_table": "dim_card", '
                                       '"bronze_source": ["cards"], "is_active": true}]'})
-    assert active_tables(spark, "silver", os.path.join(p, "silver.json")) == ["dim_card"]
-    assert read_config(spark, "silver", os.path.join(p, "silver.json")).count() == 2
+    assert active_tables(spark, "silver", p) == ["dim_card"]
+    assert read_config(spark, "silver", os.path.join(p, "silver_tables.json")).count() == 2
 
 
 def test_json_dictionary_pretty_printed(spark):
     text = '{\n  "target": {\n    "10-1": "Yes",\n    "10-2": "No",\n    "10-3": -1.5e3\n  }\n}\n'
     p = folder(spark, {"labels.json": text})
-    for reader in (read_json_dictionary, read_json_dictionary_chunked):
+    for reader in (read_json_dictionary, read_json_dictionary_whole):
         rows = sorted((r.k, r.v) for r in reader(spark, p, "k", "v", "target").collect())
         # numbers keep from_json's text form in both readers
         assert rows == [("10-1", "Yes"), ("10-2", "No"), ("10-3", "-1500.0")], reader.__name__
-
-
-def test_reader_choice_by_file_size(spark, monkeypatch):
-    import cardmarts.sources.landing as L
-    from cardmarts.sources.files import largest_file_bytes
-
-    root = shared_dir(spark, "tests", "sized-" + uuid.uuid4().hex[:8])
-    d = os.path.join(root, "fraud_labels", "ingestion_date=2024-05-01")
-    os.makedirs(d)
-    text = '{"target": {' + ", ".join(f'"{i}-1": "No"' for i in range(1000)) + "}}"
-    with open(os.path.join(d, "labels.json"), "w") as fh:
-        fh.write(text)
-    assert largest_file_bytes(spark, d) == len(text)
-    picked = []
-    for name in ("read_json_dictionary", "read_json_dictionary_chunked"):
-        real = getattr(L, name)
-        monkeypatch.setattr(L, name, lambda *a, _r=real, _n=name, **k: (picked.append(_n), _r(*a, **k))[1])
-    assert read_landing(spark, root, "fraud_labels", "2024-05-01").count() == 1000
-    monkeypatch.setattr(L, "WHOLE_FILE_MAX_BYTES", 100)
-    assert read_landing(spark, root, "fraud_labels", "2024-05-01").count() == 1000
-    assert picked == ["read_json_dictionary", "read_json_dictionary_chunked"]
