@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -111,10 +111,13 @@ def publish_table(
     version: str | None = None,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    check: Callable[[], None] | None = None,
 ) -> Written:
-    """Write a new version of a table, then make it the live copy."""
+    """Write a new version of a table, then make it the live copy unless ``check`` raises."""
     path = f"{table_root.rstrip('/')}/v={version or new_version()}"
     rows = write_table(df, path, partition_by=partition_by, fmt=fmt)
+    if check:
+        check()
     _set_current(spark, table_root, path)
     return Written(path, rows)
 

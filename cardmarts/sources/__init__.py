@@ -3,6 +3,7 @@
 from cardmarts.sources.config import active_rows, active_tables, read_config
 from cardmarts.sources.files import (
     SourceMissing,
+    check_ends,
     read_csv_entity,
     read_json_dictionary,
     read_json_dictionary_whole,
@@ -10,6 +11,6 @@ from cardmarts.sources.files import (
 from cardmarts.sources.landing import check_ingest_args, landing_path, read_landing
 
 __all__ = [
-    "SourceMissing", "active_rows", "active_tables", "check_ingest_args", "landing_path", "read_config",
+    "SourceMissing", "active_rows", "active_tables", "check_ends", "check_ingest_args", "landing_path", "read_config",
     "read_csv_entity", "read_json_dictionary", "read_json_dictionary_whole", "read_landing",
 ]

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -86,9 +86,14 @@ def read_json_dictionary_whole(
 
 def read_json_dictionary(
     spark: SparkSession, path: str, key_col: str, value_col: str, root: str | None = None,
-    file_glob: str = "*.json",
+    file_glob: str = "*.json", ends: Observation | None = None,
 ) -> DataFrame:
-    """The rows of ``read_json_dictionary_whole``, read in parallel splits in one pass."""
+    """The rows of ``read_json_dictionary_whole``, read in parallel splits in one pass.
+
+    A piece cannot tell the end of a file that breaks off inside a string from
+    a cut. ``ends`` (an Observation) therefore collects, in the same pass, the
+    files whose end was seen; compare it by ``check_ends`` after the action.
+    """
     depth = 2 if root else 1
     v = F.col("value")
     raw = _json_text(spark, path, file_glob, lineSep='",').select(v, F.col("_metadata.file_path").alias(SOURCE_FILE))
@@ -99,6 +104,8 @@ def read_json_dictionary(
     # a cut piece lacks its closing quote; only the end of a file has all of them
     raw = raw.select(v, SOURCE_FILE, bare, (count(bare, '"') % 2 == 0).alias("last"), bare.rlike(r"^\s*\{").alias("first"))
     first, last = F.col("first"), F.col("last")
+    if ends is not None:
+        raw = raw.observe(ends, F.collect_set(F.when(last, F.col(SOURCE_FILE))).alias("files"))
     braces = F.when(bare.contains("{") | bare.contains("}"), F.regexp_replace(bare, r'"[^"]*"?', "")).otherwise("")
     opened, closed = count(braces, "{"), count(braces, "}")
     fits = F.when(last, closed - opened == F.when(first, 0).otherwise(depth)).otherwise(
@@ -109,3 +116,10 @@ def read_json_dictionary(
     text = _or_fail(F.when(fits, text), "JSON dictionary that cannot be read in pieces")
     whole = raw.select(text.alias("text"), SOURCE_FILE)
     return whole.select(F.explode(_pairs(F.col("text"), root)).alias(key_col, value_col), SOURCE_FILE)
+
+
+def check_ends(ends: Observation, df: DataFrame) -> None:
+    """Fail if a file that ``df`` read broke off; call it after the action that ran ``df``."""
+    broken = len(df.inputFiles()) - len(ends.get["files"])
+    if broken:
+        raise ValueError(f"{broken} JSON dictionary file(s) end inside a string")

@@ -93,5 +93,5 @@ def test_money_avg_half_up_and_null(spark):
     df = spark.createDataFrame([("a", 0.005), ("a", 0.0), ("b", None), ("c", -0.015), ("c", 0.0)],
                                "g string, x double")
     out = {r.g: r.a for r in df.groupBy("g").agg(money_avg("x").alias("a")).collect()}
-    # 0.005 is held as cents after the decimal(18,2) cast: 0.01 / 2 -> 0.01 (half up)
-    assert out == {"a": 0.01, "b": None, "c": -0.01}
+    # rounded after the mean: 0.0025 -> 0.00, -0.0075 -> -0.01
+    assert out == {"a": 0.0, "b": None, "c": -0.01}

@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 
 from cardmarts.operators import keep_latest
 from cardmarts.plans import gold as G
+from cardmarts.plans.silver import SILVER_TABLES
 from cardmarts.testbed import entities as E
 from cardmarts.testbed.queries import RUN_DATE, silver_tables
 
 
 @pytest.fixture(scope="module")
 def silver(spark, sf_dir):
-    return {k: v.cache() for k, v in silver_tables(spark, sf_dir).items()}
+    tables = silver_tables(spark, sf_dir)
+    return {t: tables[t].cache() for t in SILVER_TABLES}
 
 
 def test_dedup_small_cases(spark):

@@ -59,13 +59,32 @@ def test_json_dictionary_empty_and_truncated(spark):
     p = folder(spark, {"empty.json": '{"target": {}}'})
     assert read_json_dictionary_whole(spark, p, "k", "v", "target").count() == 0
     assert read_json_dictionary(spark, p, "k", "v", "target").count() == 0
-    for text in ('{"target": {"1-1": "Yes", "1-2": "N', '{"target": {"1-1": "Yes", "1-2" "No"}}', '{"other": {"a": "b"}}', "[1]"):
+    for text in ('{"target": {"1-1": "Yes", "1-2":', '{"target": {"1-1": "Yes", "1-2": "No"', '{"target": {"1-1": "Yes", "1-2" "No"}}', '{"other": {"a": "b"}}', "[1]"):
         bad = folder(spark, {"bad.json": text})
         for reader in (read_json_dictionary, read_json_dictionary_whole):
             with pytest.raises(Exception, match="Malformed|without its member|in pieces"):
                 reader(spark, bad, "k", "v", "target").collect()
 
 
+def test_a_file_that_breaks_off_inside_a_string_is_not_published(spark):
+    from cardmarts.plans.run import Lake, ingest_entity
+
+    root = shared_dir(spark, "tests", "torn-" + uuid.uuid4().hex[:8])
+    d = os.path.join(root, "fraud_labels", "ingestion_date=2024-05-01")
+    os.makedirs(d)
+    lake = Lake(shared_dir(spark, "tests", "torn-lake-" + uuid.uuid4().hex[:8]))
+    for name, text in (("a", '{"target": {"1-1": "Yes"}}'), ("b", '{"target": {"2-1": "Yes", "2-2": "N')):
+        with open(os.path.join(d, f"{name}.json"), "w") as fh:
+            fh.write(text)
+    with pytest.raises(ValueError, match="inside a string"):
+        ingest_entity(spark, lake, root, "fraud_labels", "2024-05-01", log=False)
+    with pytest.raises(FileNotFoundError):
+        lake.read(spark, "bronze", "fraud_labels")
+    with open(os.path.join(d, "b.json"), "w") as fh:
+        fh.write('{"target": {"2-1": "Yes", "2-2": "No"}}')
+    assert ingest_entity(spark, lake, root, "fraud_labels", "2024-05-01", log=False).rows == 3
+
+
 DICTIONARIES = {
     "commas": '{"5411": "Grocery, Supermarkets", "5812": "Eating, \\"fast\\" Places", "a,b": ", x"}',
     "blanks": '\n{\t"1" :\t"Yes",\n"2"\r\n:\r\n"No" , "3":\tnull,"4"\n: 7.50,"5":true}\n',
