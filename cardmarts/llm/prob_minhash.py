@@ -19,10 +19,13 @@ Texts that are equal are signed alike and stand as one. In every band bucket
 all members are compared with one leader, then with the member most like the
 leader (the original of a group of edited copies), for ``rounds`` rounds, so a
 bucket costs as many comparisons as it has members, not pairs. What is then
-still not connected inside a bucket is compared pair by pair, except where
-the triangle inequality of the distance 1 - J_P to the leaders already rules
-a link out; so no link found by the bands is lost. Every link is verified
-exactly, and classes are the connected components of the links.
+still not connected inside a bucket is compared pair by pair, except where a
+bound already rules a link out: the triangle inequality of the distance 1 - J_P
+to the leaders, and bitmaps of the shingles. A shingle of u whose bit v lacks
+is not in v; with shares a and b of the weights of u and v known to be apart in
+this way, J_P is at most 1 / (1 / (1 - a) + b / (1 - b)). Both bounds are exact,
+so no link found by the bands is lost. Every link is verified exactly, and
+classes are the connected components of the links.
 
 The texts are read twice: once to sign, once to get the shingles of those
 documents that have a candidate; a Bloom filter bounded by ``max_bits`` keeps
@@ -52,6 +55,7 @@ from cardmarts.llm.exact_dedup import probe, repeat_filter
 
 SHINGLE = 5
 CHARS = 4_000_000  # of text worked on at a time in a task
+BITMAP_WORDS = 16  # of 64 bits
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -170,7 +174,10 @@ def signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
 
 
 def shingle_vectors(rows: DataFrame) -> DataFrame:
-    """(digest, hashes, weights) of (digest, text): sorted 64-bit hashes and their counts, as bytes."""
+    """(digest, hashes, weights, bits, mass) of (digest, text).
+
+    Sorted 64-bit hashes and their counts as bytes, a bitmap of the hashes and the sum of the counts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,12 +185,28 @@ def shingle_vectors(rows: DataFrame) -> DataFrame:
             for a, b in _pieces(texts):
                 doc, element, weight = shingles(texts[a:b])
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
+                bits = np.zeros((b - a, BITMAP_WORDS), np.uint64)
+                place = (element >> np.uint64(8)) % np.uint64(64 * BITMAP_WORDS)
+                np.bitwise_or.at(bits, (doc, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
+                mass = np.bincount(doc, weights=weight, minlength=b - a)
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BITMAP_WORDS), pa.array(bits.view(np.int64).ravel()))
                 parts = [(element[x:y].tobytes(), weight[x:y].astype(np.float32).tobytes()) for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("digest").slice(a, b - a), pa.array([p[0] for p in parts], pa.binary()),
-                     pa.array([p[1] for p in parts], pa.binary())], names=["digest", "hashes", "weights"])
+                     pa.array([p[1] for p in parts], pa.binary()), bits, pa.array(mass)],
+                    names=["digest", "hashes", "weights", "bits", "mass"])
+
+    return rows.select("digest", "text").mapInArrow(
+        run, "digest binary, hashes binary, weights binary, bits array<long>, mass double")
+
 
-    return rows.select("digest", "text").mapInArrow(run, "digest binary, hashes binary, weights binary")
+def may_reach(x: str, y: str, threshold: float) -> Column:
+    """Can two aliased rows with ``bits`` and ``mass`` have a J_P of ``threshold``? An exact upper bound."""
+    apart = lambda a, b: F.expr(" + ".join(f"bit_count({a}.bits[{k}] & ~{b}.bits[{k}])" for k in range(BITMAP_WORDS)))
+    u, v = F.col(f"{x}.mass") - apart(x, y), F.col(f"{y}.mass") - apart(y, x)  # weight that may be shared
+    a, b = F.col(f"{x}.mass"), F.col(f"{y}.mass")
+    least = threshold - 1e-9
+    return (u * v >= least * (a * v + (b - v) * u)) & (u * v >= least * (b * u + (a - u) * v))
 
 
 def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
@@ -320,10 +343,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not left.isEmpty():
         for k in range(leads):
             left = with_distance(left, f"lead{k}", f"d{k}")
-        left = materialize(left.select("bucket", "digest", "root", *[f"d{k}" for k in range(leads)]), "rest")
+        bits = check.vectors.select("digest", "bits", "mass")
+        left = materialize(left.select("bucket", "digest", "root", *[f"d{k}" for k in range(leads)]).join(bits, "digest"), "rest")
         x, y = left.alias("x"), left.alias("y")
         # a link needs a distance of at most 1 - threshold, so the distances to any third text may not differ by more
-        near = F.lit(True)
+        near = may_reach("x", "y", threshold)
         for k in range(leads):
             near = near & F.coalesce(F.abs(F.col(f"x.d{k}") - F.col(f"y.d{k}")) <= 1 - threshold + 1e-9, F.lit(True))
         pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.digest") < F.col("y.digest"))

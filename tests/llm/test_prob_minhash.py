@@ -89,6 +89,21 @@ def test_links_off_the_leaders_are_found(spark, family):
     assert found(spark, family, bands=24, rows_per_band=1, rounds=1) == classes(family)
 
 
+def test_bitmaps_bound_the_similarity(spark):
+    rng = random.Random(11)
+    base = words(rng, 80)
+    texts = [" ".join(edited(rng, base, k % 6) + base[: k % 4 * 10]) for k in range(40)] + ["a b", "c d e f g h", "q " * 30]
+    rows = spark.createDataFrame([(bytearray([i]), t) for i, t in enumerate(texts)], "digest binary, text string")
+    v = M.shingle_vectors(rows).cache()
+    for t in (0.3, 0.6, 0.8, 0.95):
+        got = {(r[0][0], r[1][0]) for r in v.alias("x").join(v.alias("y"), M.may_reach("x", "y", t)).select("x.digest", "y.digest").collect()}
+        for a in range(len(texts)):
+            for b in range(len(texts)):
+                if jp(shingle_counts(texts[a]), shingle_counts(texts[b])) >= t:
+                    assert (a, b) in got
+    assert len(got) < len(texts) ** 2 / 2
+
+
 def test_probability_jaccard_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(50):
