@@ -7,10 +7,10 @@ from cardmarts.llm import mixing as M
 
 
 def test_targets_follow_the_weights_and_the_cap():
-    t = M.source_targets({"a": 10, "b": 1000, "c": 1000, None: 500})
+    t = M.source_targets({"a": 10, "b": 1000, "c": 1000, None: 600})
     assert t["a"] == 30  # full at three times its size
-    assert abs(sum(t.values()) - 2510) < 1e-6
-    rest = 2510 - 30
+    assert abs(sum(t.values()) - 2610) < 1e-6
+    rest = 2610 - 30
     assert abs(t["b"] - rest * 2 / 8) < 1e-6 and abs(t["c"] - rest / 8) < 1e-6 and abs(t[None] - rest * 5 / 8) < 1e-6
     assert M.source_targets({}) == {}
     assert M.source_targets({"a": 0}) == {"a": 0}
