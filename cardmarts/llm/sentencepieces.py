@@ -41,8 +41,8 @@ from cardmarts.llm.common import col, sha256_hex, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # kinds of pieces in a model file
-CHARS = 6_000_000  # of text worked on at a time in a task
-MEMO_UNITS = 1_000_000
+CHARS = 1_500_000  # of text worked on at a time in a task
+MEMO_UNITS = 300_000
 PACK = 4  # characters in one sort key
 
 
@@ -212,7 +212,7 @@ class Encoder:
         self.length = max(len(pieces.text[i]) for i in normal)
         self.keys = -(-self.length // PACK)
         self.ids = np.array(normal, np.int64)
-        self.sizes = np.array([len(pieces.text[i]) for i in normal], np.int64)
+        self.sizes = np.array([len(pieces.text[i]) for i in normal], np.int32)
         packed = np.zeros((len(normal), self.keys * PACK), np.uint64)
         for r, i in enumerate(normal):
             packed[r, : len(pieces.text[i])] = [self.code[ord(c)] for c in pieces.text[i]]
@@ -262,13 +262,14 @@ class Encoder:
         keys = [k[order] for k in keys]
         lo, hi = self._bound(keys, self.low, False), self._bound(keys, self.high, True)
         # one edge for every suffix in a piece's range
+        del keys, four, padded
         count = hi - lo
-        piece = np.repeat(np.arange(len(count)), count)
-        start = order[np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + lo[piece]]
+        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        start = order[np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + lo[piece]].astype(np.int32)
         stop = start + self.sizes[piece]
-        sizes = np.array([len(u) for u in units], np.int64)
-        begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-        unit_of = np.repeat(np.arange(len(units)), sizes + 1)
+        sizes = np.array([len(u) for u in units], np.int32)
+        begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int32)
+        unit_of = np.repeat(np.arange(len(units), dtype=np.int32), sizes + 1)
         depth = stop - begin[unit_of[start]]
         by = np.argsort(depth.astype(np.uint16) if depth.max(initial=0) < 65536 else depth, kind="stable")
         start, stop, piece, depth = start[by], stop[by], self.ids[piece[by]], depth[by]
@@ -368,22 +369,27 @@ def pieces_of(texts: list, size: int = CHARS) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
-def encode_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL) -> DataFrame:
-    """(id, ids) of every row."""
+def encode_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL,
+                 decoded: bool = False) -> DataFrame:
+    """(id, ids) of every row; ``decoded`` adds the text that the ids decode to, in the same pass."""
     shared = docs.sparkSession.sparkContext.broadcast(load_pieces(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = decoder = None
         for batch in batches:
-            encoder = encoder or Encoder(shared.value)
+            encoder, decoder = encoder or Encoder(shared.value), decoder or Decoder(shared.value)
             texts = batch.column(1).to_pylist()
             for a, b in pieces_of(texts):
                 flat, ends = encoder.encode(texts[a:b])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["id", "ids"])
+                out = [batch.column(0).slice(a, b - a), lists]
+                if decoded:
+                    starts = np.concatenate([[0], ends[:-1]])
+                    out.append(pa.array([decoder.decode(flat[x:y].tolist()) for x, y in zip(starts, ends, strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=["id", "ids", "decoded"][: len(out)])
 
     rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, ids array<int>")
+    return rows.mapInArrow(run, "id long, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode_table(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -407,6 +413,6 @@ def decode_table(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, their number, and the digest of the text that they decode to."""
-    rows = decode_table(encode_table(table(spark, sf_dir, "documents")))
+    rows = encode_table(table(spark, sf_dir, "documents"), decoded=True)
     return rows.select(F.col("id").alias("doc_id"), "ids", F.size("ids").cast("long").alias("n_ids"),
                        sha256_hex(F.col("decoded")).alias("decoded_sha256"))

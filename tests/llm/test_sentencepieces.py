@@ -70,6 +70,8 @@ def test_table_round_trip(spark):
     rows = S.decode_table(S.encode_table(docs)).collect()
     assert sorted((r["id"] or -1, r["decoded"]) for r in rows) == sorted((r["doc_id"] or -1, r["text"] or "") for r in docs.collect())
     assert S.decode_table(S.encode_table(empty(spark))).count() == 0
+    once = {(r["id"], tuple(r["ids"]), r["decoded"]) for r in S.encode_table(docs, decoded=True).collect()}
+    assert once == {(r["id"], tuple(r["ids"]), r["decoded"]) for r in rows}
 
 
 def test_ids_that_no_text_gives(parts):
