@@ -22,7 +22,7 @@ from cardmarts.llm.exact_dedup import exact_dedup
 from cardmarts.llm.language_id import keep_identified
 from cardmarts.llm.mixing import mix
 from cardmarts.llm.prob_minhash import near_dedup
-from cardmarts.llm.sentencepieces import decode_table, encode_table
+from cardmarts.llm.sentencepieces import encode_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -49,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_ids and the digest of the text that the ids decode to."""
-    rows = decode_table(encode_table(docs))
+    rows = encode_table(docs, decoded=True)
     return rows.select(F.col("id").alias("doc_id"), "ids", F.size("ids").cast("long").alias("n_ids"),
                        sha256_hex(F.col("decoded")).alias("decoded_sha256"))
 
