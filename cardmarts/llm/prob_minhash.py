@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardmarts.llm.common import col, materialize, table
+from cardmarts.llm.common import Scratch, col, materialize, table
 from cardmarts.llm.exact_dedup import probe, repeat_filter
 
 SHINGLE = 5
@@ -240,24 +240,24 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, save=materialize) -> DataFrame:
     """(node, root) for every node of the links (a, b), root being the same for connected nodes.
 
     Each round hangs every node on its smallest neighbour and contracts the
     links. Nodes are digests, so their order is random and the rounds few.
     """
-    edges = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    edges = save(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
     roots = None
     while not edges.isEmpty():
-        up = materialize(edges.groupBy("a").agg(F.min("b").alias("b")).select(
+        up = save(edges.groupBy("a").agg(F.min("b").alias("b")).select(
             F.col("a").alias("node"), F.least("a", "b").alias("up")), "parents")
         if roots is None:
             roots = up.select("node", F.col("up").alias("root"))
         else:
             moved = up.select(F.col("node").alias("root"), "up")
-            roots = materialize(roots.join(moved, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+            roots = save(roots.join(moved, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
         left, right = (up.select(F.col("node").alias(x), F.col("up").alias(f"{x}_up")) for x in "ab")
-        edges = materialize(edges.join(left, "a").join(right, "b").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
+        edges = save(edges.join(left, "a").join(right, "b").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
                             .filter("a <> b").distinct(), "edges")
     if roots is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -267,26 +267,27 @@ def components(links: DataFrame) -> DataFrame:
 class _Verifier:
     """Exact similarities of pairs (a, b) of digests; shingles are made once per document that needs them."""
 
-    def __init__(self, docs: DataFrame, max_bits: int):
-        self.docs, self.max_bits, self.vectors, self.known = docs, max_bits, None, None
+    def __init__(self, docs: DataFrame, max_bits: int, save):
+        self.docs, self.max_bits, self.save = docs, max_bits, save
+        self.vectors = self.known = None
 
     def prepare(self, members: DataFrame) -> None:
         """Shingles of all members (digest): the only documents whose texts are shuffled."""
-        wanted = materialize(members.select("digest").distinct(), "wanted")
+        wanted = self.save(members.select("digest").distinct(), "wanted")
         rows = probe(self.docs, *repeat_filter(wanted, self.max_bits, 1)).filter("maybe").drop("maybe")
         once = rows.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
-        self.vectors = materialize(shingle_vectors(once), "shingles")
+        self.vectors = self.save(shingle_vectors(once), "shingles")
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, sim) of the distinct pairs with a < b that are not known yet; remembers them."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
         if self.known is not None:
             pairs = pairs.join(self.known.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = materialize(pairs, f"{name}-pairs")
+        pairs = self.save(pairs, f"{name}-pairs")
         left = self.vectors.select(F.col("digest").alias("a"), F.col("hashes").alias("ha"), F.col("weights").alias("wa"))
         right = self.vectors.select(F.col("digest").alias("b"), F.col("hashes").alias("hb"), F.col("weights").alias("wb"))
         got = pairs.join(left, "a").join(right, "b").select("a", "b", _similarity("ha", "wa", "hb", "wb").alias("sim"))
-        got = materialize(got, name)
+        got = self.save(got, name)
         self.known = got if self.known is None else self.known.unionByName(got)
         return got
 
@@ -298,28 +299,30 @@ class _Verifier:
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, bands: int = 32,
                  rows_per_band: int = 6, rounds: int = 2, max_bits: int = 1 << 26) -> tuple[DataFrame, DataFrame]:
     """(id, digest) of every row, and (digest, root) of every text that is linked to a different one."""
+    own = Scratch(docs.sparkSession)
+    save = own.save
     rows = docs.select(col(id_col).cast("long").alias("id"), text_key(col(text_col)).alias("digest"),
                        F.coalesce(col(text_col), F.lit("")).alias("text"))
-    signs = materialize(signed(rows, bands, rows_per_band), "signatures")
+    signs = save(signed(rows, bands, rows_per_band), "signatures")
     once = signs.filter(F.size("bands") > 0).groupBy("digest").agg(F.first("bands").alias("bands"))
-    entries = materialize(once.select("digest", F.explode("bands").alias("bucket")), "bands")
+    entries = save(once.select("digest", F.explode("bands").alias("bucket")), "bands")
     order = F.struct(F.xxhash64("digest", "bucket").alias("h"), F.col("digest"))
-    leaders = materialize(entries.groupBy("bucket").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    leaders = save(entries.groupBy("bucket").agg(F.min(order).alias("first"), F.count("*").alias("n"))
                           .filter("n > 1").select("bucket", F.col("first.digest").alias("lead")), "leaders")
-    members = materialize(entries.join(leaders, "bucket"), "members")
-    check = _Verifier(rows.select("digest", "text"), max_bits)
+    members = save(entries.join(leaders, "bucket"), "members")
+    check = _Verifier(rows.select("digest", "text"), max_bits, save)
     check.prepare(members)
     check.verify(members.select(F.col("lead").alias("a"), F.col("digest").alias("b")), "round-0")
 
     def linked() -> DataFrame:
-        return components(check.known.filter(F.col("sim") >= threshold - 1e-9))
+        return components(check.known.filter(F.col("sim") >= threshold - 1e-9), save)
 
     def open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
         """Members (with their root) of the buckets that hold more than one component."""
-        own = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-        own = materialize(own, "rooted")
-        parted = own.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-        return materialize(own.join(parted, "bucket"), "open")
+        placed = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+        placed = save(placed, "rooted")
+        parted = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+        return save(placed.join(parted, "bucket"), "open")
 
     def with_distance(members: DataFrame, lead: str, out: str) -> DataFrame:
         sims = check.both_ways().select(F.col("a").alias(lead), F.col("b").alias("digest"), (1 - F.col("sim")).alias(out))
@@ -331,10 +334,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     leads = 1
     while leads <= rounds and not left.isEmpty():
         # the member most like the last leader: the original of a group of edited copies is near to all of them
-        far = materialize(with_distance(left, f"lead{leads - 1}", "d"), "distances")
+        far = save(with_distance(left, f"lead{leads - 1}", "d"), "distances")
         centre = far.filter(F.col("digest") != F.col(f"lead{leads - 1}")).groupBy("bucket").agg(
             F.min(F.struct(F.coalesce("d", F.lit(2.0)).alias("d"), F.col("digest"), F.col("root"))).alias("best"))
-        centre = materialize(centre.select("bucket", F.col("best.digest").alias(f"lead{leads}"), F.col("best.root").alias("lead_root")), "centres")
+        centre = save(centre.select("bucket", F.col("best.digest").alias(f"lead{leads}"), F.col("best.root").alias("lead_root")), "centres")
         met = left.join(centre, "bucket")
         check.verify(met.filter(F.col("root") != F.col("lead_root")).select(F.col(f"lead{leads}").alias("a"), F.col("digest").alias("b")), f"round-{leads}")
         roots = linked()
@@ -344,7 +347,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for k in range(leads):
             left = with_distance(left, f"lead{k}", f"d{k}")
         bits = check.vectors.select("digest", "bits", "mass")
-        left = materialize(left.select("bucket", "digest", "root", *[f"d{k}" for k in range(leads)]).join(bits, "digest"), "rest")
+        left = save(left.select("bucket", "digest", "root", *[f"d{k}" for k in range(leads)]).join(bits, "digest"), "rest")
         x, y = left.alias("x"), left.alias("y")
         # a link needs a distance of at most 1 - threshold, so the distances to any third text may not differ by more
         near = may_reach("x", "y", threshold)
@@ -354,7 +357,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        & (F.col("x.root") != F.col("y.root")) & near)
         check.verify(pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")), "rest-pairs")
         roots = linked()
-    return signs.select("id", "digest"), roots.select(F.col("node").alias("digest"), "root")
+    ids = materialize(signs.select("id", "digest"), "near-ids")
+    roots = materialize(roots.select(F.col("node").alias("digest"), "root"), "near-roots")
+    own.close()
+    return ids, roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
