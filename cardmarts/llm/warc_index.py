@@ -213,6 +213,12 @@ def build_index(entries: DataFrame, folder: str, block_rows: int = 1000) -> Data
         run, "shard string, first string, last string, blocks long"), "shards")
 
 
+def _reducers(spark: SparkSession) -> int:
+    """The session's shuffle partitions, stated: a few bytes of an entry stand for a whole block or record,
+    so adaptive execution must not merge partitions by the size of their entries."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _reach(lasts: list[str], firsts: list[str], key: str) -> range:
     """Places of the sorted ranges [first, last] that can hold the key."""
     lo = bisect.bisect_left(lasts, key)
@@ -257,7 +263,7 @@ def find_entries(keys: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
 
     ordered = keys.select("surt").filter(F.col("surt").isNotNull()).distinct().repartitionByRange("surt").sortWithinPartitions("surt")
     blocks = ordered.mapInArrow(locate, "surt string, shard string, offset long, length long")
-    blocks = blocks.repartition("shard", "offset").sortWithinPartitions("shard", "offset", "surt")
+    blocks = blocks.repartition(_reducers(keys.sparkSession), "shard", "offset").sortWithinPartitions("shard", "offset", "surt")
     return blocks.mapInArrow(search, _ENTRY)
 
 
@@ -286,7 +292,7 @@ def read_records(entries: DataFrame, folder: str, with_payload: bool = False) ->
             yield _batch(found, list(kinds), list(kinds.values()))
 
     types = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
-    ordered = entries.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    ordered = entries.repartitionByRange(_reducers(entries.sparkSession), "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.select("file", "offset", "length").mapInArrow(run, ", ".join(f"{k} {types[t]}" for k, t in kinds.items()))
 
 
