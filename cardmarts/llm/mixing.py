@@ -11,11 +11,12 @@ The steps run as a reduction tree. Documents are dealt to chunks of about
 ``chunk_rows`` by a hash of the id (a hot source is spread over all chunks).
 In a chunk the documents of a source meet from large to small, so what is left
 of it is one small document; the left-overs of ``fan`` chunks meet in the next
-level, and so on to one per source, which is rounded to the nearer side. A
-chunk is drawn a few times over and the draw that leaves the least is kept, as
-one very large document can otherwise be left. All draws
-are hashes of the seed and the row, and chunks depend on the data only, so
-reruns and retried tasks agree.
+level, and so on to one per source, which is rounded by a last draw. Each
+chunk is drawn once: choosing among draws would change the probabilities of
+long documents. A document too long to be settled in its chunk goes up the
+tree, so a source can miss its target by at most its last document's words.
+All draws are hashes of the seed and the row, and chunks depend on the data
+only, so reruns and retried tasks agree.
 
 One row per source reaches the driver to settle the targets.
 
@@ -28,6 +29,7 @@ taken more than ``most`` (3) times.
 from __future__ import annotations
 
 import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -108,19 +110,6 @@ def pivotal_round(size: np.ndarray, p: np.ndarray, key: np.ndarray, seed: int, e
     return p
 
 
-def _least_left(size: np.ndarray, p: np.ndarray, key: np.ndarray, seed: int, tries: int = 16) -> np.ndarray:
-    """Of up to ``tries`` draws, the one whose left-over document can move the sum least."""
-    best, least = p, math.inf
-    for k in range(tries):
-        q = pivotal_round(size, p, key, seed * 1009 + k)
-        moved = float((size * np.minimum(q, 1 - q)).sum())
-        if moved < least:
-            best, least = q, moved
-        if least <= 0.0005 * size.sum():
-            break
-    return best
-
-
 def _round_group(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
     pdf = pdf.sort_values(["source", "size", "id", "chunk", "pos"], ascending=[True, False, True, True, True],
                           na_position="last", ignore_index=True, kind="stable")
@@ -130,7 +119,7 @@ def _round_group(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
     source = pdf["source"]
     starts = np.flatnonzero(np.r_[True, ~((source == source.shift()) | (source.isna() & source.shift().isna())).to_numpy()[1:]])
     for a, b in zip(starts, np.r_[starts[1:], len(pdf)], strict=True):
-        p[a:b] = _least_left(size[a:b], p[a:b], key[a:b], seed)
+        p[a:b] = pivotal_round(size[a:b], p[a:b], key[a:b], seed)
     return pdf.assign(p=p, done=(p == 0) | (p == 1))
 
 
@@ -162,7 +151,7 @@ def mix_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     finished, levels = [], 0
     while True:
         rounded = materialize(
-            state.filter(~F.col("done")).groupBy("chunk").applyInPandas(_rounder(seed + levels), _STATE), f"pivotal-{levels}")
+            state.filter(~F.col("done")).groupBy("chunk").applyInPandas(_rounder(seed * 1009 + levels), _STATE), f"pivotal-{levels}")
         finished += [state.filter("done"), rounded.filter("done")]
         state = rounded.filter(~F.col("done")).withColumn("pos", F.col("chunk")).withColumn(
             "chunk", F.floor(F.col("chunk") / fan))
@@ -170,8 +159,9 @@ def mix_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if chunks == 1:
             break
         chunks = -(-chunks // fan)
-    # at most one document per source is left: it goes to the nearer side
-    finished.append(state.withColumn("p", (F.col("p") >= 0.5).cast("double")))
+    # at most one document per source is left: a last draw settles it
+    last = F.pmod(F.xxhash64("id", "source", "size", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < F.col("p")
+    finished.append(state.withColumn("p", last.cast("double")))
     rows = reduce_union(finished)
     return rows.join(shared, F.col("source").eqNullSafe(F.col("name")), "left").select(
         "id", "source", "size", "source_size", "target", (F.col("base") + F.round("p").cast("int")).alias("copies"))

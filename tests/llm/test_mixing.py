@@ -49,6 +49,27 @@ def test_sources_come_near_their_targets(spark):
     assert sorted((r["id"], r["copies"]) for r in again) == sorted((r["id"], r["copies"]) for r in got)
 
 
+def test_long_documents_keep_their_probability(spark):
+    # 60 pairs of sources at rates 0.2 and 1.8, each with one document that weighs a fifth of all the others
+    rng = random.Random(6)
+    rows, long_ids = [], {}
+    for k in range(120):
+        low = k % 2 == 0
+        long_ids[len(rows)] = low
+        sizes = [400] + [1 + 39 * i // 99 for i in range(99)]
+        rows += [(len(rows) + i, "w " * n, "en", f"s{k:03d}") for i, n in enumerate(sizes)]
+    rng.shuffle(rows)
+    docs = documents(spark, rows)
+    for chunk_rows, fan in ((100_000, 256), (2_000, 2)):  # one chunk; several levels
+        got = {True: [], False: []}
+        for seed in range(5):
+            for r in M.mix_decisions(docs, weights=(0.2, 1.8), chunk_rows=chunk_rows, fan=fan, seed=seed).filter("size = 400").collect():
+                got[long_ids[r["id"]]].append(r["copies"])
+        assert len(got[True]) == len(got[False]) == 300
+        assert abs(np.mean(got[True]) - 0.2) < 0.08  # over three standard errors
+        assert abs(np.mean(got[False]) - 1.8) < 0.08
+
+
 def test_mix_repeats_rows(spark):
     rng = random.Random(4)
     rows = [(i, prose(rng, rng.randint(0, 30)), "en", "ab"[i % 2]) for i in range(200)] + [(7, "same text", "en", "a")] * 5
