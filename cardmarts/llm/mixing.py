@@ -8,7 +8,9 @@ so that expectations are kept. Every step keeps the source's sum of words, so
 only the last document left over can move it.
 
 The steps run as a reduction tree. Documents are dealt to chunks of about
-``chunk_rows`` by a hash of the id (a hot source is spread over all chunks).
+``chunk_rows`` by a hash of id, source and size (a hot source is spread over all
+chunks). Rows that agree in these three are counted first and stand as one: they
+take the whole copies of their sum, and the fraction left is one document.
 In a chunk the documents of a source meet from large to small, so what is left
 of it is one small document; the left-overs of ``fan`` chunks meet in the next
 level, and so on to one per source, which is rounded by a last draw. Each
@@ -21,8 +23,8 @@ only, so reruns and retried tasks agree.
 One row per source reaches the driver to settle the targets.
 
 Defined results: a null text has no words; a null source is a source of its
-own, last in order. A document without words takes 0. Repeated rows are
-rounded each on its own. An empty table gives an empty result. No document is
+own, last in order. A document without words takes 0. Repeated rows share
+the copies of their sum evenly. An empty table gives an empty result. No document is
 taken more than ``most`` (3) times.
 """
 
@@ -39,7 +41,8 @@ from cardmarts.llm.common import col, fresh, materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
-_STATE = "chunk long, pos long, source string, id long, size long, base int, p double, done boolean"
+_STATE = "chunk long, pos long, source string, id long, no_id boolean, size long, rows long, whole long, p double, done boolean"
+_BLOCK = 4_096  # equal rows handed out at a time
 
 
 def word_count(text: Column) -> Column:
@@ -111,10 +114,10 @@ def pivotal_round(size: np.ndarray, p: np.ndarray, key: np.ndarray, seed: int, e
 
 
 def _round_group(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
-    pdf = pdf.sort_values(["source", "size", "id", "chunk", "pos"], ascending=[True, False, True, True, True],
+    pdf = pdf.sort_values(["source", "size", "no_id", "id", "chunk", "pos"], ascending=[True, False, True, True, True, True],
                           na_position="last", ignore_index=True, kind="stable")
     p = pdf["p"].to_numpy(copy=True)
-    key = (pdf["id"].fillna(-1).astype("int64").to_numpy() * 31 + pdf["chunk"].to_numpy() * 1_000_003 + pdf["pos"].to_numpy())
+    key = pdf["chunk"].to_numpy() * (1 << 32) + np.arange(len(pdf))  # each step its own draw, whatever the ids
     size = pdf["size"].to_numpy()
     source = pdf["source"]
     starts = np.flatnonzero(np.r_[True, ~((source == source.shift()) | (source.isna() & source.shift().isna())).to_numpy()[1:]])
@@ -127,27 +130,32 @@ def _rounder(seed: int):
     return lambda pdf: _round_group(pdf, seed)
 
 
-def mix_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                  weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, chunk_rows: int = 2_000, fan: int = 256,
-                  seed: int = 20) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies (0 to ``most``)."""
+def group_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, chunk_rows: int = 2_000, fan: int = 256,
+                    seed: int = 20) -> DataFrame:
+    """One row per id, source and size: its rows, source_size, target and the copies of all its rows together."""
     spark = docs.sparkSession
     sizes = materialize(docs.select(col(id_col).cast("long").alias("id"), col(source_col).cast("string").alias("source"),
-                                    word_count(col(text_col)).alias("size")), "sizes")
-    per_source = {r["source"]: int(r["n"]) for r in sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+                                    word_count(col(text_col)).alias("size"))
+                        .groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
+    per_source = {r["source"]: int(r["n"]) for r in sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("n")).collect()}
     target = source_targets(per_source, weights, most)
     rates = spark.createDataFrame(
         [(s, n, target[s], target[s] / n if n else 0.0) for s, n in per_source.items()],
         "source string, source_size long, target double, rate double")
     shared = F.broadcast(rates.withColumnRenamed("source", "name"))  # one row per source, already on the driver
     rated = sizes.join(shared, F.col("source").eqNullSafe(F.col("name")), "left").drop("name")
-    base = F.floor(F.col("rate") + 1e-12).cast("int")
-    rated = (rated.withColumn("base", base).withColumn("p", F.greatest(F.col("rate") - F.col("base"), F.lit(0.0)))
-             .withColumn("p", F.when(F.col("size") == 0, 0.0).otherwise(F.col("p"))))
+    # what the rows of a group take for certain, and the fraction of one copy that is left of all of them
+    base = F.floor(F.col("rate") + 1e-12)
+    extra = F.when(F.col("size") == 0, 0.0).otherwise(F.greatest(F.col("rate") - base, F.lit(0.0)) * F.col("rows"))
+    certain = F.floor(F.col("extra") + 1e-12)
+    rated = rated.withColumn("extra", extra).withColumn("whole", base * F.col("rows") + certain).withColumn(
+        "p", F.greatest(F.col("extra") - certain, F.lit(0.0)))
     n = max(1, sizes.count())
     chunks = -(-n // chunk_rows)
-    state = rated.select(F.pmod(F.xxhash64("id", "size"), F.lit(chunks)).alias("chunk"), F.lit(0).cast("long").alias("pos"),
-                         "source", "id", "size", "base", "p", (F.col("p") == 0).alias("done"))
+    state = rated.select(F.pmod(F.xxhash64("id", "source", "size"), F.lit(chunks)).alias("chunk"), F.lit(0).cast("long").alias("pos"),
+                         "source", F.coalesce("id", F.lit(0)).cast("long").alias("id"), F.col("id").isNull().alias("no_id"),
+                         "size", "rows", "whole", "p", (F.col("p") == 0).alias("done"))
     finished, levels = [], 0
     while True:
         rounded = materialize(
@@ -164,7 +172,27 @@ def mix_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     finished.append(state.withColumn("p", last.cast("double")))
     rows = reduce_union(finished)
     return rows.join(shared, F.col("source").eqNullSafe(F.col("name")), "left").select(
-        "id", "source", "size", "source_size", "target", (F.col("base") + F.round("p").cast("int")).alias("copies"))
+        F.when(~F.col("no_id"), F.col("id")).alias("id"), "source", "size", "rows", "source_size", "target",
+        (F.col("whole") + F.round("p").cast("long")).alias("copies"))
+
+
+def mix_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, copies (0 to ``most``).
+
+    ``how``: weights, most, chunk_rows, fan and seed of ``group_decisions``.
+    """
+    groups = group_decisions(docs, id_col, text_col, source_col, **how)
+    names = ["id", "source", "size", "source_size", "target"]
+    alone = groups.filter("rows = 1").select(*names, F.col("copies").cast("int").alias("copies"))
+    # equal rows are written out in blocks, dealt over the tasks
+    many = materialize(groups.filter("rows > 1"), "equal-rows")
+    blocks = many.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / _BLOCK))))
+    blocks = blocks.repartition(*map(F.col, ("id", "source", "size", "block")))
+    turn = F.explode(F.sequence(F.col("block") * _BLOCK, F.least((F.col("block") + 1) * _BLOCK, "rows") - 1))
+    each = F.floor(F.col("copies") / F.col("rows"))
+    one = (F.col("turn") < F.col("copies") - each * F.col("rows")).cast("long")
+    equal = blocks.withColumn("turn", turn).select(*names, (each + one).cast("int").alias("copies"))
+    return alone.unionByName(equal)
 
 
 def reduce_union(frames: list[DataFrame]) -> DataFrame:
@@ -180,23 +208,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20, **how) -> DataFrame:
     """The mix itself: ``docs`` with every row repeated as often as it is taken, columns as they were."""
-    rows = mix_decisions(docs, id_col, text_col, source_col, **how)
+    groups = group_decisions(docs, id_col, text_col, source_col, seed=seed, **how)
     size, ident, source = fresh(docs, "size_x"), fresh(docs, "id_x"), fresh(docs, "source_x")
     # rows that agree in id, source and size are interchangeable: each takes its turn in the sum of their copies
-    total = rows.groupBy(F.col("id").alias(ident), F.col("source").alias(source), F.col("size").alias(size)).agg(
-        F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    total = groups.select(F.col("id").alias(ident), F.col("source").alias(source), F.col("size").alias(size), "copies", "rows")
     total = materialize(total.filter("copies > 0"), "copies")
     packed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_col).cast("long").alias(ident),
                          col(source_col).cast("string").alias(source), word_count(col(text_col)).alias(size))
     met = packed.join(total, [packed[c].eqNullSafe(total[c]) for c in (ident, source, size)]).select("row", total[ident].alias(ident), total[source].alias(source), total[size].alias(size), "copies", "rows")
     plain = met.filter("rows = 1").select("row", "copies")
-    return _repeat(plain.unionByName(_shared_copies(met.filter("rows > 1"), [ident, source, size])))
+    return _repeat(plain.unionByName(_shared_copies(met.filter("rows > 1"), [ident, source, size], seed)))
 
 
-def _shared_copies(met: DataFrame, keys: list[str]) -> DataFrame:
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.col("row").cast("string")))) - 1
+def _shared_copies(met: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.col("row").cast("string"), F.lit(seed)))) - 1
     each = F.floor(F.col("copies") / F.col("rows"))
     extra = F.col("copies") - each * F.col("rows")
     return met.withColumn("turn", turn).select("row", (each + (F.col("turn") < extra).cast("long")).alias("copies"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from helpers import awkward, documents, empty, prose
 
 from cardmarts.llm import mixing as M
@@ -70,6 +71,36 @@ def test_long_documents_keep_their_probability(spark):
         assert abs(np.mean(got[False]) - 1.8) < 0.08
 
 
+def test_equal_rows_stand_as_one(spark, monkeypatch):
+    big = (1 << 60) + 1  # no double holds it
+    rows = [(None, "same text here", "en", "a")] * 3_000 + [(big, "one two", "en", "a")] * 7
+    rows += [(i, "w " * (1 + i % 9), "en", "ab"[i % 2]) for i in range(1_000)] + [(None, "w " * (10 + i % 30), "en", "b") for i in range(60)]
+    docs = documents(spark, rows)
+    monkeypatch.setattr(M, "_BLOCK", 100)
+    groups = M.group_decisions(docs, chunk_rows=50).collect()
+    assert len(groups) == 1_032 and sum(r["rows"] for r in groups) == len(rows)  # so a chunk holds the group in one row
+    want = {(r["id"], r["source"], r["size"]): (r["rows"], r["copies"]) for r in groups}
+    got = {}
+    for r in M.mix_decisions(docs, chunk_rows=50).collect():
+        got.setdefault((r["id"], r["source"], r["size"]), []).append(r["copies"])
+    assert (big, "a", 2) in got
+    for k, copies in got.items():
+        assert (len(copies), sum(copies)) == want[k] and max(copies) - min(copies) <= 1 and 0 <= min(copies) <= max(copies) <= 3
+    rate = next(r["target"] / r["source_size"] for r in groups if r["source"] == "a")
+    assert abs(want[None, "a", 3][1] - 3_000 * rate) <= 1
+    mixed = M.mix(docs, chunk_rows=50).groupBy("doc_id").count().collect()
+    for i in (None, big):
+        assert next(r["count"] for r in mixed if r["doc_id"] == i) == sum(c for k, (_, c) in want.items() if k[0] == i)
+
+
+def test_null_ids_keep_their_probability():
+    pdf = pd.DataFrame({"chunk": 0, "pos": 0, "source": "a", "id": 0, "no_id": True, "size": range(1, 41), "rows": 1, "whole": 0, "p": 0.3, "done": False})
+    total = np.zeros(40)
+    for seed in range(1_000):
+        total += M._round_group(pdf, seed * 1009).sort_values("size")["p"].to_numpy()
+    assert np.abs(total / 1_000 - 0.3).max() < 0.07
+
+
 def test_mix_repeats_rows(spark):
     rng = random.Random(4)
     rows = [(i, prose(rng, rng.randint(0, 30)), "en", "ab"[i % 2]) for i in range(200)] + [(7, "same text", "en", "a")] * 5
