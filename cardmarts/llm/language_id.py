@@ -1,7 +1,8 @@
 """Language identification by words first, with backoff to character n-grams.
 
 Training counts words per language on a bounded, hash-chosen sample of the
-labelled documents (``max_docs``, whole texts) and keeps the ``max_words`` most
+labelled documents (``max_docs``, whole texts, shared evenly among the
+languages, so that a rare one is learned whole) and keeps the ``max_words`` most
 frequent words of each language; n-grams of those documents' words, with word
 borders, are counted for lengths ``max_n`` down to 1 and the ``max_grams`` most
 frequent per language and length are kept. The model is therefore bounded by
@@ -17,8 +18,8 @@ root of the number of words, so that long texts do not saturate at once.
 
 Defined results: null or letterless text gives ``und`` with score 0.
 With nothing to learn from, every text is ``und``. Rows without a language
-are not learned from. Repeated rows count each time in training and are each
-predicted; other columns are carried along untouched.
+are not learned from. Repeated rows count each time in training (in a sample
+they share the weight of their language's rate) and are each predicted; other columns are carried along untouched.
 """
 
 from __future__ import annotations
@@ -101,6 +102,36 @@ def sample_rows(rows: DataFrame, key: str, at_most: int) -> DataFrame:
     return rows.filter(F.xxhash64(col(key), F.lit("sample")) < F.lit(int(-(1 << 63) + (1 << 64) * (at_most / n))))
 
 
+def language_quotas(rows: dict[str, int], at_most: int) -> dict[str, float]:
+    """Rows to learn from per language: an even share of ``at_most``; what a rare language leaves goes to the others."""
+    quota: dict[str, float] = {}
+    for k, lang in enumerate(sorted(rows, key=lambda x: (rows[x], x))):
+        quota[lang] = min(float(rows[lang]), (at_most - sum(quota.values())) / (len(rows) - k))
+    return quota
+
+
+def sample_by_language(labelled: DataFrame, at_most: int) -> DataFrame:
+    """(lang, text, times) of (id, text, lang): about ``at_most`` rows in all, chosen per language by a hash of id and text.
+
+    Rows that agree in id and text are counted and come once, with their share as ``times``.
+    """
+    per_lang = {r["lang"]: int(r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if sum(per_lang.values()) <= at_most:
+        return labelled.select("lang", "text", F.lit(1).cast("long").alias("times"))
+    quota = language_quotas(per_lang, at_most)
+    rates = F.broadcast(labelled.sparkSession.createDataFrame(
+        [(x, quota[x] / n) for x, n in per_lang.items()], "lang string, rate double"))  # one row per language
+    keyed = labelled.select("lang", "text", F.xxhash64("id", "text").alias("key"))
+    share = F.col("n") * F.col("rate")
+    draw = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
+    counted = keyed.groupBy("lang", "key").agg(F.count("*").alias("n")).join(rates, "lang")
+    chosen = counted.withColumn("times", F.floor(share + 1e-9) + (draw < share - F.floor(share + 1e-9)).cast("long"))
+    chosen = materialize(chosen.filter("times > 0").select("lang", "key", "times"), "lang-sample")
+    # at most about ``at_most`` rows
+    return keyed.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key").agg(
+        F.first("text").alias("text"), F.first("times").alias("times")).select("lang", "text", "times")
+
+
 def _top(counts: DataFrame, group: list[str], item: str, most: int) -> list:
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), F.col(item)))
     return counts.withColumn("rank", rank).filter(F.col("rank") <= most).drop("rank").collect()
@@ -124,10 +155,10 @@ def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str =
     """The model of the labelled rows. The model's size is bounded by ``max_words``, ``max_grams`` and ``max_n``."""
     labelled = train.filter(col(lang_col).isNotNull() & col(text_col).isNotNull()).select(
         col(id_col).alias("id"), col(text_col).alias("text"), col(lang_col).alias("lang"))
-    sample = sample_rows(labelled, "id", max_docs)
+    sample = sample_by_language(labelled, max_docs)
     words = materialize(
-        sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word"))
-        .groupBy("lang", "word").agg(F.count("*").alias("n")), "lang-words")
+        sample.select("lang", "times", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word"))
+        .groupBy("lang", "word").agg(F.sum("times").alias("n")), "lang-words")
     marked = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
     grams = words.select("lang", "n", F.length(marked).alias("len"), marked.alias("marked")).select(
         "lang", "n", "len", "marked", F.explode(F.sequence(F.lit(1), F.lit(max_n))).alias("k")).filter("len >= k").select(

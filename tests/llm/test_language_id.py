@@ -68,3 +68,18 @@ def test_sample_is_bounded(spark):
     n = L.sample_rows(docs, "doc_id", 5_000).count()
     assert 4_600 < n < 5_400
     assert L.sample_rows(docs, "doc_id", 50_000).count() == 20_000
+
+
+def test_a_rare_language_and_repeated_rows_are_sampled(spark):
+    rows = [(i, f"the of and {i % 50}", "en", "s") for i in range(3_000)] + [(None, "and to that", "en", "s")] * 1_500
+    rows += [(10_000 + i, "ungheit keitsch", "de", "s") for i in range(5)]
+    docs = documents(spark, rows)
+    labelled = docs.selectExpr("doc_id AS id", "text", "lang")
+    got = L.sample_by_language(labelled, 300).collect()
+    assert sum(r["lang"] == "de" for r in got) == 5  # whole
+    assert 220 < sum(r["times"] for r in got) < 380 and len(got) < 300
+    hot = [r["times"] for r in got if r["text"] == "and to that"]
+    assert len(hot) == 1 and 97 <= hot[0] <= 100  # its third of the language's 295
+    model = L.fit_language_model(docs, max_docs=300)
+    assert model.langs == ["de", "en"] and model.predict("ungheit")[0] == "de"
+    assert L.language_quotas({"a": 5, "b": 1_000, "c": 1_000}, 105) == {"a": 5.0, "b": 50.0, "c": 50.0}
