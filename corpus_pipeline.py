@@ -28,7 +28,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified."""
+    """Documents whose language is identified: without text or letters there is none; no score is too low."""
     return keep_identified(docs)
 
 

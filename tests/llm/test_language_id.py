@@ -83,3 +83,12 @@ def test_a_rare_language_and_repeated_rows_are_sampled(spark):
     model = L.fit_language_model(docs, max_docs=300)
     assert model.langs == ["de", "en"] and model.predict("ungheit")[0] == "de"
     assert L.language_quotas({"a": 5, "b": 1_000, "c": 1_000}, 105) == {"a": 5.0, "b": 50.0, "c": 50.0}
+
+
+def test_stage_keeps_texts_of_low_score(spark):
+    docs = documents(spark, [*corpus(60), (900, "\u4f60\u597d", "zh", "s"), (901, "q", None, "s"), (902, "12", "en", "s")])
+    model = L.fit_language_model(docs.filter(~L.held_out("doc_id", 3, 1)))
+    assert model.predict("\u03b1\u03b2")[1] < 0.5  # a script never learned
+    more = docs.unionByName(documents(spark, [(903, "\u03b1\u03b2", None, "s")]))
+    ids = {r["doc_id"] for r in L.keep_identified(more).collect()}
+    assert ids == {*range(60), 900, 901, 903}
