@@ -17,6 +17,9 @@ code points. The patterns are written without nested backtracking: a match can
 only start where a run starts or the last match ended, and repeats are
 possessive, so long runs of digits or letters stay linear and need no stack.
 
+Not searched: compressed IPv6 addresses (``2001:db8::1``) and dotted cards other
+than in groups of four (4-6-5).
+
 One pass over the texts writes the narrow table of spans and votes to the
 shared folder; nothing is shuffled by document.
 
@@ -44,7 +47,7 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Looser candidates: written-out addresses, IPv6, card-like groups, numbers without a plus sign.
+# Looser candidates: written-out addresses, IPv6 in full eight groups, card-like groups, numbers without a plus sign.
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?:(?:\.| ?[\[(]dot[\])] ?)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
