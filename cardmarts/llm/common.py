@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,16 @@ class Scratch:
         self.paths = []
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in order, in slices of about ``most`` bytes of a string or binary column (one row at least)."""
+    length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, a = np.cumsum(length), 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

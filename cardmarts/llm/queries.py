@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardmarts.llm import (
     cross_polytope,
+    divergence,
     exact_dedup,
     language_id,
     mixing,
@@ -30,9 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_divergence_audit": divergence.op11_divergence_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_index": warc_index.OP1_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op11_divergence_audit": divergence.OP11_SQL,
 }
