@@ -10,6 +10,7 @@ from cardmarts.llm import (
     cross_polytope,
     divergence,
     exact_dedup,
+    filter_audit,
     language_id,
     mixing,
     pii,
@@ -32,10 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": mixing.op9_mixing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_divergence_audit": divergence.op11_divergence_audit,
+    "op13_filter_interaction": filter_audit.op13_filter_interaction,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_index": warc_index.OP1_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op11_divergence_audit": divergence.OP11_SQL,
+    "op13_filter_interaction": filter_audit.OP13_SQL,
 }
