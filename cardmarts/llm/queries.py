@@ -17,6 +17,7 @@ from cardmarts.llm import (
     prob_minhash,
     quality_rules,
     sentencepieces,
+    toxicity,
     url_reputation,
     warc_index,
 )
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": mixing.op9_mixing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_divergence_audit": divergence.op11_divergence_audit,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_filter_interaction": filter_audit.op13_filter_interaction,
 }
 
@@ -40,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_warc_index": warc_index.OP1_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op11_divergence_audit": divergence.OP11_SQL,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_filter_interaction": filter_audit.OP13_SQL,
 }
