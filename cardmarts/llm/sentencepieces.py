@@ -22,7 +22,9 @@ text. Characters without a piece become the pieces of their UTF-8 bytes.
 U+2581 stands for a space, as the model has it, so it decodes to a space; all
 other texts decode to themselves. Bytes that are not UTF-8 (ids that no text
 gives) decode to U+FFFD. Repeated rows are each encoded, an empty table gives
-an empty result.
+an empty result. A very long text is worked on in parts that begin in front of
+a run of spaces, so its length does not set the memory needed (a single longer
+run without spaces does). Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -36,14 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmarts.llm.common import col, sha256_hex, table
+from cardmarts.llm.common import byte_slices, col, sha256_hex, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+_SPACES = f" {SPACE}"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # kinds of pieces in a model file
-CHARS = 1_500_000  # of text worked on at a time in a task
+CHARS = 1_000_000  # of text worked on at a time in a task
+INDEXED = 400_000  # characters of new units in one suffix array
 MEMO_UNITS = 300_000
 PACK = 4  # characters in one sort key
+_IDS = 100_000  # decoded at a time
 
 
 @dataclass
@@ -260,12 +265,14 @@ class Encoder:
         keys = [four[k * PACK: k * PACK + n] for k in range(self.keys)]
         order = np.lexsort(keys[::-1])
         keys = [k[order] for k in keys]
+        del c, four, padded, points
         lo, hi = self._bound(keys, self.low, False), self._bound(keys, self.high, True)
         # one edge for every suffix in a piece's range
-        del keys, four, padded
+        del keys
         count = hi - lo
         piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
         start = order[np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + lo[piece]].astype(np.int32)
+        del order
         stop = start + self.sizes[piece]
         sizes = np.array([len(u) for u in units], np.int32)
         begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int32)
@@ -273,6 +280,7 @@ class Encoder:
         depth = stop - begin[unit_of[start]]
         by = np.argsort(depth.astype(np.uint16) if depth.max(initial=0) < 65536 else depth, kind="stable")
         start, stop, piece, depth = start[by], stop[by], self.ids[piece[by]], depth[by]
+        del by, unit_of
         # relax: last[x] is the last piece of the text up to x, back[x] where it starts
         last, back = np.full(n, -2, np.int64), np.zeros(n, np.int64)
         last[begin] = -1
@@ -321,22 +329,62 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the end of each text among them."""
+        ids, sizes = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
+        for group in text_groups(texts):
+            flat, count = self._encode([x for _, x in group])
+            ids.append(flat)
+            np.add.at(sizes, [k for k, _ in group], count)
+        return np.concatenate(ids), np.cumsum(sizes)
+
+    def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of parts of texts that begin at unit borders, and their number in each part."""
         if len(self.memo) > MEMO_UNITS:
             self._forget()
         units, counts = [], []
-        for t in texts:
-            mine = self.cut.findall(SPACE + t.replace(" ", SPACE)) if t else []
+        for t in parts:
+            mine = self.cut.findall(t)
             units += mine
             counts.append(len(mine))
-        new = [u for u in dict.fromkeys(units) if u not in self.memo]
+        new, size = [], 0
+        for u in dict.fromkeys(units):
+            if u not in self.memo:
+                new.append(u)
+                size += len(u)
+                if size >= INDEXED:
+                    self._learn(new)
+                    new, size = [], 0
         if new:
             self._learn(new)
         memo = self.memo
         seq = np.fromiter((memo[u] for u in units), np.int64, len(units))
+        del units
         first, size = self.ends[seq], self.ends[seq + 1] - self.ends[seq]
         stops = np.cumsum(size)
         flat = self.tokens[np.arange(int(size.sum())) + np.repeat(first - (stops - size), size)]
-        return flat, np.concatenate([[0], stops])[np.cumsum(counts, dtype=np.int64)] if len(counts) else np.empty(0, np.int64)
+        return flat, np.diff(np.concatenate([[0], stops])[np.cumsum([0, *counts])])
+
+
+def text_groups(texts: list[str | None], size: int = CHARS) -> Iterator[list[tuple[int, str]]]:
+    """(text's place, part) of all texts with spaces as the model has them, in groups of about ``size`` characters.
+
+    A longer text is cut in front of a run of spaces, where a unit begins.
+    """
+    group, total = [], 0
+    for k, t in enumerate(texts):
+        at = 0
+        while t and at < len(t):
+            end = at + size
+            while end < len(t) and not (t[end] in _SPACES and t[end - 1] not in _SPACES):
+                end += 1
+            part = t[at:end].replace(" ", SPACE)
+            group.append((k, part if at else SPACE + part))
+            total += len(part)
+            at = end
+            if total >= size:
+                yield group
+                group, total = [], 0
+    if group:
+        yield group
 
 
 class Decoder:
@@ -353,20 +401,9 @@ class Decoder:
                 self.raw.append(t.replace(SPACE, " ").encode())
 
     def decode(self, ids) -> str:
-        raw = self.raw
-        return b"".join([raw[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
-
-
-def pieces_of(texts: list, size: int = CHARS) -> Iterator[tuple[int, int]]:
-    """Spans of rows of about ``size`` characters."""
-    a = total = 0
-    for b, t in enumerate(texts):
-        total += len(t or "")
-        if total >= size:
-            yield a, b + 1
-            a, total = b + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
+        raw, ids = self.raw, np.asarray(ids, np.int64)
+        blocks = [b"".join([raw[i] for i in ids[k:k + _IDS].tolist()]) for k in range(0, len(ids), _IDS)]
+        return b"".join(blocks).decode("utf-8", "replace").removeprefix(" ")
 
 
 def encode_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL,
@@ -378,14 +415,13 @@ def encode_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         encoder = decoder = None
         for batch in batches:
             encoder, decoder = encoder or Encoder(shared.value), decoder or Decoder(shared.value)
-            texts = batch.column(1).to_pylist()
-            for a, b in pieces_of(texts):
-                flat, ends = encoder.encode(texts[a:b])
+            for rows in byte_slices(batch, "text", CHARS):
+                flat, ends = encoder.encode(rows.column("text").to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
-                out = [batch.column(0).slice(a, b - a), lists]
+                out = [rows.column("id"), lists]
                 if decoded:
                     starts = np.concatenate([[0], ends[:-1]])
-                    out.append(pa.array([decoder.decode(flat[x:y].tolist()) for x, y in zip(starts, ends, strict=True)], pa.string()))
+                    out.append(pa.array([decoder.decode(flat[x:y]) for x, y in zip(starts, ends, strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["id", "ids", "decoded"][: len(out)])
 
     rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
@@ -404,7 +440,7 @@ def decode_table(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             for a in range(0, batch.num_rows, 256):  # a few texts at a time
                 part = lists.slice(a, 256)
                 offsets, flat = part.offsets.to_numpy(), part.values.to_numpy()
-                texts = [decoder.decode(flat[x:y].tolist()) for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+                texts = [decoder.decode(flat[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 256), part, pa.array(texts, pa.string())],
                                                  names=["id", "ids", "decoded"])
 
