@@ -54,6 +54,39 @@ class Scratch:
         self.paths = []
 
 
+def hot_join(rows: DataFrame, side: DataFrame, key: str, how: str = "inner", per: int = 100_000, counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined to ``side``, which has one row for each ``key``; a key of many rows is spread over tasks.
+
+    A key with more than ``per`` rows is dealt out by a hash of the row, its one row of ``side`` repeated for each part.
+    ``per`` is raised where more than 10,000 keys could be above it, so that their list, which is broadcast, is bounded.
+    ``counted`` (a written table that has the rows' keys; ``rows`` by default) is read once more to find those keys.
+    """
+    counted = rows if counted is None else counted
+    per = max(per, counted.count() // 10_000)
+    hot = counted.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > per).select(
+        F.col(key).alias("hot_key"), F.ceil(F.col("n") / per).cast("int").alias("parts"))
+    dealt = rows.join(F.broadcast(hot), rows[key] == F.col("hot_key"), "left").withColumn(
+        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("parts")).cast("int")))
+    many = side.join(F.broadcast(hot), side[key] == F.col("hot_key"), "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))
+    return dealt.drop("hot_key", "parts").join(many.drop("hot_key", "parts"), [key, "part"], how).drop("part")
+
+
+def spread(groups: DataFrame, count: str, name: str, block: int = 4_096) -> DataFrame:
+    """Each row as often as its ``count`` says, with its ``turn`` from 0; what occurs often is written out in blocks over the tasks."""
+    once = groups.filter(F.col(count) == 1).withColumn("turn", F.lit(0).cast("long"))
+    many = materialize(groups.filter(F.col(count) > 1), name)
+    at = many.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / block))))
+    at = at.repartition(*[col(c) for c in at.columns])
+    turn = F.explode(F.sequence(F.col("block") * block, F.least((F.col("block") + 1) * block, F.col(count)) - 1))
+    return once.unionByName(at.withColumn("turn", turn).drop("block"))
+
+
+def one_row(rows: DataFrame, key: str, row: str) -> DataFrame:
+    """The struct ``row`` of one of the rows of each ``key``: that with the smallest hash; most are left out before the shuffle."""
+    return rows.groupBy(key).agg(F.min_by(F.col(row), F.xxhash64(F.col(row).cast("string"))).alias(row)).select(f"{row}.*")
+
+
 def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch's rows in order, in slices of about ``most`` bytes of a string or binary column (one row at least)."""
     length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -19,13 +19,20 @@ Texts that are equal are signed alike and stand as one. In every band bucket
 all members are compared with one leader, then with the member most like the
 leader (the original of a group of edited copies), for ``rounds`` rounds, so a
 bucket costs as many comparisons as it has members, not pairs. What is then
-still not connected inside a bucket is compared pair by pair, except where a
-bound already rules a link out: the triangle inequality of the distance 1 - J_P
-to the leaders, and bitmaps of the shingles. A shingle of u whose bit v lacks
-is not in v; with shares a and b of the weights of u and v known to be apart in
-this way, J_P is at most 1 / (1 / (1 - a) + b / (1 - b)). Both bounds are exact,
-so no link found by the bands is lost. Every link is verified exactly, and
-classes are the connected components of the links.
+still not connected inside a bucket is searched by prefixes. With shares a and
+b of the weights of u and v known to be apart, J_P is at most
+1 / (1 / (1 - a) + b / (1 - b)), so linked texts share 0.8 of each one's weight
+or more. In one order of all shingles, rare ones first, the first shingle that
+two linked texts share lies within the first 0.2 of each one's weight: only
+these are indexed, only texts that meet there are looked at, and the weights
+before that place and bitmaps of the shingles (one of u whose bit v lacks is
+not in v) bound the similarity once more. All bounds are exact, so no link found
+by the bands is lost. Every link is verified exactly, and classes are the
+connected components of the links.
+
+The leader of a bucket is its member with the smallest hash, the same for
+most buckets of a group of copies, so a copy is compared about once. A leader
+of many copies is spread over tasks in the comparison.
 
 The texts are read twice: once to sign, once to get the shingles of those
 documents that have a candidate; a Bloom filter bounded by ``max_bits`` keeps
@@ -36,7 +43,9 @@ Words are the lower-cased text's runs of non-space characters. Defined
 results: a text of fewer than five words is one shingle of all its words; a
 null text or one without words is a class of its own row's text (equal ones
 together). Null ids are carried; repeated rows fall in one class. An empty
-table gives an empty result. Other columns are carried along untouched.
+table gives an empty result. Other columns are carried along untouched. A very
+long text is split into words in parts; beyond that about 80 bytes a word are
+held while it is signed.
 """
 
 from __future__ import annotations
@@ -50,12 +59,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardmarts.llm.common import Scratch, col, materialize, table
+from cardmarts.llm.common import Scratch, byte_slices, col, hot_join, materialize, one_row, spread, table
 from cardmarts.llm.exact_dedup import probe, repeat_filter
 
 SHINGLE = 5
-CHARS = 4_000_000  # of text worked on at a time in a task
+BYTES = 1 << 20  # of text worked on at a time in a task
 BITMAP_WORDS = 16  # of 64 bits
+_PAIRS = 1_000  # comparisons with one text in a task
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -68,20 +78,42 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words of each text, and all words' hashes."""
+    count, found, held = np.zeros(len(texts), np.int64), [np.empty(0, np.uint64)], []
+
+    def flush() -> None:
+        if held:
+            found.append(pd.util.hash_array(np.array(held, dtype=object), categorize=True).astype(np.uint64))
+            held.clear()
+
+    for k, t in enumerate(texts):
+        at = 0
+        while t and at < len(t):
+            end = at + BYTES
+            while end < len(t) and not t[end].isspace():
+                end += 1
+            words = t[at:end].lower().split()
+            count[k] += len(words)
+            held += words
+            at = end
+            if len(held) > BYTES // 4:
+                flush()
+    flush()
+    return count, np.concatenate(found)
+
+
+def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document's place, shingle hash, weight), sorted by document and hash."""
-    words = [(t or "").lower().split() for t in texts]
-    count = np.array([len(w) for w in words], dtype=np.int64)
-    flat = [x for w in words for x in w]
-    if not flat:
+    count, h = word_hashes(texts)
+    if not len(h):
         return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.float64)
-    h = pd.util.hash_array(np.array(flat, dtype=object), categorize=True).astype(np.uint64)
     # short texts are filled up with a hash of nothing, so that each gives one shingle
     room = np.where(count > 0, np.maximum(count, SHINGLE), 0)
     padded = np.zeros(int(room.sum()), np.uint64)
     start = np.concatenate([[0], np.cumsum(room)[:-1]])
     word_doc = np.repeat(np.arange(len(texts)), count)
-    at = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count) + start[word_doc]
+    at = np.arange(len(h)) - np.repeat(np.cumsum(count) - count, count) + start[word_doc]
     padded[at] = h
     n = np.maximum(room - SHINGLE + 1, 0)
     doc = np.repeat(np.arange(len(texts)), n)
@@ -134,18 +166,6 @@ def band_keys(who: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _pieces(texts: list) -> Iterator[tuple[int, int]]:
-    """Spans of rows of about ``CHARS`` characters."""
-    a = total = 0
-    for b, t in enumerate(texts):
-        total += len(t or "")
-        if total >= CHARS:
-            yield a, b + 1
-            a, total = b + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def _prime(least: int) -> int:
     while any(least % k == 0 for k in range(2, int(least**0.5) + 1)):
         least += 1
@@ -159,16 +179,15 @@ def signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in _pieces(texts):
-                doc, element, weight = shingles(texts[a:b])
-                keys = band_keys(prob_minhash(doc, element, weight, b - a, m), bands, rows_per_band)
-                has = np.zeros(b - a, bool)
+            for part in byte_slices(batch, "text", BYTES):
+                doc, element, weight = shingles(part.column("text").to_pylist())
+                keys = band_keys(prob_minhash(doc, element, weight, part.num_rows, m), bands, rows_per_band)
+                has = np.zeros(part.num_rows, bool)
                 has[doc] = True
                 ends = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].ravel())).cast(kind)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), batch.column("digest").slice(a, b - a), lists], names=["id", "digest", "bands"])
+                    [part.column("id"), part.column("digest"), lists], names=["id", "digest", "bands"])
 
     return rows.select("id", "digest", "text").mapInArrow(run, "id long, digest binary, bands array<long>")
 
@@ -181,18 +200,18 @@ def shingle_vectors(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in _pieces(texts):
-                doc, element, weight = shingles(texts[a:b])
-                cut = np.searchsorted(doc, np.arange(b - a + 1))
-                bits = np.zeros((b - a, BITMAP_WORDS), np.uint64)
+            for part in byte_slices(batch, "text", BYTES):
+                n = part.num_rows
+                doc, element, weight = shingles(part.column("text").to_pylist())
+                cut = np.searchsorted(doc, np.arange(n + 1))
+                bits = np.zeros((n, BITMAP_WORDS), np.uint64)
                 place = (element >> np.uint64(8)) % np.uint64(64 * BITMAP_WORDS)
                 np.bitwise_or.at(bits, (doc, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
-                mass = np.bincount(doc, weights=weight, minlength=b - a)
-                bits = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BITMAP_WORDS), pa.array(bits.view(np.int64).ravel()))
+                mass = np.bincount(doc, weights=weight, minlength=n)
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BITMAP_WORDS), pa.array(bits.view(np.int64).ravel()))
                 parts = [(element[x:y].tobytes(), weight[x:y].astype(np.float32).tobytes()) for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("digest").slice(a, b - a), pa.array([p[0] for p in parts], pa.binary()),
+                    [part.column("digest"), pa.array([p[0] for p in parts], pa.binary()),
                      pa.array([p[1] for p in parts], pa.binary()), bits, pa.array(mass)],
                     names=["digest", "hashes", "weights", "bits", "mass"])
 
@@ -275,7 +294,8 @@ class _Verifier:
         """Shingles of all members (digest): the only documents whose texts are shuffled."""
         wanted = self.save(members.select("digest").distinct(), "wanted")
         rows = probe(self.docs, *repeat_filter(wanted, self.max_bits, 1)).filter("maybe").drop("maybe")
-        once = rows.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+        # one text for each digest leaves a task, however many rows have it
+        once = rows.groupBy("digest").agg(F.first("text").alias("text")).join(wanted, "digest", "left_semi")
         self.vectors = self.save(shingle_vectors(once), "shingles")
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -286,7 +306,8 @@ class _Verifier:
         pairs = self.save(pairs, f"{name}-pairs")
         left = self.vectors.select(F.col("digest").alias("a"), F.col("hashes").alias("ha"), F.col("weights").alias("wa"))
         right = self.vectors.select(F.col("digest").alias("b"), F.col("hashes").alias("hb"), F.col("weights").alias("wb"))
-        got = pairs.join(left, "a").join(right, "b").select("a", "b", _similarity("ha", "wa", "hb", "wb").alias("sim"))
+        got = hot_join(hot_join(pairs, left, "a", per=_PAIRS), right, "b", per=_PAIRS, counted=pairs)
+        got = got.select("a", "b", _similarity("ha", "wa", "hb", "wb").alias("sim"))
         got = self.save(got, name)
         self.known = got if self.known is None else self.known.unionByName(got)
         return got
@@ -296,20 +317,66 @@ class _Verifier:
         return k.select("a", "b", "sim").union(k.select("b", "a", "sim"))
 
 
+def _entries(rows: DataFrame) -> DataFrame:
+    """(digest, shingle, weight) of (digest, hashes, weights)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for digest, hashes, weights in zip(*(batch.column(c) for c in ("digest", "hashes", "weights")), strict=True):
+                h, w = np.frombuffer(hashes.as_py(), np.int64), np.frombuffer(weights.as_py(), np.float32)
+                for a in range(0, len(h), 100_000):
+                    part = h[a:a + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(digest, len(part)), pa.array(part), pa.array(w[a:a + 100_000].astype(np.float64))],
+                                                     names=["digest", "shingle", "weight"])
+
+    return rows.select("digest", "hashes", "weights").mapInArrow(run, "digest binary, shingle long, weight double")
+
+
+def prefix_pairs(members: DataFrame, vectors: DataFrame, threshold: float, save=materialize, block: int = 1_000) -> DataFrame:
+    """Pairs (a, b) of ``members`` (digest, root) with different roots that exact bounds allow to reach ``threshold``.
+
+    A shingle that many members have at their front is dealt out in blocks of about ``block`` members.
+    """
+    known = save(members.join(vectors, "digest"), "rest-shingles")
+    entries = save(_entries(known), "entries")
+    rarity = entries.groupBy("shingle").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("digest").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    front = entries.join(rarity, "shingle").withColumn("before", F.coalesce(F.sum("weight").over(order), F.lit(0.0)))
+    front = front.join(known.select("digest", "root", "bits", "mass"), "digest").withColumn("apart", F.col("before") / F.col("mass"))
+    front = save(front.filter((F.col("apart") <= 1 - threshold + 1e-9) & (F.col("n") > 1)).select(
+        "shingle", "n", "digest", "root", "bits", "mass", "apart"), "prefixes")
+    meet = save(front.groupBy("shingle").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+                .filter("lo <> hi").select("shingle", "parts"), "meeting")
+    front = front.join(meet, "shingle")
+    x = front.withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")).alias("x")
+    y = front.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    share = lambda a, b: 1 / (1 - F.col(f"{a}.apart")) + F.col(f"{b}.apart") / (1 - F.col(f"{b}.apart")) <= 1 / threshold + 1e-9
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.digest") < F.col("y.digest"))
+                   & (F.col("x.root") != F.col("y.root")) & share("x", "y") & share("y", "x") & may_reach("x", "y", threshold))
+    return pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"))
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, bands: int = 32,
                  rows_per_band: int = 6, rounds: int = 2, max_bits: int = 1 << 26) -> tuple[DataFrame, DataFrame]:
     """(id, digest) of every row, and (digest, root) of every text that is linked to a different one."""
     own = Scratch(docs.sparkSession)
-    save = own.save
+    try:
+        return _near_classes(docs, id_col, text_col, threshold, bands, rows_per_band, rounds, max_bits, own.save)
+    finally:
+        own.close()
+
+
+def _near_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, rows_per_band: int, rounds: int,
+                  max_bits: int, save) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(col(id_col).cast("long").alias("id"), text_key(col(text_col)).alias("digest"),
                        F.coalesce(col(text_col), F.lit("")).alias("text"))
     signs = save(signed(rows, bands, rows_per_band), "signatures")
     once = signs.filter(F.size("bands") > 0).groupBy("digest").agg(F.first("bands").alias("bands"))
     entries = save(once.select("digest", F.explode("bands").alias("bucket")), "bands")
-    order = F.struct(F.xxhash64("digest", "bucket").alias("h"), F.col("digest"))
+    order = F.struct(F.xxhash64("digest").alias("h"), F.col("digest"))
     leaders = save(entries.groupBy("bucket").agg(F.min(order).alias("first"), F.count("*").alias("n"))
                           .filter("n > 1").select("bucket", F.col("first.digest").alias("lead")), "leaders")
-    members = save(entries.join(leaders, "bucket"), "members")
+    members = save(hot_join(entries, leaders, "bucket"), "members")
     check = _Verifier(rows.select("digest", "text"), max_bits, save)
     check.prepare(members)
     check.verify(members.select(F.col("lead").alias("a"), F.col("digest").alias("b")), "round-0")
@@ -322,7 +389,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         placed = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
         placed = save(placed, "rooted")
         parted = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-        return save(placed.join(parted, "bucket"), "open")
+        return save(hot_join(placed, save(parted, "parted"), "bucket"), "open")
 
     def with_distance(members: DataFrame, lead: str, out: str) -> DataFrame:
         sims = check.both_ways().select(F.col("a").alias(lead), F.col("b").alias("digest"), (1 - F.col("sim")).alias(out))
@@ -344,39 +411,25 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         left = open_buckets(met.drop("root", "lead_root"), roots)
         leads += 1
     if not left.isEmpty():
-        for k in range(leads):
-            left = with_distance(left, f"lead{k}", f"d{k}")
-        bits = check.vectors.select("digest", "bits", "mass")
-        left = save(left.select("bucket", "digest", "root", *[f"d{k}" for k in range(leads)]).join(bits, "digest"), "rest")
-        x, y = left.alias("x"), left.alias("y")
-        # a link needs a distance of at most 1 - threshold, so the distances to any third text may not differ by more
-        near = may_reach("x", "y", threshold)
-        for k in range(leads):
-            near = near & F.coalesce(F.abs(F.col(f"x.d{k}") - F.col(f"y.d{k}")) <= 1 - threshold + 1e-9, F.lit(True))
-        pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.digest") < F.col("y.digest"))
-                       & (F.col("x.root") != F.col("y.root")) & near)
-        check.verify(pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")), "rest-pairs")
+        members = save(left.select("digest", "root").distinct(), "rest")
+        check.verify(prefix_pairs(members, check.vectors, threshold, save), "rest-pairs")
         roots = linked()
     ids = materialize(signs.select("id", "digest"), "near-ids")
     roots = materialize(roots.select(F.col("node").alias("digest"), "root"), "near-roots")
-    own.close()
     return ids, roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """id, digest, class_id (the smallest id of the class), class_size and kept (one row of each class) per row."""
     ids, roots = near_classes(docs, id_col, text_col, **how)
-    rooted = materialize(ids.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest")), "rooted-ids")
-    same = rooted.groupBy("root", "id", "digest").agg(F.count("*").alias("n"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("digest"), F.col("n"))).alias("top")
-    classes = materialize(same.groupBy("root").agg(first, F.sum("n").alias("class_size")).select(
-        "root", F.col("top.id").alias("class_id"), F.col("top.digest").alias("top"), F.col("top.n").alias("ties"), "class_size"), "classes")
-    rows = rooted.join(classes, "root")
-    best = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("top"))
-    tied = rows.filter(best & (F.col("ties") > 1)).withColumn(
-        "kept", F.row_number().over(Window.partitionBy("root").orderBy("id")) == 1)
-    out = rows.filter(~(best & (F.col("ties") > 1))).withColumn("kept", best).unionByName(tied)
-    return out.select("id", "digest", "class_id", "class_size", "kept")
+    same = materialize(ids.groupBy("digest", "id").agg(F.count("*").alias("n")), "counted-ids")
+    rooted = materialize(hot_join(same, roots, "digest", "left").withColumn("root", F.coalesce("root", "digest")), "rooted-ids")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("digest"))).alias("top")
+    classes = materialize(rooted.groupBy("root").agg(first, F.sum("n").alias("class_size")).select(
+        "root", F.col("top.id").alias("class_id"), F.col("top.digest").alias("top"), "class_size"), "classes")
+    rows = spread(hot_join(rooted, classes, "root"), "n", "equal-ids")
+    best = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("top")) & (F.col("turn") == 0)
+    return rows.select("id", "digest", "class_id", "class_size", best.alias("kept"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 1 << 26, **how) -> DataFrame:
@@ -395,8 +448,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     v = verdict.select(F.col("digest").alias("v_digest"), F.col("id").alias("v_id"), "kept", "ties")
     met = rows.filter("maybe").join(v, (F.col("digest") == F.col("v_digest")) & F.col("id").eqNullSafe(F.col("v_id")), "left")
     plain = met.filter("kept IS NULL OR (kept AND ties = 1)").select("row.*")
-    tied = met.filter("kept AND ties > 1").withColumn(
-        "n", F.row_number().over(Window.partitionBy("digest").orderBy("id"))).filter("n = 1").select("row.*")
+    tied = one_row(met.filter("kept AND ties > 1"), "digest", "row")
     return alone.unionByName(plain).unionByName(tied)
 
 
