@@ -11,12 +11,19 @@ The steps run as a reduction tree. Documents are dealt to chunks of about
 ``chunk_rows`` by a hash of id, source and size (a hot source is spread over all
 chunks). Rows that agree in these three are counted first and stand as one: they
 take the whole copies of their sum, and the fraction left is one document.
-In a chunk the documents of a source meet from large to small, so what is left
-of it is one small document; the left-overs of ``fan`` chunks meet in the next
-level, and so on to one per source, which is rounded by a last draw. Each
-chunk is drawn once: choosing among draws would change the probabilities of
-long documents. A document too long to be settled in its chunk goes up the
-tree, so a source can miss its target by at most its last document's words.
+In a chunk the documents of a source meet from large to small; what is left of
+it is one document, and the left-overs of ``fan`` chunks meet in the next level,
+and so on to one per source, which is rounded by a last draw. Each chunk is
+drawn once: choosing among draws would change the probabilities of long
+documents. A step settles the smaller of two documents, so the last one is
+often the longest, and its draw would miss the target by many words. Therefore
+a tail of the source's short documents stays out of this tree, just enough of
+them to make up for either outcome of the last draw: what the draw adds or
+takes is taken from or added to the tail's probabilities in proportion (on
+average nothing, so every document keeps its expectation), and the tail goes
+through a tree of its own, whose last document is short. The tail is chosen by
+sizes and rates alone; a source without enough short documents has none and
+can miss its target by its last document's words.
 All draws are hashes of the seed and the row, and chunks depend on the data
 only, so reruns and retried tasks agree.
 
@@ -37,12 +44,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardmarts.llm.common import col, fresh, materialize, table
+from cardmarts.llm.common import col, fresh, materialize, spread, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
-_STATE = "chunk long, pos long, source string, id long, no_id boolean, size long, rows long, whole long, p double, done boolean"
 _BLOCK = 4_096  # equal rows handed out at a time
+_STATE = "chunk long, pos long, source string, id long, no_id boolean, size long, rows long, whole long, p double, done boolean"
 
 
 def word_count(text: Column) -> Column:
@@ -126,6 +133,31 @@ def _round_group(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
     return pdf.assign(p=p, done=(p == 0) | (p == 1))
 
 
+def _step(size: Column) -> Column:
+    """Steps of a fourth of a doubling."""
+    return F.floor(4 * F.log2(F.greatest(size, F.lit(1))))
+
+
+def _reduce_tree(state: DataFrame, chunk_rows: int, fan: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose p is 0 or 1 in the end, each source's last row with its p and the draw that settled it)."""
+    chunks = -(-max(1, state.count()) // chunk_rows)
+    state = state.select(F.pmod(F.col("deal"), F.lit(chunks)).alias("chunk"), F.lit(0).cast("long").alias("pos"), "source", "id", "no_id",
+                         "size", "rows", "whole", "p", (F.col("p").isin(0.0, 1.0)).alias("done"))
+    finished, levels = [], 0
+    while True:
+        rounded = materialize(
+            state.filter(~F.col("done")).groupBy("chunk").applyInPandas(_rounder(seed + levels), _STATE), f"pivotal-{levels}")
+        finished += [state.filter("done"), rounded.filter("done")]
+        state = rounded.filter(~F.col("done")).withColumn("pos", F.col("chunk")).withColumn("chunk", F.floor(F.col("chunk") / fan))
+        levels += 1
+        if chunks == 1:
+            break
+        chunks = -(-chunks // fan)
+    keep = ["source", "id", "no_id", "size", "rows", "whole", "p"]
+    settled = F.pmod(F.xxhash64("id", "source", "size", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < F.col("p")
+    return reduce_union([f.select(keep) for f in finished]), state.select(*keep, settled.cast("double").alias("settled"))
+
+
 def _rounder(seed: int):
     return lambda pdf: _round_group(pdf, seed)
 
@@ -151,26 +183,36 @@ def group_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     certain = F.floor(F.col("extra") + 1e-12)
     rated = rated.withColumn("extra", extra).withColumn("whole", base * F.col("rows") + certain).withColumn(
         "p", F.greatest(F.col("extra") - certain, F.lit(0.0)))
-    n = max(1, sizes.count())
-    chunks = -(-n // chunk_rows)
-    state = rated.select(F.pmod(F.xxhash64("id", "source", "size"), F.lit(chunks)).alias("chunk"), F.lit(0).cast("long").alias("pos"),
-                         "source", F.coalesce("id", F.lit(0)).cast("long").alias("id"), F.col("id").isNull().alias("no_id"),
-                         "size", "rows", "whole", "p", (F.col("p") == 0).alias("done"))
-    finished, levels = [], 0
-    while True:
-        rounded = materialize(
-            state.filter(~F.col("done")).groupBy("chunk").applyInPandas(_rounder(seed * 1009 + levels), _STATE), f"pivotal-{levels}")
-        finished += [state.filter("done"), rounded.filter("done")]
-        state = rounded.filter(~F.col("done")).withColumn("pos", F.col("chunk")).withColumn(
-            "chunk", F.floor(F.col("chunk") / fan))
-        levels += 1
-        if chunks == 1:
-            break
-        chunks = -(-chunks // fan)
-    # at most one document per source is left: a last draw settles it
-    last = F.pmod(F.xxhash64("id", "source", "size", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30) < F.col("p")
-    finished.append(state.withColumn("p", last.cast("double")))
-    rows = reduce_union(finished)
+    rated = materialize(rated, "rated")
+    # the tail: single rows of the shortest sizes, up to what evens out the longest document's draw
+    room = F.least(F.col("p"), 1 - F.col("p"))
+    single = rated.filter((F.col("rows") == 1) & (F.col("p") > 0)).select("source", "size", room.alias("room"))
+    steps = single.groupBy("source", _step(F.col("size")).alias("step")).agg(F.sum("size").alias("words"), F.min("room").alias("room"))
+    longest = rated.filter("p > 0").groupBy("source").agg(F.max("size").alias("longest"))
+    upto = F.sum("words").over(Window.partitionBy("source").orderBy("step"))
+    met = steps.withColumn("upto", upto).join(longest, steps["source"].eqNullSafe(longest["source"])).drop(longest["source"])
+    enough = met.filter(F.col("upto") * F.col("room") >= 1.1 * F.col("longest"))
+    tails = materialize(enough.groupBy("source").agg(F.min(F.struct("step", "upto", "room", "longest")).alias("t")).select(
+        F.col("source").alias("name"), F.col("t.step").alias("step"),
+        F.least(F.lit(1.0), 1.5 * F.col("t.longest") / F.col("t.room") / F.col("t.upto")).alias("part")), "tails")  # a row per source
+    draw = F.pmod(F.xxhash64("id", "source", "size", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30)
+    marked = rated.join(tails, F.col("source").eqNullSafe(F.col("name")), "left").drop("name")
+    inside = (F.col("rows") == 1) & (F.col("p") > 0) & (_step(F.col("size")) <= F.col("step")) & (draw < F.col("part"))
+    state = materialize(marked.select(
+        F.xxhash64("id", "source", "size").alias("deal"), "source", F.coalesce("id", F.lit(0)).cast("long").alias("id"),
+        F.col("id").isNull().alias("no_id"), "size", "rows", "whole", "p", F.coalesce(inside, F.lit(False)).alias("tail")), "fractions")
+    done, last = _reduce_tree(state.filter(~F.col("tail")).drop("tail"), chunk_rows, fan, seed * 1009)
+    # what the draw of a source's last document adds, in words
+    off = last.groupBy("source").agg(F.sum((F.col("settled") - F.col("p")) * F.col("size")).alias("off"), F.max("size").alias("over"))
+    tail = state.filter("tail").drop("tail")
+    words = tail.groupBy("source").agg(F.sum("size").alias("words"), F.min(room).alias("room"))
+    shift = off.join(words, off["source"].eqNullSafe(words["source"])).select(
+        off["source"].alias("name"), F.when(F.col("words") * F.col("room") >= F.col("over"), F.col("off") / F.col("words")).otherwise(0.0).alias("shift"))
+    shift = materialize(shift, "shifts")
+    shifted = tail.join(shift, F.col("source").eqNullSafe(F.col("name")), "left").withColumn(
+        "p", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("p") - F.coalesce("shift", F.lit(0.0))))).drop("name", "shift")
+    tail_done, tail_last = _reduce_tree(shifted, chunk_rows, fan, seed * 2003)
+    rows = reduce_union([done, tail_done, *(x.drop("p").withColumnRenamed("settled", "p").select(done.columns) for x in (last, tail_last))])
     return rows.join(shared, F.col("source").eqNullSafe(F.col("name")), "left").select(
         F.when(~F.col("no_id"), F.col("id")).alias("id"), "source", "size", "rows", "source_size", "target",
         (F.col("whole") + F.round("p").cast("long")).alias("copies"))
@@ -182,17 +224,9 @@ def mix_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``how``: weights, most, chunk_rows, fan and seed of ``group_decisions``.
     """
     groups = group_decisions(docs, id_col, text_col, source_col, **how)
-    names = ["id", "source", "size", "source_size", "target"]
-    alone = groups.filter("rows = 1").select(*names, F.col("copies").cast("int").alias("copies"))
-    # equal rows are written out in blocks, dealt over the tasks
-    many = materialize(groups.filter("rows > 1"), "equal-rows")
-    blocks = many.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / _BLOCK))))
-    blocks = blocks.repartition(*map(F.col, ("id", "source", "size", "block")))
-    turn = F.explode(F.sequence(F.col("block") * _BLOCK, F.least((F.col("block") + 1) * _BLOCK, "rows") - 1))
     each = F.floor(F.col("copies") / F.col("rows"))
     one = (F.col("turn") < F.col("copies") - each * F.col("rows")).cast("long")
-    equal = blocks.withColumn("turn", turn).select(*names, (each + one).cast("int").alias("copies"))
-    return alone.unionByName(equal)
+    return spread(groups, "rows", "equal-rows", _BLOCK).select("id", "source", "size", "source_size", "target", (each + one).cast("int").alias("copies"))
 
 
 def reduce_union(frames: list[DataFrame]) -> DataFrame:
@@ -219,14 +253,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                          col(source_col).cast("string").alias(source), word_count(col(text_col)).alias(size))
     met = packed.join(total, [packed[c].eqNullSafe(total[c]) for c in (ident, source, size)]).select("row", total[ident].alias(ident), total[source].alias(source), total[size].alias(size), "copies", "rows")
     plain = met.filter("rows = 1").select("row", "copies")
-    return _repeat(plain.unionByName(_shared_copies(met.filter("rows > 1"), [ident, source, size], seed)))
+    return _repeat(plain.unionByName(_shared_copies(met.filter("rows > 1"), [ident, source, size])))
+
 
+def _shared_copies(met: DataFrame, keys: list[str]) -> DataFrame:
+    """(row, copies): the rows of a key take their copies in turn, in the order in which tasks have written them.
 
-def _shared_copies(met: DataFrame, keys: list[str], seed: int) -> DataFrame:
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.col("row").cast("string"), F.lit(seed)))) - 1
+    Rows are numbered within the task that wrote them; the tasks' counts give each task its first number.
+    """
+    tied = materialize(met.withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "tied-rows")
+    per_task = tied.groupBy(*keys, "task").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*keys).orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    start = materialize(per_task.select(*[F.col(k).alias(f"s_{k}") for k in keys], F.col("task").alias("s_task"),
+                                        F.coalesce(before, F.lit(0)).alias("start")), "tied-starts")
+    placed = tied.join(start, [F.col("task") == F.col("s_task"), *[F.col(k).eqNullSafe(F.col(f"s_{k}")) for k in keys]])
+    turn = F.col("start") + F.row_number().over(Window.partitionBy(*keys, "task").orderBy("at")) - 1
     each = F.floor(F.col("copies") / F.col("rows"))
     extra = F.col("copies") - each * F.col("rows")
-    return met.withColumn("turn", turn).select("row", (each + (F.col("turn") < extra).cast("long")).alias("copies"))
+    return placed.withColumn("turn", turn).select("row", (each + (F.col("turn") < extra).cast("long")).alias("copies"))
 
 
 def _repeat(rows: DataFrame) -> DataFrame:
