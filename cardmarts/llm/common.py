@@ -54,10 +54,12 @@ class Scratch:
         self.paths = []
 
 
-def hot_join(rows: DataFrame, side: DataFrame, key: str, how: str = "inner", per: int = 100_000, counted: DataFrame | None = None) -> DataFrame:
+def hot_join(rows: DataFrame, side: DataFrame, key: str, how: str = "inner", per: int = 100_000, counted: DataFrame | None = None,
+             by: list[str] | None = None) -> DataFrame:
     """``rows`` joined to ``side``, which has one row for each ``key``; a key of many rows is spread over tasks.
 
-    A key with more than ``per`` rows is dealt out by a hash of the row, its one row of ``side`` repeated for each part.
+    A key with more than ``per`` rows is dealt out by a hash of its rows (or of their columns ``by``), its one row of
+    ``side`` repeated for each part.
     ``per`` is raised where more than 10,000 keys could be above it, so that their list, which is broadcast, is bounded.
     ``counted`` (a written table that has the rows' keys; ``rows`` by default) is read once more to find those keys.
     """
@@ -66,7 +68,7 @@ def hot_join(rows: DataFrame, side: DataFrame, key: str, how: str = "inner", per
     hot = counted.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > per).select(
         F.col(key).alias("hot_key"), F.ceil(F.col("n") / per).cast("int").alias("parts"))
     dealt = rows.join(F.broadcast(hot), rows[key] == F.col("hot_key"), "left").withColumn(
-        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("parts")).cast("int")))
+        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*(by or rows.columns)), F.col("parts")).cast("int")))
     many = side.join(F.broadcast(hot), side[key] == F.col("hot_key"), "left").withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))
     return dealt.drop("hot_key", "parts").join(many.drop("hot_key", "parts"), [key, "part"], how).drop("part")

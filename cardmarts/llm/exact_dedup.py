@@ -20,10 +20,10 @@ carried along untouched; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmarts.llm.common import col, materialize, table
+from cardmarts.llm.common import col, hot_join, materialize, one_row, spread, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BITMAP_BITS = 32768  # bits of one row of bitmap_construct_agg
@@ -79,22 +79,12 @@ def probe(rows: DataFrame, filters: DataFrame, bits: int) -> DataFrame:
     return out.select(*rows.columns, (F.col("bit0") & F.col("bit1")).alias("maybe"))
 
 
-def _groups(maybe: DataFrame) -> DataFrame:
-    """Per digest: the id that stays, the group's size and the rows that share that id."""
-    per_id = maybe.groupBy("digest", "id").agg(F.count("*").alias("n"))
-    return per_id.groupBy("digest").agg(
+def _groups(maybe: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows per digest and id, and per digest the id that stays, the group's size and the rows that share that id."""
+    per_id = materialize(maybe.groupBy("digest", "id").agg(F.count("*").alias("n")), "per-id")
+    return per_id, materialize(per_id.groupBy("digest").agg(
         F.max("id").alias("keep_id"), F.sum("n").alias("group_size"),
-        F.max(F.struct(F.col("id"), F.col("n")))["n"].alias("n_top"))
-
-
-def _one_of_ties(rows: DataFrame) -> DataFrame:
-    """Adds ``kept``; equal copies of the staying row are told apart by a row number."""
-    same = F.col("id").eqNullSafe(F.col("keep_id"))
-    tied = same & (F.col("n_top") > 1)
-    plain = rows.filter(~tied).withColumn("kept", same)
-    ties = rows.filter(tied).withColumn(
-        "kept", F.row_number().over(Window.partitionBy("digest").orderBy("id")) == 1)
-    return plain.unionByName(ties)
+        F.max(F.struct(F.col("id"), F.col("n")))["n"].alias("n_top")), "groups")
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -108,10 +98,10 @@ def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     flagged = probe(narrow, *repeat_filter(narrow, max_bits))
     once = flagged.filter(~F.col("maybe")).select(
         "id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    maybe = flagged.filter("maybe").drop("maybe")
-    groups = materialize(_groups(maybe), "groups")
-    more = _one_of_ties(maybe.join(groups, "digest"))
-    return once.unionByName(more.select(*once.columns))
+    per_id, groups = _groups(flagged.filter("maybe"))
+    more = spread(hot_join(per_id, groups, "digest"), "n", "equal-ids")
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == 0)
+    return once.unionByName(more.withColumn("kept", kept).select(*once.columns))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -119,14 +109,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay, with their columns as they were."""
     narrow = _narrow(docs, id_col, text_col)
     filters, bits = repeat_filter(narrow, max_bits)
-    groups = materialize(_groups(probe(narrow, filters, bits).filter("maybe")).filter("group_size > 1"), "groups")
+    maybe = materialize(probe(narrow, filters, bits).filter("maybe").drop("maybe"), "maybe")
+    groups = _groups(maybe)[1].filter("group_size > 1")
     packed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"),
                          text_digest(col(text_col)).alias("digest"), col(id_col).alias("id"))
     rows = probe(packed, filters, bits)
     once = rows.filter(~F.col("maybe")).select("row.*")
-    more = rows.filter("maybe").drop("maybe").join(groups, "digest", "left")
+    more = hot_join(rows.filter("maybe").drop("maybe"), groups, "digest", "left", counted=maybe, by=["id"])
     single = more.filter(F.col("group_size").isNull()).select("row.*")
-    kept = _one_of_ties(more.filter(F.col("group_size").isNotNull())).filter("kept").select("row.*")
+    stays = more.filter(F.col("group_size").isNotNull() & F.col("id").eqNullSafe(F.col("keep_id")))
+    kept = stays.filter("n_top = 1").select("row.*").unionByName(one_row(stays.filter("n_top > 1"), "digest", "row"))
     return once.unionByName(single).unionByName(kept)
 
 
