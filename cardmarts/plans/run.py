@@ -12,12 +12,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from cardmarts.operators.labels import hot_label_ids
 from cardmarts.plans.gold import GOLD_TABLES
 from cardmarts.plans.silver import PARTITION_COLUMNS, SILVER_TABLES, with_month_partition
-from cardmarts.schemas import ENTITIES, JSON_ENTITIES
+from cardmarts.schemas import ENTITIES
 from cardmarts.sinks.runlog import log_step, new_run_id, register_log, run_context
 from cardmarts.sinks.tables import (
     Written,
@@ -29,7 +29,6 @@ from cardmarts.sinks.tables import (
     register_table,
 )
 from cardmarts.sources.config import active_rows
-from cardmarts.sources.files import check_ends
 from cardmarts.sources.landing import read_landing
 
 LAYERS = ("bronze", "silver", "gold")
@@ -93,11 +92,8 @@ def ingest_entity(
     root = lake.table_root("bronze", entity)
 
     def work() -> Written:
-        ends = Observation() if entity in JSON_ENTITIES else None
-        df = read_landing(spark, landing_root, entity, ingestion_date, source_format, file_glob=file_glob,
-                          folder=folder, ends=ends)
-        return publish_table(spark, df, root, version=_version(ingestion_date, run_id), fmt=lake.fmt,
-                             check=(lambda: check_ends(ends, df)) if ends else None)
+        df = read_landing(spark, landing_root, entity, ingestion_date, source_format, file_glob=file_glob, folder=folder)
+        return publish_table(spark, df, root, version=_version(ingestion_date, run_id), fmt=lake.fmt)
 
     return _logged(spark, lake, run_id, "bronze", entity, work, log)
 

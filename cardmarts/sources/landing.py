@@ -8,7 +8,7 @@ folder value reaches bronze as a literal, not as a discovered column.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardmarts.functions.audit import add_bronze_lineage
@@ -48,7 +48,6 @@ def read_landing(
     whole: bool = False,
     file_glob: str = "*.json",
     folder: str | None = None,
-    ends: Observation | None = None,
 ) -> DataFrame:
     """Bronze rows of one entity and date: entity columns then the four lineage columns.
 
@@ -56,7 +55,6 @@ def read_landing(
     check runs before any job starts). JSON dictionaries are read in splits,
     at every size alike; ``whole`` reads each file in one task instead.
     ``folder`` names the entity's landing folder where it differs from the entity.
-    ``ends`` observes the files whose end was seen (see ``check_ends``).
     """
     check_ingest_args(entity, source_format)
     path = landing_path(landing_root, folder or entity, ingestion_date)
@@ -68,7 +66,7 @@ def read_landing(
             if whole:
                 df = read_json_dictionary_whole(spark, path, key, value, root, file_glob)
             else:
-                df = read_json_dictionary(spark, path, key, value, root, file_glob, ends)
+                df = read_json_dictionary(spark, path, key, value, root, file_glob)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceMissing(f"landing folder missing: {path}") from e

@@ -1,11 +1,14 @@
 """CSV and JSON-dictionary sources on hand-written files."""
 
+import json
 import os
+import random
 import uuid
 
 import pytest
 
 from cardmarts.session import shared_dir
+from cardmarts.sources import json_lexer as L
 from cardmarts.sources import (
     SourceMissing,
     check_ingest_args,
@@ -76,7 +79,7 @@ def test_a_file_that_breaks_off_inside_a_string_is_not_published(spark):
     for name, text in (("a", '{"target": {"1-1": "Yes"}}'), ("b", '{"target": {"2-1": "Yes", "2-2": "N')):
         with open(os.path.join(d, f"{name}.json"), "w") as fh:
             fh.write(text)
-    with pytest.raises(ValueError, match="inside a string"):
+    with pytest.raises(Exception, match="inside a string"):
         ingest_entity(spark, lake, root, "fraud_labels", "2024-05-01", log=False)
     with pytest.raises(FileNotFoundError):
         lake.read(spark, "bronze", "fraud_labels")
@@ -112,32 +115,95 @@ def test_commas_inside_values(spark):
     assert rows == [("5411", "Grocery, Supermarkets"), ("5812", "Eating Places, Bars")]
 
 
+def both_readers(spark, p, root):
+    return [sorted((r.k, r.v or "") for r in reader(spark, p, "k", "v", root).collect()) for reader in (read_json_dictionary, read_json_dictionary_whole)]
+
+
 @pytest.mark.parametrize("text", [
     DICTIONARIES["commas"],  # a value that begins with a comma
     '{"a": "x\\", y", "b": "z"}',  # an escaped quote before a comma
     '{"first": "x", "target": {"1": "Yes", "2": "No"}}',  # a string member before the root
+    '{"target": {"1": "Yes", "2": "No"}, "x": "y", "z": "w"}',  # and after it
     '{"target": {"1": "Yes"}, "m": {"a": "x", "b": "y"}}',  # a second dictionary after it
-    '{"m": {"a": "x", "b": "y"}, "target": {"1": "Yes"}}',
-    '{"target": {"1": "Yes", "2": ["a", "b"]}}',
+    '{"m": {"a": "x", "target": "y"}, "target": {"1": "Yes"}}',
+    '{"target": {"1": "Yes", "2": ["a", "b"], "3": {"target": {"x": "y", "z": "w"}}}}',
+    '\ufeff{"target": {"1": "Yes", "2": "No"}}',  # a byte-order mark
 ])
-def test_what_cannot_be_cut_fails_loudly(spark, text):
+def test_legal_dictionaries_read_alike(spark, text):
     p = folder(spark, {"d.json": text})
-    root = "target" if "target" in text else None
-    with pytest.raises(Exception, match="in pieces|Malformed|without its member"):
-        read_json_dictionary(spark, p, "k", "v", root).collect()
-    assert read_json_dictionary_whole(spark, p, "k", "v", root).count() > 0
+    split, whole = both_readers(spark, p, "target" if "target" in text else None)
+    assert split == whole and whole
 
 
-def test_splits_give_the_same_rows_in_one_scan(spark):
-    pairs = ", ".join(f'"{i}"{" " * (i % 3)}:{chr(10) * (i % 2)}{chr(9)}"v, {i}"' for i in range(5000))
-    p = folder(spark, {"d.json": '{"target": {' + pairs + "}}"})
+@pytest.mark.parametrize("text", [
+    '{"target": {"1":"Yes","2":"N', '{"target": {"1":"Yes",', '{"target": {"1":"Yes","2":"No"}', '{"target": {"1":"Yes"}} {"target": {"2":"No"}}',
+    '{"target": {"1":"Yes"}} x', '{"target": {"1":"Yes",}}', '{"target": {"1":"Yes"}, "target": {"2":"No"}}', "  ", '{"target": 5}',
+])
+def test_broken_files_fail_in_both_readers(spark, text):
+    p = folder(spark, {"good.json": '{"target": {"0": "Yes"}}', "bad.json": text})
+    for reader in (read_json_dictionary, read_json_dictionary_whole):
+        with pytest.raises(Exception, match="Malformed|without its member"):
+            reader(spark, p, "k", "v", "target").collect()
+
+
+def test_lexer_in_random_splits():
+    """Random documents, split at random separators and chunk sizes, give the parser's members; cut-off ones fail."""
+    rng = random.Random(5)
+
+    def value(depth=0):
+        r = rng.random()
+        if r < 0.5:
+            return "".join(rng.choice(['a', '"', ",", "\\", "{", "}", " "]) for _ in range(rng.randint(0, 6)))
+        if r < 0.6 or depth == 2:
+            return rng.choice([None, True, rng.randint(0, 99)])
+        if r < 0.8:
+            return [value(depth + 1) for _ in range(rng.randint(0, 3))]
+        return {f'k",{k}': value(depth + 1) for k in range(rng.randint(0, 3))}
+
+    def read(text, root):
+        lines, splits = text.split(L.SEPARATOR), [[]]
+        for line in lines:
+            splits[-1].append(line)
+            if rng.random() < 0.4:
+                splits.append([])
+        splits = [x for x in splits if x]
+        sums = []
+        for k, own in enumerate(splits):
+            summary = L.Summary(root)
+            for part in L.chunks(own, False):
+                summary.add(part)
+            sums.append((k, summary.pack()))
+        whole, pieces = [], []
+        for (k, state, torn), own in zip(L.compose("f", root, sums), splits, strict=True):
+            cutter = L.Cutter("f", state, root)
+            for kind, found in [x for part in L.chunks(own, cutter.more) for x in cutter.add(part)] + list(cutter.close()):
+                assert kind == "whole" or torn
+                whole.append(found) if kind == "whole" else pieces.append((k, kind, found))
+        return sorted((k, json.dumps(v)) for t in whole + L.stitch(pieces) for k, v in json.loads(b"{" + t + b"}").items())
+
+    for _ in range(1_500):
+        members = {f'{rng.choice(["", ",", chr(34)])}{k}': value() for k in range(rng.randint(0, 6))}
+        root = rng.choice([None, "target"])
+        beside = {f"b{k}": value() for k in range(rng.randint(0, 2))}
+        document = members if root is None else {**beside, "target": members, **{f"z{k}": value() for k in range(rng.randint(0, 2))}}
+        text = json.dumps(document, indent=rng.choice([None, 1]), separators=rng.choice([(",", ":"), (", ", ": ")])).encode()
+        assert read(text, root) == sorted((k, json.dumps(v)) for k, v in members.items())
+        torn = text[: rng.randint(1, len(text) - 1)]
+        with pytest.raises((L.BrokenJson, json.JSONDecodeError)):
+            read(torn, root)
+
+
+def test_splits_give_the_same_rows_without_shuffling_text(spark):
+    hard = ['"v, {}"', '",{}"', '"a\\",{}"', '{{"x": "y", "n": [{}, "z"]}}', "{}", '"' + "long \\\",text, " * 900 + '{}"']
+    pairs = ", ".join(f'"{i}"{" " * (i % 3)}:{chr(10) * (i % 2)}{chr(9)}{hard[5 if i % 400 == 7 else i % 5].format(i)}' for i in range(4000))
+    p = folder(spark, {"d.json": '{"first": "x", "target": {' + pairs + '}, "last": "y", "end": "z"}', "e.json": '{"target": {"e": "f"}}'})
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
         df = read_json_dictionary(spark, p, "k", "v", "target")
         assert df.rdd.getNumPartitions() > 5
-        assert {(r.k, r.v) for r in df.collect()} == {(str(i), f"v, {i}") for i in range(5000)}
-        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+        split, whole = both_readers(spark, p, "target")
+        assert split == whole and len(split) == 4001
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
