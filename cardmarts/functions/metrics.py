@@ -54,10 +54,17 @@ def rate_pct(part: str | Column, total: str | Column) -> Column:
 
 
 def money_avg(col: str | Column) -> Column:
-    """``round(avg(col), 2)`` half up over the exact amounts."""
+    """``round(avg(col), 2)`` half up over the exact amounts, however large they are."""
     m = as_money(col)
-    total, n = F.sum(m).cast("decimal(33,6)"), F.count(m).cast("decimal(20,0)")
-    return F.when(n > 0, half_up_div((total * 100).cast("decimal(35,6)"), n) / F.lit(100.0))
+    total, n = F.sum(m), F.count(m)
+    size, per = F.abs(total), F.greatest(n, F.lit(1)).cast("decimal(20,0)")
+    # the sum's whole part, what of it is left over by n, and its millionths: no step needs more than 38 digits
+    whole = F.floor(size)
+    left = (whole % per).cast("decimal(20,0)")
+    millionths = ((size - whole).cast("decimal(7,6)") * 1_000_000).cast("decimal(7,0)")
+    cents = half_up_div(left * 1_000_000 + millionths, per * 10_000)
+    each = ((whole - left) / per).cast("decimal(33,0)") * 100 + cents.cast("decimal(4,0)")
+    return F.when(n > 0, F.signum(total) * (each / F.lit(100).cast("decimal(3,0)")).cast("double"))
 
 
 # Tier names and the bound of the middle tier (percent).

@@ -26,6 +26,7 @@ from cardmarts.sinks.tables import (
     new_version,
     publish_table,
     read_table,
+    read_version,
     register_table,
 )
 from cardmarts.sources.config import active_rows
@@ -101,7 +102,7 @@ def ingest_entity(
 def _reader(spark: SparkSession, lake: Lake, layer: str, inputs: Mapping[str, Written] | None):
     def read(table: str) -> DataFrame:
         if inputs and table in inputs:
-            return spark.read.format(lake.fmt).load(inputs[table].path)
+            return read_version(spark, lake.table_root(layer, table), inputs[table].path, lake.fmt)
         return lake.read(spark, layer, table)
     return read
 

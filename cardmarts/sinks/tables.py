@@ -3,13 +3,13 @@
 Storage layout of one table::
 
     <table_root>/v=<version>/...      one complete copy per write
-    <table_root>/_current/n=<k>/      one text line: the path of the k-th live copy
+    <table_root>/_current/n=<k>/entry  one text line: the path of the k-th live copy
 
 A write goes to a fresh version folder and only then adds a pointer with the
-next number; the greatest one that is complete counts. Nothing is overwritten,
-so readers never see a half-written or half-deleted table, and a job that dies
-at any step leaves the live copy as it was. ``drop_old_versions`` removes what
-is no longer live.
+next number (``commits``: one writer gets a number, the other the next); the
+greatest one counts. Nothing is overwritten, so readers never see a half-written
+or half-deleted table, and a job that dies at any step leaves the live copy as
+it was. ``drop_old_versions`` removes what is no longer live.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ import uuid
 from dataclasses import dataclass
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_current"
+from cardmarts.sinks.commits import POINTER, ConcurrentWrite, delete, entries, record
+from cardmarts.sinks.compaction import MANIFEST, folder_files, has_manifest, live_files, packed, read_files
 
 
 @dataclass(frozen=True)
@@ -37,16 +37,18 @@ def write_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     mode: str = "overwrite",
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> int:
     """Write ``df`` and return the number of rows written, observed during the write.
 
-    The rows are rebalanced first, on the partition columns if there are any:
-    AQE then sizes the files (``advisoryPartitionSizeInBytes``), merging small
-    parts and splitting a partition value that holds too many rows. Every
-    write is thus compact; ``rebalance=False`` writes the parts as they come.
+    With partition columns every task would write a file for each value it
+    meets, so the rows are rebalanced on them first: AQE then sizes the files
+    (``advisoryPartitionSizeInBytes``), merging small parts and splitting a
+    value that holds too many rows. Other writes take the parts as they come,
+    without a shuffle: scan splits, or what AQE has merged after the last one.
+    ``rebalance`` says otherwise.
     """
-    out = df.hint("rebalance", *partition_by) if rebalance else df
+    out = df.hint("rebalance", *partition_by) if (bool(partition_by) if rebalance is None else rebalance) else df
     # observed in the write (result) stage, whose task updates count once even
     # when a lost executor makes Spark rerun earlier stages
     obs = Observation()
@@ -64,27 +66,19 @@ def new_version(label: str = "") -> str:
 
 def current_path(spark: SparkSession, table_root: str) -> str:
     """Path of the live copy of a table."""
-    live = _pointers(spark, table_root)
-    if not live:
-        raise FileNotFoundError(f"table not written yet: {table_root}")
-    return live[-1][1]
+    return _live(spark, table_root)[1]
 
 
-def _pointers(spark: SparkSession, table_root: str) -> list[tuple[int, str]]:
-    """(number, path) of every recorded copy, oldest first (one line per kept version)."""
-    try:
-        rows = spark.read.schema("value string, n long").text(f"{table_root.rstrip('/')}/{POINTER}").collect()
-    except AnalysisException:
-        return []
-    return sorted((r["n"], r["value"]) for r in rows)
+def _live(spark: SparkSession, table_root: str) -> tuple[int, str]:
+    known = entries(spark, table_root)
+    if not known:
+        raise FileNotFoundError(f"table not written yet: {table_root}")
+    return known[-1]
 
 
 def _set_current(spark: SparkSession, table_root: str, path: str) -> None:
-    """Record ``path`` as the next copy. Two writers that take the same number both stay; the greater path counts."""
-    live = _pointers(spark, table_root)
-    number = live[-1][0] + 1 if live else 1
-    pointer = spark.range(1, numPartitions=1).select(F.lit(path).alias("value"))
-    pointer.write.mode("append").text(f"{table_root.rstrip('/')}/{POINTER}/n={number}")
+    """Record ``path`` as the next copy."""
+    record(spark, table_root, path)
 
 
 def drop_old_versions(spark: SparkSession, table_root: str, keep: int = 2) -> list[str]:
@@ -95,12 +89,16 @@ def drop_old_versions(spark: SparkSession, table_root: str, keep: int = 2) -> li
     """
     if keep < 1:
         raise ValueError("at least the live copy is kept")
-    old = _pointers(spark, table_root)[:-keep]
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    known = entries(spark, table_root)
+    used = {path for _, path in known[-keep:]}
+    for path in list(used):
+        if has_manifest(spark, path):  # a row for each version folder that its files lie in
+            folders = live_files(spark, path).select(F.regexp_extract("path", r"/v=([^/]+)/", 1).alias("v")).distinct().collect()
+            used |= {f"{table_root.rstrip('/')}/v={r['v']}" for r in folders}
+    old = [(n, path) for n, path in known[:-keep] if path not in used]  # a folder that is still read keeps its pointer
     for number, path in old:
-        for gone in (f"{table_root.rstrip('/')}/{POINTER}/n={number}", path):  # the pointer first
-            p = jvm.org.apache.hadoop.fs.Path(gone)
-            p.getFileSystem(conf).delete(p, True)
+        delete(spark, f"{table_root.rstrip('/')}/{POINTER}/n={number}")  # the pointer first
+        delete(spark, path)
     return [path for _, path in old]
 
 
@@ -124,21 +122,52 @@ def publish_table(
 
 def read_table(spark: SparkSession, table_root: str, fmt: str = "parquet") -> DataFrame:
     """The live copy of a table (partition columns are discovered from folder names)."""
-    return spark.read.format(fmt).load(current_path(spark, table_root))
+    return read_version(spark, table_root, current_path(spark, table_root), fmt)
+
+
+def read_version(spark: SparkSession, table_root: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """One copy of a table; that of an incremental compaction through its list of files, which Spark's scan lists too."""
+    if has_manifest(spark, path):
+        return read_files(spark, table_root, [r["path"] for r in live_files(spark, path, fmt).select("path").collect()], fmt)
+    return spark.read.format(fmt).load(path)
 
 
 def compact_table(
-    spark: SparkSession, table_root: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+    spark: SparkSession, table_root: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
+    target_bytes: int = 128 << 20, whole: bool = False, retries: int = 3,
 ) -> Written:
-    """Rewrite the live copy into fewer, larger files as a new version.
-
-    The rebalance lets AQE size the output partitions
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``); the old copy is
-    read while the new one is written elsewhere, so nothing is lost if the
-    job fails.
+    """Rewrite the live copy's small files as a new version; the live copy itself if there are none to join.
+
+    Only files in bins of two or more are read (``compaction``); all others stay
+    where they are and are named in the new version's manifest. The copy it was
+    made from must still be the newest when it is recorded: else another job has
+    published rows meanwhile, and the compaction starts anew from those, up to
+    ``retries`` times. ``whole`` rewrites all files into one folder (partitioned
+    by ``partition_by``), which a catalog name can point to.
     """
-    df = read_table(spark, table_root, fmt)
-    return publish_table(spark, df, table_root, new_version("compact"), partition_by, fmt)
+    for left in range(retries, -1, -1):
+        number, path = _live(spark, table_root)
+        new = f"{table_root.rstrip('/')}/v={new_version('compact')}"
+        if whole:
+            rows = write_table(read_version(spark, table_root, path, fmt), new, partition_by, fmt, rebalance=True)
+        else:
+            files = live_files(spark, path, fmt)
+            chosen = packed(files, target_bytes)
+            listed = chosen.select("path", "folder").collect()  # names of small files, as a scan of them lists
+            if not listed:
+                return Written(path, read_version(spark, table_root, path, fmt).count())
+            columns = [x.split("=")[0] for x in listed[0]["folder"].split("/") if x]
+            write_table(read_files(spark, table_root, [r["path"] for r in listed], fmt), new, columns, fmt, rebalance=True)
+            own = folder_files(spark, new, fmt)
+            files.join(chosen.select("path"), "path", "left_anti").unionByName(own).write.parquet(f"{new}/{MANIFEST}")
+            rows = read_version(spark, table_root, new, fmt).count()  # from the files' footers
+        try:
+            record(spark, table_root, new, after=number)
+            return Written(new, rows)
+        except ConcurrentWrite:
+            delete(spark, new)
+            if not left:
+                raise
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -151,8 +180,11 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
 
     A name that exists is moved to the new path, so readers always find it,
     unless its columns changed. A partitioned table only shows the partitions
-    the catalog knows, so its folders are registered too.
+    the catalog knows, so its folders are registered too. A copy made by an
+    incremental compaction lies in several folders and has no one path.
     """
+    if has_manifest(spark, path):
+        raise ValueError(f"{path} is a list of files: register a whole copy (compact_table(..., whole=True))")
     kind = spark.read.format(fmt).load(path).schema.simpleString()
     if spark.catalog.tableExists(name):
         if spark.table(name).schema.simpleString() == kind:

@@ -335,7 +335,7 @@ def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, first = _published_fact(spark, sf_dir)
     name = f"{_schema(spark)}.fact_transactions"
     register_table(spark, name, first.path)
-    second = compact_table(spark, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"])
+    second = compact_table(spark, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"], whole=True)
     register_table(spark, name, second.path)
     return checked(spark.table(name))
 
