@@ -39,7 +39,8 @@ from cardmarts.llm.common import col, fresh, materialize, table
 
 WORD = r"\p{L}[\p{L}\p{M}]*"
 UNKNOWN = "und"
-MEMO_WORDS = 500_000  # scores kept per task before the memo is emptied
+MEMO_WORDS = 250_000  # scores kept per task before the memo is emptied
+_BLOCK = 4_096  # words summed at a time
 
 
 @dataclass
@@ -48,7 +49,8 @@ class LanguageModel:
     words: dict[str, np.ndarray]
     grams: list[dict[str, np.ndarray]]  # by length, 1 first
     backoff: float = 0.4
-    _memo: dict[str, np.ndarray] = field(default_factory=dict)
+    _memo: dict[str, int] = field(default_factory=dict)  # rows of _scores
+    _scores: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
     def word_score(self, word: str) -> np.ndarray:
         known = self.words.get(word)
@@ -73,19 +75,19 @@ class LanguageModel:
         if not words or not self.langs:
             return UNKNOWN, 0.0
         memo, total = self._memo, np.zeros(len(self.langs))
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        get, rows = memo.get, []
-        for w in words:
-            s = get(w)
-            if s is None:
-                s = memo[w] = self.word_score(w)
-            rows.append(s)
-            if len(rows) == 4096:
-                total += np.sum(rows, axis=0)
-                rows.clear()
-        if rows:
-            total += np.sum(rows, axis=0)
+        for a in range(0, len(words), _BLOCK):
+            block = words[a:a + _BLOCK]
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            for w in block:
+                if w not in memo:
+                    if len(memo) >= len(self._scores):
+                        grown = np.zeros((max(1024, 2 * len(memo)), len(self.langs)))
+                        grown[: len(memo)] = self._scores[: len(memo)]
+                        self._scores = grown
+                    self._scores[len(memo)] = self.word_score(w)
+                    memo[w] = len(memo)
+            total += self._scores[[memo[w] for w in block]].sum(axis=0)
         z = total / np.sqrt(len(words))
         best = int(np.argmax(total))
         return self.langs[best], float(1 / np.exp(z - z[best]).sum())
