@@ -83,7 +83,8 @@ class LanguageModel:
                 if w not in memo:
                     if len(memo) >= len(self._scores):
                         grown = np.zeros((max(1024, 2 * len(memo)), len(self.langs)))
-                        grown[: len(memo)] = self._scores[: len(memo)]
+                        if memo:
+                            grown[: len(memo)] = self._scores[: len(memo)]
                         self._scores = grown
                     self._scores[len(memo)] = self.word_score(w)
                     memo[w] = len(memo)
