@@ -11,13 +11,20 @@ caller may therefore name such ids (``hot_ids``, see ``hot_label_ids``). Their
 label rows are then spread over ``salts`` join keys and their transaction rows
 repeated once per salt; every other row keeps salt 0. Nothing is broadcast and
 every key is assigned before the spread. Naming no id plans the plain join.
+
+The ids are named without a pass of their own: ``frequent_ids`` is an aggregate
+that is observed while the labels are written to bronze, a mergeable summary of
+frequent items. Each task keeps at most ``TRACKED`` ids with counters; a count
+is never too low by more than 3.5 / 32,768 of all rows, so every id with more
+than one row in ``MAX_HOT_IDS`` is among them, with a count that is never below
+the true one. ``hot_label_ids`` finds them in a written table that has no summary.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardmarts.functions.cleaning import label_to_boolean
@@ -25,7 +32,8 @@ from cardmarts.operators.dedup import keep_latest
 
 KEY = "transaction_id"
 HOT_KEY_ROWS = 1_000_000
-MAX_HOT_IDS = 10_000
+MAX_HOT_IDS = 5_000
+TRACKED = 20_000  # ids with a counter in a task's summary
 LABEL_COLUMNS = ("is_fraud", "_bronze_batch_id_fraud_labels")
 _SALT, _HIT = "__salt", "__hit"
 
@@ -39,6 +47,16 @@ def fraud_label_columns(labels: DataFrame) -> DataFrame:
     ).filter(F.col(KEY).isNotNull())
 
 
+def frequent_ids() -> Column:
+    """The summary of frequent ids, as an aggregate over bronze labels."""
+    return F.expr(f"approx_top_k({KEY}, {MAX_HOT_IDS}, {TRACKED})")
+
+
+def hot_from_summary(summary: Sequence, rows: int, hot_key_rows: int = HOT_KEY_ROWS) -> list[str]:
+    """Every id with more than ``hot_key_rows`` rows, and more than one row in ``MAX_HOT_IDS``, of the summary's (item, count)."""
+    return sorted(item for item, count in summary if item is not None and count > hot_key_rows and count > rows / MAX_HOT_IDS)
+
+
 def hot_label_ids(labels: DataFrame, hot_key_rows: int = HOT_KEY_ROWS, seed: int = 1) -> list[str]:
     """Ids with more than ``hot_key_rows`` label rows; runs jobs, so it belongs to a runner.
 

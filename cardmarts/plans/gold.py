@@ -76,20 +76,17 @@ def build_customer_risk_profile(
 
     Both right sides are aggregated on customer_id, so they arrive hash
     partitioned on the join key and the second join reuses the first one's
-    partitioning. A customer with no transactions has a null rate, hence High.
-    Customers without an id match nothing; each gets a join key of its own, so
-    that they do not all meet in one task.
+    partitioning; inputs bucketed on customer_id (``save_bucketed``) are not
+    shuffled at all. A customer with no transactions has a null rate, hence High.
+    Customers without an id match nothing and go around the joins, so they do
+    not all meet in one task.
     """
-    txn = fraud_totals(fact, ["customer_id"], amount_name="total_spend", with_fraud_amount=False)
-    key = "__customer_key"
-    df = (
-        dim_customer.select("customer_sk", "customer_id", "current_age", "credit_score", "yearly_income")
-        .withColumn(key, F.coalesce("customer_id", F.concat(F.lit("\0"), F.col("customer_sk").cast("string"))))
-        .join(txn.withColumnRenamed("customer_id", key), on=key, how="left")
-        .join(cards_per_customer(dim_card).withColumnRenamed("customer_id", key), on=key, how="left")
-        .drop(key)
-        .withColumn("risk_tier", risk_tier("fraud_rate_pct"))
-    )
+    txn = fraud_totals(fact.filter("customer_id IS NOT NULL"), ["customer_id"], amount_name="total_spend", with_fraud_amount=False)
+    cards = cards_per_customer(dim_card.filter("customer_id IS NOT NULL"))
+    every = dim_customer.select("customer_sk", "customer_id", "current_age", "credit_score", "yearly_income")
+    known = every.filter("customer_id IS NOT NULL").join(txn, "customer_id", "left").join(cards, "customer_id", "left")
+    nameless = every.filter("customer_id IS NULL")
+    df = known.unionByName(nameless, allowMissingColumns=True).withColumn("risk_tier", risk_tier("fraud_rate_pct"))
     # the join column comes first, as before
     df = df.select("customer_id", *[c for c in df.columns if c != "customer_id"])
     return add_layer_audit(df, load_date, table_name, LAYER)

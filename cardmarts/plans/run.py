@@ -2,19 +2,23 @@
 
 Each table is one Spark job that reads the previous layer's *written* tables,
 so lineage is cut at every layer and a lost executor costs at most the
-current table's stages. Tables are built one after another; Spark runs each
-one in parallel across the cluster.
+current table's stages. A run follows the tables' dependencies: a table is
+built as soon as its inputs are written, up to ``workers`` tables at a time,
+each in a scheduler pool of its own (with ``spark.scheduler.mode=FAIR`` they share
+the executors). A table that fails stops only those that need it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from cardmarts.operators.labels import hot_label_ids
+from cardmarts.operators.labels import frequent_ids, hot_from_summary, hot_label_ids
 from cardmarts.plans.gold import GOLD_TABLES
 from cardmarts.plans.silver import PARTITION_COLUMNS, SILVER_TABLES, with_month_partition
 from cardmarts.schemas import ENTITIES
@@ -23,8 +27,10 @@ from cardmarts.sinks.tables import (
     Written,
     create_catalog_views,
     create_schema,
+    current_path,
     new_version,
     publish_table,
+    read_stats,
     read_table,
     read_version,
     register_table,
@@ -94,7 +100,9 @@ def ingest_entity(
 
     def work() -> Written:
         df = read_landing(spark, landing_root, entity, ingestion_date, source_format, file_glob=file_glob, folder=folder)
-        return publish_table(spark, df, root, version=_version(ingestion_date, run_id), fmt=lake.fmt)
+        # ids with very many labels are found in the same pass; the label join spreads them
+        measures = {"frequent_ids": frequent_ids()} if entity == "fraud_labels" else None
+        return publish_table(spark, df, root, version=_version(ingestion_date, run_id), fmt=lake.fmt, measures=measures)
 
     return _logged(spark, lake, run_id, "bronze", entity, work, log)
 
@@ -107,6 +115,13 @@ def _reader(spark: SparkSession, lake: Lake, layer: str, inputs: Mapping[str, Wr
     return read
 
 
+def _hot_ids(spark: SparkSession, lake: Lake, labels: DataFrame, inputs: Mapping[str, Written] | None) -> list[str]:
+    """Ids with very many labels: from the summary kept with the bronze version, else by a look at the labels."""
+    written = (inputs or {}).get("fraud_labels")
+    stats = read_stats(spark, written.path if written else current_path(spark, lake.table_root("bronze", "fraud_labels")))
+    return hot_from_summary(stats["frequent_ids"], stats["rows"]) if stats else hot_label_ids(labels)
+
+
 def build_silver_table(
     spark: SparkSession, lake: Lake, table: str, load_date: str, run_id: str | None = None,
     log: bool = True, inputs: Mapping[str, Written] | None = None,
@@ -125,8 +140,7 @@ def build_silver_table(
 
     def work() -> Written:
         frames = [read(i) for i in sources]
-        # the one step that looks at the data before it plans: ids with very many labels
-        more = {"hot_ids": hot_label_ids(frames[1])} if table == "fact_transactions" else {}
+        more = {"hot_ids": _hot_ids(spark, lake, frames[1], inputs)} if table == "fact_transactions" else {}
         df = builder(*frames, load_date, **more)
         if parts:
             df = with_month_partition(df)
@@ -194,22 +208,69 @@ def run_layer(
     return out
 
 
+class RunFailed(RuntimeError):
+    """Some tables were not built. ``written`` has those that were, ``errors`` the failures and ``skipped`` what needed them."""
+
+    def __init__(self, written: dict[str, dict[str, Written]], errors: dict[str, Exception], skipped: list[str]):
+        more = f"; not built for want of them: {', '.join(skipped)}" if skipped else ""
+        super().__init__("; ".join(f"{name}: {e}" for name, e in errors.items()) + more)
+        self.written, self.errors, self.skipped = written, errors, skipped
+
+
 def run_all(
     spark: SparkSession, lake: Lake, landing_root: str, run_date: str, run_id: str | None = None,
-    log: bool = True, file_glob: str = "*.json", config_root: str | None = None,
+    log: bool = True, file_glob: str = "*.json", config_root: str | None = None, workers: int = 4,
 ) -> dict[str, dict[str, Written]]:
-    """Bronze, then silver, then gold for one date; a failing table stops the run.
+    """Bronze, silver and gold for one date, in the order of the tables' dependencies.
 
-    Each layer is built from exactly the versions the previous layer just wrote,
-    so the run reads one consistent snapshot even if other jobs publish meanwhile.
+    Each table is built from exactly the versions that this run has written, so
+    the run reads one consistent snapshot even if other jobs publish meanwhile;
+    inputs that are not active are read at their live copy. After a failure the
+    tables that need the failed one are left out, all others are still built,
+    and ``RunFailed`` tells what happened.
     """
     run_id = run_id or new_run_id()
-    out: dict[str, dict[str, Written]] = {}
-    prev: dict[str, Written] | None = None
-    for layer in LAYERS:
-        prev = out[layer] = run_layer(spark, lake, layer, run_date, landing_root, run_id=run_id,
-                                      log=log, file_glob=file_glob, inputs=prev, config_root=config_root)
-    return out
+    active = {layer: [row[0] for row in active_rows(spark, layer, config_root)] for layer in LAYERS}
+    needs = {"bronze": {}, "silver": SILVER_TABLES, "gold": GOLD_TABLES}
+    waiting: dict[tuple[str, str], set[tuple[str, str]]] = {}
+    for at, layer in enumerate(LAYERS):
+        for name in active[layer]:
+            sources = needs[layer][name][1] if name in needs[layer] else ()
+            waiting[layer, name] = {(LAYERS[at - 1], x) for x in sources if x in active[LAYERS[at - 1]]}
+    out: dict[str, dict[str, Written]] = {layer: {} for layer in LAYERS}
+    errors: dict[str, Exception] = {}
+    skipped: list[str] = []
+
+    def build(layer: str, name: str) -> Written:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{layer}.{name}")
+        before = dict(out[LAYERS[LAYERS.index(layer) - 1]]) if layer != "bronze" else None
+        return run_layer(spark, lake, layer, run_date, landing_root, [name], run_id, log, file_glob, before, config_root)[name]
+
+    running: dict[Future, tuple[str, str]] = {}
+    with ThreadPoolExecutor(workers) as pool:
+        while waiting or running:
+            for node in [n for n, left in waiting.items() if not left]:
+                del waiting[node]
+                running[pool.submit(inheritable_thread_target(spark)(build), *node)] = node
+            done, _ = wait(running, return_when=FIRST_COMPLETED)
+            for future in done:
+                node = running.pop(future)
+                if future.exception() is None:
+                    out[node[0]][node[1]] = future.result()
+                    for left in waiting.values():
+                        left.discard(node)
+                    continue
+                errors[".".join(node)] = future.exception()
+                lost = {node}
+                while gone := [n for n, left in waiting.items() if left & lost]:
+                    lost |= set(gone)
+                    skipped += [".".join(n) for n in gone]
+                    for n in gone:
+                        del waiting[n]
+    written = {layer: {name: out[layer][name] for name in active[layer] if name in out[layer]} for layer in LAYERS}
+    if errors:
+        raise RunFailed(written, errors, skipped) from next(iter(errors.values()))
+    return written
 
 
 def register_layers(spark: SparkSession, lake: Lake, written: dict[str, dict[str, Written]]) -> list[str]:

@@ -11,14 +11,16 @@ from cardmarts.sinks.tables import (
     drop_old_versions,
     layer_inventory,
     publish_table,
+    read_stats,
     read_table,
     register_table,
+    save_bucketed,
     top_n,
     write_table,
 )
 
 __all__ = [
     "Written", "compact_table", "create_catalog_views", "create_schema", "create_serving_views", "current_path", "drop_old_versions",
-    "layer_inventory", "log_step", "new_run_id", "publish_table", "read_log", "read_table",
-    "register_table", "run_context", "top_n", "write_table",
+    "layer_inventory", "log_step", "new_run_id", "publish_table", "read_log", "read_stats", "read_table",
+    "register_table", "run_context", "save_bucketed", "top_n", "write_table",
 ]

@@ -75,7 +75,16 @@ def log_step(
         else F.lit(row[f.name]).cast(f.dataType).alias(f.name)
         for f in RUN_LOG.fields
     ]
-    spark.range(1, numPartitions=1).select(*cols).write.mode("append").parquet(log_path)
+    # written aside and put by a rename: appends of concurrent jobs would share, and clean up, one temporary folder
+    top = log_path.rstrip("/")
+    aside = f"{top}/_unfinished/{uuid.uuid4().hex}"
+    spark.range(1, numPartitions=1).select(*cols).write.parquet(aside)
+    folder, fs = file_system(spark, aside)
+    (part,) = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
+    target, _ = file_system(spark, f"{top}/{part.getName()}")
+    if not fs.rename(part, target):
+        raise OSError(f"the log row could not be put: {target}")
+    fs.delete(folder, True)
 
 
 SEGMENTS = "_segments"

@@ -14,14 +14,16 @@ it was. ``drop_old_versions`` removes what is no longer live.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cardmarts.sinks.commits import POINTER, ConcurrentWrite, delete, entries, record
+from cardmarts.sinks.commits import POINTER, ConcurrentWrite, delete, entries, put_if_absent, record
 from cardmarts.sinks.compaction import MANIFEST, folder_files, has_manifest, live_files, packed, read_files
 
 
@@ -31,6 +33,9 @@ class Written:
     rows: int
 
 
+STATS = "_stats"
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -38,6 +43,9 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     rebalance: bool | None = None,
+    cluster_by: Sequence[str] = (),
+    measures: Mapping[str, Column] | None = None,
+    found: dict | None = None,
 ) -> int:
     """Write ``df`` and return the number of rows written, observed during the write.
 
@@ -47,17 +55,29 @@ def write_table(
     value that holds too many rows. Other writes take the parts as they come,
     without a shuffle: scan splits, or what AQE has merged after the last one.
     ``rebalance`` says otherwise.
+
+    ``cluster_by`` deals the rows out by ranges of the partition columns and
+    these, and sorts them: each file (and each of its pages) then covers a
+    narrow range, and a filter on the first of these columns skips the others.
+    A partition value with many rows is cut by them. ``measures`` are
+    aggregates taken in the same pass; their values go to ``found``.
     """
+    if cluster_by:
+        keys = [*partition_by, *cluster_by]
+        df, rebalance = df.repartitionByRange(*keys).sortWithinPartitions(*keys), False
     out = df.hint("rebalance", *partition_by) if (bool(partition_by) if rebalance is None else rebalance) else df
     # observed in the write (result) stage, whose task updates count once even
     # when a lost executor makes Spark rerun earlier stages
     obs = Observation()
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (measures or {}).items()])
     writer = out.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return int(obs.get["rows"])
+    got = dict(obs.get)
+    if found is not None:
+        found |= {k: got[k] for k in measures or {}}
+    return int(got["rows"])
 
 
 def new_version(label: str = "") -> str:
@@ -110,16 +130,32 @@ def publish_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     check: Callable[[], None] | None = None,
+    cluster_by: Sequence[str] = (),
+    measures: Mapping[str, Column] | None = None,
 ) -> Written:
-    """Write a new version of a table, then make it the live copy unless ``check`` raises."""
-    path = f"{table_root.rstrip('/')}/v={version or new_version()}"
-    rows = write_table(df, path, partition_by=partition_by, fmt=fmt)
+    """Write a new version of a table, then make it the live copy unless ``check`` raises.
+
+    ``measures`` are aggregates of its rows, taken in the same pass and kept beside it (``read_stats``).
+    """
+    path, found = f"{table_root.rstrip('/')}/v={version or new_version()}", {}
+    rows = write_table(df, path, partition_by=partition_by, fmt=fmt, cluster_by=cluster_by, measures=measures, found=found)
     if check:
         check()
+    if measures:
+        put_if_absent(spark, f"{path}/{STATS}/entry", json.dumps({"rows": rows, **found}), f"{path}/{STATS}")
     _set_current(spark, table_root, path)
     return Written(path, rows)
 
 
+def read_stats(spark: SparkSession, version_path: str) -> dict | None:
+    """``rows`` and the measures of a version; None if it was written without."""
+    try:
+        lines = spark.read.text(f"{version_path}/{STATS}/entry", wholetext=True).collect()
+    except AnalysisException:
+        return None
+    return json.loads(lines[0][0])
+
+
 def read_table(spark: SparkSession, table_root: str, fmt: str = "parquet") -> DataFrame:
     """The live copy of a table (partition columns are discovered from folder names)."""
     return read_version(spark, table_root, current_path(spark, table_root), fmt)
@@ -201,6 +237,14 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> None:
+    """A catalog table at ``path`` whose rows lie in ``buckets`` hash buckets of ``key``, sorted in each.
+
+    Tables with the same number of buckets join, and each aggregates, on ``key`` without a shuffle.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def create_catalog_views(spark: SparkSession, tables: Mapping[str, str], schema: str = "gold") -> list[str]:
     """One persistent view ``<schema>.vw_<name>`` per registered table (name -> catalog table)."""
     names = []
