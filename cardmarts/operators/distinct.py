@@ -16,20 +16,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardmarts.session import shared_dir
+
 NUMBER = "number"
 
 
 def number_values(values: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
     """(column, number): ``known`` numbers as they are, and the next ones for new values, in their order.
 
-    New values are sorted and counted per range, so no task sees them all.
+    New values are sorted and counted per range, so no task sees them all. Keep the
+    result as a table: it is the dictionary that later months are numbered with.
     """
     new = values.select(column).filter(F.col(column).isNotNull()).distinct()
     if known is not None:
         new = new.join(known, column, "left_anti")
     start = known.agg(F.coalesce(F.max(NUMBER) + 1, F.lit(0)).alias("start")) if known is not None else None
     placed = new.sort(column).withColumn("range", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
-    placed = placed.withColumn("at", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    shared_dir(values.sparkSession)
+    # written once, as ranges and places must not be made anew for the counts below
+    placed = placed.withColumn("at", F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).checkpoint()
     sizes = placed.groupBy("range").agg(F.count("*").alias("n"))  # a row per range
     before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.withColumn("first", F.coalesce(before, F.lit(0))).select("range", "first")
