@@ -47,9 +47,9 @@ def fraud_label_columns(labels: DataFrame) -> DataFrame:
     ).filter(F.col(KEY).isNotNull())
 
 
-def frequent_ids() -> Column:
-    """The summary of frequent ids, as an aggregate over bronze labels."""
-    return F.expr(f"approx_top_k({KEY}, {MAX_HOT_IDS}, {TRACKED})")
+def frequent_ids(column: str = KEY) -> Column:
+    """The summary of a column's frequent values, as an aggregate; exact while there are at most ``TRACKED`` values."""
+    return F.expr(f"approx_top_k({column}, {MAX_HOT_IDS}, {TRACKED})")
 
 
 def hot_from_summary(summary: Sequence, rows: int, hot_key_rows: int = HOT_KEY_ROWS) -> list[str]:

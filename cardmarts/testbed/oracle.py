@@ -385,5 +385,12 @@ def source_and_sink_sql() -> dict[str, str]:
   'build silver.dim_mcc' AS step_name, s.status, CASE s.status WHEN 'STARTED' THEN 0 ELSE n.c END
   AS row_count, 'silver_build' AS job_name, 'overwrite' AS load_type, NULL::varchar AS error_message
 FROM (VALUES ('STARTED'), ('SUCCESS')) s(status), (SELECT count(*) AS c FROM latest_mcc_codes) n"""
+    out["run_log_merged"] = out["run_log_append"]
+    out["fact_clustered_write"] = silver_sql("fact_transactions")
+    out["frequent_mcc_observed"] = _raw("raw_transactions") + """SELECT mcc, count(*) AS row_count FROM raw_transactions
+WHERE mcc IS NOT NULL GROUP BY mcc HAVING count(*) * 5000 > (SELECT count(*) FROM raw_transactions)"""
+    out["distinct_customers_merged"] = _with("fact_transactions") + (
+        "SELECT txn_year, count(DISTINCT customer_id) AS unique_customers FROM silver_fact_transactions WHERE customer_id IS NOT NULL GROUP BY txn_year")
+    out["risk_profile_bucketed"] = gold_sql("customer_risk_profile")
     out["pipeline_end_to_end"] = gold_sql("customer_risk_profile")
     return out

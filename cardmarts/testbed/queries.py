@@ -18,11 +18,13 @@ from cardmarts.functions import cleaning as C
 from cardmarts.functions.metrics import rate_pct, risk_tier
 from cardmarts.operators.aggregates import fraud_totals
 from cardmarts.operators.dedup import keep_latest
+from cardmarts.operators.distinct import count_merged, group_bitmaps, number_values
+from cardmarts.operators.labels import MAX_HOT_IDS, frequent_ids
 from cardmarts.plans import gold as G
 from cardmarts.plans import silver as S
 from cardmarts.plans.run import Lake, build_silver_table, run_all, run_layer
 from cardmarts.session import shared_dir
-from cardmarts.sinks.runlog import read_log
+from cardmarts.sinks.runlog import merge_log, read_log
 from cardmarts.sinks.tables import (
     Written,
     compact_table,
@@ -30,8 +32,10 @@ from cardmarts.sinks.tables import (
     create_schema,
     current_path,
     publish_table,
+    read_stats,
     read_table,
     register_table,
+    save_bucketed,
     top_n,
 )
 from cardmarts.sinks.tables import layer_inventory as inventory
@@ -365,6 +369,53 @@ def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         "error_message")
 
 
+def run_log_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log after its rows were merged into a segment."""
+    lake = _lake(spark)
+    root = _landing(spark, sf_dir, "mcc_codes")
+    run_layer(spark, lake, "bronze", RUN_DATE, landing_root=root, tables=["mcc_codes"], log=False, file_glob=JSON_FILE_GLOB)
+    build_silver_table(spark, lake, "dim_mcc", RUN_DATE)
+    merge_log(spark, lake.log_path, least=1, grace_s=0)
+    return read_log(spark, lake.log_path).select(
+        "pipeline_layer", "table_name", "step_name", "status", "row_count", "job_name", "load_type", "error_message")
+
+
+def fact_clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month-partitioned fact written in ranges of customer and merchant, and read back."""
+    root = _lake(spark).table_root("silver", "fact_transactions")
+    publish_table(spark, silver_tables(spark, sf_dir)["fact_transactions"], root, partition_by=S.PARTITION_COLUMNS["fact_transactions"],
+                  cluster_by=["customer_id", "merchant_id"])
+    return checked(read_table(spark, root))
+
+
+def frequent_mcc_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchant codes of more than one row in 5,000, from the summary observed while bronze transactions are written."""
+    root = _lake(spark).table_root("bronze", "transactions")
+    w = publish_table(spark, E.bronze(spark, sf_dir, "transactions"), root, measures={"mcc": frequent_ids("mcc")})
+    found = read_stats(spark, w.path)
+    rows = [(item, count) for item, count in found["mcc"] if item is not None and count * MAX_HOT_IDS > found["rows"]]
+    return spark.createDataFrame(rows, "mcc string, row_count long")
+
+
+def distinct_customers_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers per year, merged from the months' bitmaps over dense customer numbers."""
+    fact = silver_tables(spark, sf_dir)["fact_transactions"]
+    numbers = number_values(fact, "customer_id")
+    months = group_bitmaps(fact, ["txn_year", "txn_month"], "customer_id", numbers)
+    return count_merged(months, ["txn_year"], "unique_customers")
+
+
+def risk_profile_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk profile from silver tables bucketed on customer_id."""
+    silver, schema = silver_tables(spark, sf_dir), _schema(spark)
+    tables = {}
+    for name in G.GOLD_TABLES["customer_risk_profile"][1]:
+        path = shared_dir(spark, "cardmarts-testbed", f"{schema}-{name}")
+        save_bucketed(silver[name], f"{schema}.{name}", "customer_id", 8, path)
+        tables[name] = spark.table(f"{schema}.{name}")
+    return checked(G.build_customer_risk_profile(*tables.values(), RUN_DATE))
+
+
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from landing files: bronze, silver, gold; the risk profile read back."""
     lake = _lake(spark)
@@ -409,5 +460,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layer_inventory": layer_inventory,
     "serving_view_top_n": serving_view_top_n,
     "run_log_append": run_log_append,
+    "run_log_merged": run_log_merged,
+    "fact_clustered_write": fact_clustered_write,
+    "frequent_mcc_observed": frequent_mcc_observed,
+    "distinct_customers_merged": distinct_customers_merged,
+    "risk_profile_bucketed": risk_profile_bucketed,
     "pipeline_end_to_end": pipeline_end_to_end,
 }
