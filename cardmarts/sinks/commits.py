@@ -13,7 +13,6 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 POINTER = "_current"
@@ -65,10 +64,11 @@ def put_if_absent(spark: SparkSession, path: str, text: str, aside: str) -> bool
 
 def entries(spark: SparkSession, table_root: str) -> list[tuple[int, str]]:
     """(number, path) of every recorded copy, oldest first (one line per kept version)."""
-    try:
-        rows = spark.read.schema("value string, n long").text(f"{table_root.rstrip('/')}/{POINTER}").collect()
-    except AnalysisException:
+    top = f"{table_root.rstrip('/')}/{POINTER}"
+    p, fs = file_system(spark, top)
+    if not fs.exists(p):
         return []
+    rows = spark.read.schema("value string, n long").text(top).collect()
     return sorted((r["n"], r["value"]) for r in rows)
 
 
