@@ -21,8 +21,8 @@ half of them toxic where there are as many, weighted back to their shares;
 copies and near copies count once).
 Words and word starts that more toxic than other documents hold are the
 candidates (``max_terms``); two-word phrases around them that clean documents
-hold and toxic ones hardly do become exceptions, beside those given
-(``exceptions``). A lasso logistic regression over the normalised occurrences
+hold too, and that toxic ones hold no more often, become exceptions, beside
+those given (``exceptions``). A lasso logistic regression over the normalised occurrences
 then leaves the few entries that carry weight. The lexicon is bounded by these
 parameters and goes to every task.
 
@@ -258,7 +258,7 @@ def learn_lexicon(sample: DataFrame, exceptions: tuple[str, ...] = (), max_terms
     doubtful = {r["item"].strip() for r in top if r["item"].endswith(" ") and r["clean"] >= least_docs}
     if doubtful:
         safe = _by_label(sample, lambda folded: phrases(folded, doubtful)).withColumn("odds", odds).filter(
-            (F.col("clean") >= 3) & (F.col("odds") < -0.5))
+            (F.col("clean") >= 3) & (F.col("odds") < 0.5))
         given += [r["item"] for r in safe.orderBy(F.desc("clean"), "item").limit(max_phrases).collect()]  # max_phrases rows
     lexicon = Lexicon({r["item"]: 1.0 for r in top}, sorted(set(given)))
     place = {x: k for k, x in enumerate(lexicon.entries)}
