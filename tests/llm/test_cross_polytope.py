@@ -1,6 +1,8 @@
 import math
+from collections import defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cardmarts.llm import cross_polytope as X
@@ -91,3 +93,39 @@ def test_rotation_keeps_lengths_and_probes_start_at_home():
     assert np.allclose(np.linalg.norm(X.rotate(x, 3), axis=1), np.linalg.norm(x, axis=1))
     p = X.likeliest(x, 3, 2, 30)
     assert (p[:, :1] == X.likeliest(x, 3, 2, 1)).all() and all(len(set(r)) == 30 for r in p)
+
+
+@pytest.mark.parametrize("sf, hashes", [("sf0.01", 1), ("sf0.1", 1), ("sf0.1", 2)])
+def test_recall_on_the_given_vectors(spark, sf, hashes):
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r[0] for r in rows])
+    x = np.array([r[1] for r in rows], np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    got = defaultdict(list)
+    for r in X.nearest(df, F.col("id") % 50 == 0, hashes=hashes).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    hits = total = 0
+    for k in np.flatnonzero(ids % 50 == 0):
+        score = unit @ unit[k]
+        score[k] = -9
+        best = set(ids[np.argsort(-score, kind="stable")[:5]].tolist())
+        mine = got[int(ids[k])]
+        assert len(mine) == 5
+        for v, s in mine:
+            assert abs(s - score[np.flatnonzero(ids == v)[0]]) < 1e-12
+        hits, total = hits + len(best & {v for v, _ in mine}), total + 5
+    assert hits / total >= 0.9, hits / total
+
+
+def test_large_components_and_equal_scores(spark):
+    rows = [(0, [1e160, 0.0]), (1, [2e200, 1e190]), (2, [0.0, 5.0]), (3, [3.0, 3.0]), (4, [1e-200, 1e-200]), (5, [-1.0, 0.0])]
+    wide = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in X.nearest(wide, F.col("id") == 0).collect()}
+    assert [got[0, k][0] for k in range(1, 6)] == [1, 3, 4, 2, 5]
+    assert abs(got[0, 1][1] - 1) < 1e-9 and got[0, 2][1] == got[0, 3][1]
+
+
+def test_unmeasured_reach_must_be_given(spark):
+    with pytest.raises(ValueError):
+        X.nearest(frame(spark, vectors(5, 4)), F.col("id") == 0, hashes=3)
