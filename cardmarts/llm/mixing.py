@@ -249,11 +249,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # rows that agree in id, source and size are interchangeable: each takes its turn in the sum of their copies
     total = groups.select(F.col("id").alias(ident), F.col("source").alias(source), F.col("size").alias(size), "copies", "rows")
     total = materialize(total.filter("copies > 0"), "copies")
+    # two written tables: that of equal rows is mostly small or empty, and then the texts are not shuffled for it
+    once, many = materialize(total.filter("rows = 1"), "copies-once"), materialize(total.filter("rows > 1"), "copies-many")
     packed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_col).cast("long").alias(ident),
                          col(source_col).cast("string").alias(source), word_count(col(text_col)).alias(size))
-    met = packed.join(total, [packed[c].eqNullSafe(total[c]) for c in (ident, source, size)]).select("row", total[ident].alias(ident), total[source].alias(source), total[size].alias(size), "copies", "rows")
-    plain = met.filter("rows = 1").select("row", "copies")
-    return _repeat(plain.unionByName(_shared_copies(met.filter("rows > 1"), [ident, source, size])))
+
+    def met(side: DataFrame) -> DataFrame:
+        own = [packed[c].alias(c) for c in (ident, source, size)]
+        return packed.join(side, [packed[c].eqNullSafe(side[c]) for c in (ident, source, size)]).select("row", *own, "copies", "rows")
+
+    return _repeat(met(once).select("row", "copies").unionByName(_shared_copies(met(many), [ident, source, size])))
 
 
 def _shared_copies(met: DataFrame, keys: list[str]) -> DataFrame:
