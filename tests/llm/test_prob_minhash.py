@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from helpers import awkward, documents, empty
 
+from pyspark.sql import functions as F
+
 from cardmarts.llm import prob_minhash as M
 
 
@@ -150,3 +152,48 @@ def test_components(spark):
     for r in M.components(df).collect():
         got[bytes(r["root"])].add(bytes(r["node"]))
     assert sorted(map(len, got.values())) == [15, 60]
+
+
+def test_a_copy_is_compared_about_once(spark, monkeypatch):
+    """A large group of near copies shares its leaders over the buckets."""
+    rng = random.Random(12)
+    origin = words(rng, 200)
+    rows = list(enumerate([" ".join(edited(rng, origin, 1)) for _ in range(150)]))
+    made = []
+    verify = M._Verifier.verify
+
+    def counted(self, pairs, name):
+        got = verify(self, pairs, name)
+        made.append((name, got.count()))
+        return got
+
+    monkeypatch.setattr(M._Verifier, "verify", counted)
+    assert len(found(spark, rows)) == 1
+    assert sum(n for _, n in made) <= 2.5 * len(rows), made
+
+
+def test_prefixes_lose_no_pair_of_long_texts(spark):
+    rng = random.Random(13)
+    base = words(rng, 2_500)
+    texts = [" ".join(edited(rng, base, k * 12)) for k in range(0, 14, 2)] + [" ".join(words(rng, 2_500)) for _ in range(2)]
+    texts += [" ".join(base[:2_000] + words(rng, 500)) for _ in range(2)] + [" ".join(base[:400] * 3 + base[400:])]
+    rows = spark.createDataFrame([(bytearray([i]), t) for i, t in enumerate(texts)], "digest binary, text string")
+    vectors = M.shingle_vectors(rows).cache()
+    members = rows.select("digest", F.col("digest").alias("root"))
+    cut = [M.shingles([t])[1:] for t in texts]  # the exact measure, itself tested against the sum over pairs
+    like = {(a, b): M.probability_jaccard(*cut[a], *cut[b]) for a in range(len(texts)) for b in range(a + 1, len(texts))}
+    for threshold in (0.8, 0.6):
+        pairs = M.prefix_pairs(members, vectors, threshold, block=3).select("a", "b").distinct().collect()
+        got = {(r[0][0], r[1][0]) for r in pairs}
+        linked = {p for p, sim in like.items() if sim >= threshold}
+        assert linked and linked <= got
+    assert len(got) < len(texts) * (len(texts) - 1) / 2
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    rng = random.Random(14)
+    texts = [" ".join(words(rng, n)) for n in (900, 3, 0, 50)] + [None, "ΟΔΟΣ ΑΣ\u2003x\ny " * 40]
+    whole = M.shingles(texts)
+    for size in (1, 64, 1_000):
+        monkeypatch.setattr(M, "BYTES", size)
+        assert all((a == b).all() for a, b in zip(whole, M.shingles(texts), strict=True))

@@ -78,3 +78,34 @@ def test_ids_that_no_text_gives(parts):
     _, _, decoder, library = parts
     assert decoder.decode([0, 1, 2, 264]).strip() == library.decode([0, 1, 2, 264]).strip()
     assert "�" in decoder.decode([233, 243])
+
+
+def test_memory_does_not_grow_with_a_text(parts, monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(3)
+    peaks = []
+    for chars in (300_000, 1_500_000):
+        text = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(chars // 7))
+        encoder = S.Encoder(parts.p if hasattr(parts, "p") else S.load_pieces())
+        monkeypatch.setattr(S, "CHARS", 100_000)
+        tracemalloc.start()
+        flat, ends = encoder.encode([text])
+        peaks.append(tracemalloc.get_traced_memory()[1] - flat.nbytes * 2)
+        tracemalloc.stop()
+        assert ends.tolist() == [len(flat)] and S.Decoder(encoder.p).decode(flat) == text
+    assert peaks[1] < 2 * peaks[0], peaks
+
+
+def test_parts_give_the_ids_of_the_whole(monkeypatch):
+    rng = random.Random(4)
+    encoder = S.Encoder(S.load_pieces())
+    texts = ["".join(rng.choice(["a", "the", " ", "  ", "é", "漢", "\n", "▁", "x" * 9]) for _ in range(200)) for _ in range(20)] + ["", None, " "]
+    whole = encoder.encode(texts)
+    for size in (1, 17, 300):
+        monkeypatch.setattr(S, "text_groups", lambda t, size=size, groups=S_GROUPS: groups(t, size))
+        again = S.Encoder(encoder.p).encode(texts)
+        assert (whole[0] == again[0]).all() and (whole[1] == again[1]).all()
+
+
+S_GROUPS = S.text_groups
