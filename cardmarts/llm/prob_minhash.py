@@ -30,9 +30,10 @@ not in v) bound the similarity once more. All bounds are exact, so no link found
 by the bands is lost. Every link is verified exactly, and classes are the
 connected components of the links.
 
-The leader of a bucket is its member with the smallest hash, the same for
-most buckets of a group of copies, so a copy is compared about once. A leader
-of many copies is spread over tasks in the comparison.
+The leader of a bucket is its member with the smallest hash, so the buckets of
+a group of copies share few leaders and a copy is compared some five times,
+not once for each of its 32 buckets. A leader of many copies is spread over
+tasks in the comparison.
 
 The texts are read twice: once to sign, once to get the shingles of those
 documents that have a candidate; a Bloom filter bounded by ``max_bits`` keeps

@@ -154,8 +154,8 @@ def test_components(spark):
     assert sorted(map(len, got.values())) == [15, 60]
 
 
-def test_a_copy_is_compared_about_once(spark, monkeypatch):
-    """A large group of near copies shares its leaders over the buckets."""
+def test_a_copy_is_compared_a_few_times(spark, monkeypatch):
+    """A large group of near copies shares its leaders over the buckets: some five leaders for 32 buckets."""
     rng = random.Random(12)
     origin = words(rng, 200)
     rows = list(enumerate([" ".join(edited(rng, origin, 1)) for _ in range(150)]))
@@ -169,7 +169,7 @@ def test_a_copy_is_compared_about_once(spark, monkeypatch):
 
     monkeypatch.setattr(M._Verifier, "verify", counted)
     assert len(found(spark, rows)) == 1
-    assert sum(n for _, n in made) <= 2.5 * len(rows), made
+    assert sum(n for _, n in made) <= 6 * len(rows), made
 
 
 def test_prefixes_lose_no_pair_of_long_texts(spark):
