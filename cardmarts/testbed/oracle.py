@@ -391,6 +391,6 @@ FROM (VALUES ('STARTED'), ('SUCCESS')) s(status), (SELECT count(*) AS c FROM lat
 WHERE mcc IS NOT NULL GROUP BY mcc HAVING count(*) * 5000 > (SELECT count(*) FROM raw_transactions)"""
     out["distinct_customers_merged"] = _with("fact_transactions") + (
         "SELECT txn_year, count(DISTINCT customer_id) AS unique_customers FROM silver_fact_transactions WHERE customer_id IS NOT NULL GROUP BY txn_year")
-    out["risk_profile_bucketed"] = gold_sql("customer_risk_profile")
+    out["bucketed_risk_profile"] = gold_sql("customer_risk_profile")
     out["pipeline_end_to_end"] = gold_sql("customer_risk_profile")
     return out

@@ -405,7 +405,7 @@ def distinct_customers_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_merged(months, ["txn_year"], "unique_customers")
 
 
-def risk_profile_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bucketed_risk_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The risk profile from silver tables bucketed on customer_id."""
     silver, schema = silver_tables(spark, sf_dir), _schema(spark)
     tables = {}
@@ -464,6 +464,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_clustered_write": fact_clustered_write,
     "frequent_mcc_observed": frequent_mcc_observed,
     "distinct_customers_merged": distinct_customers_merged,
-    "risk_profile_bucketed": risk_profile_bucketed,
+    "bucketed_risk_profile": bucketed_risk_profile,
     "pipeline_end_to_end": pipeline_end_to_end,
 }
