@@ -42,6 +42,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_warc_index": warc_index.OP1_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op11_divergence_audit": divergence.OP11_SQL,
-    "op12_toxicity": toxicity.op12_toxicity,
     "op13_filter_interaction": filter_audit.OP13_SQL,
 }
