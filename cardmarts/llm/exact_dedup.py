@@ -15,7 +15,8 @@ stays exact.
 Defined results: a null text counts as empty. Of equal texts the row with the
 largest id stays; null ids are smallest. Rows that also share that id are
 equal copies: exactly one stays. Other columns, whatever their names, are
-carried along untouched; an empty table gives an empty result.
+carried along untouched; an empty table gives an empty result. Whole texts are
+hashed, however long.
 """
 
 from __future__ import annotations

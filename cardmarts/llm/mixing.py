@@ -31,7 +31,8 @@ One row per source reaches the driver to settle the targets.
 
 Defined results: a null text has no words; a null source is a source of its
 own, last in order. A document without words takes 0. Repeated rows share
-the copies of their sum evenly. An empty table gives an empty result. No document is
+the copies of their sum evenly. A very long text is one document like any other; other columns, whatever
+their names, are carried along. An empty table gives an empty result. No document is
 taken more than ``most`` (3) times.
 """
 

@@ -12,7 +12,8 @@ Defined results: a null text counts as empty and gets a score like any other.
 Rows with a null label, and labels without a document, are not learned from.
 A document with several labels is learned from once for each. If the labels
 are all alike (or there are none) the score is their smoothed mean. Repeated
-rows are each scored; an empty table gives an empty result.
+rows are each scored; an empty table gives an empty result. Ties among rules of
+equal worth are settled by their text; other columns are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ domain the last two: no public suffix list is read.
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule, and gets the verdict of a host without outcomes. A null
 outcome is no outcome. Repeated rows count each time. Empty tables give an
-empty result.
+empty result. Very long urls are read whole; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations

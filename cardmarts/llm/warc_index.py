@@ -50,7 +50,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmarts.llm.common import col, materialize, scratch, table
+from cardmarts.llm.common import byte_slices, col, materialize, scratch, table
 from cardmarts.llm.exact_dedup import probe, repeat_filter
 from cardmarts.llm.url_reputation import url_host
 
@@ -143,7 +143,7 @@ def write_archives(captures: DataFrame, folder: str, date: str = "2024-01-01T00:
         try:
             for batch in batches:
                 rows = []
-                for r in batch.to_pylist():
+                for r in (x for part in byte_slices(batch, "payload") for x in part.to_pylist()):
                     if out is None or at >= FILE_BYTES:
                         if out is not None:
                             out.close()

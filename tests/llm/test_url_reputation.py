@@ -59,3 +59,11 @@ def test_empty_and_repeated(spark):
     none = pages.limit(0).select("url", F.lit(True).alias("bad"))
     assert U.judge_urls(pages.limit(0), none).count() == 0
     assert U.judge_urls(pages.union(pages), none).count() == 2 * len(URLS)
+
+
+def test_very_long_urls_and_clashing_columns(spark):
+    long = "http://" + "a" * 200_000 + ".example.com/de/" + "x/" * 200_000 + "?" + "q" * 100_000
+    pages = frame(spark, [long, long])
+    none = pages.limit(0).select("url", F.lit(True).alias("bad"))
+    rows = U.judge_urls(pages, none).collect()
+    assert len(rows) == 2 and all((r["host"], r["path"]) == expected(long) and r["rule"] == "example.com/de/" for r in rows)
