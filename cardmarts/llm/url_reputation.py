@@ -14,8 +14,9 @@ the longest (host and path together) wins.
 
 Only one row per host, domain and suffix is shuffled after map-side counting;
 the join back to the pages is on the host, whose hot values adaptive
-execution splits. The suffix is the last label of the host and the registered
-domain the last two: no public suffix list is read.
+execution splits. The suffix is the longest of ``suffixes`` (those of several
+labels, a parameter) that the host ends with, else its last label; the
+registered domain is the suffix and one label more.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule, and gets the verdict of a host without outcomes. A null
@@ -38,6 +39,11 @@ RULES = [
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 ]
+# Suffixes of several labels under which unrelated owners register names; pass a full public list where there is one.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp", "or.jp", "com.br", "com.cn", "com.mx", "com.tr",
+    "co.in", "co.kr", "co.za", "blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "vercel.app", "web.app",
+)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -52,12 +58,21 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def registered_domain(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def _by_labels(host: Column, suffixes: tuple[str, ...], more: int) -> Column:
+    """The host's suffix and ``more`` labels before it."""
+    out = F.substring_index(host, ".", -1 - more)
+    for labels in sorted({x.count(".") + 1 for x in suffixes}):  # the longest is asked for first
+        known = [x for x in suffixes if x.count(".") + 1 == labels]
+        out = F.when(F.substring_index(host, ".", -labels).isin(known), F.substring_index(host, ".", -labels - more)).otherwise(out)
+    return out
 
 
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def registered_domain(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    return _by_labels(host, suffixes, 1)
+
+
+def suffix(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    return _by_labels(host, suffixes, 0)
 
 
 def rule_fits(host: Column, path: Column, rule: tuple[str, str, str]) -> Column:
@@ -97,18 +112,19 @@ def _strength(level: DataFrame, lowest: float, highest: float) -> tuple[float, f
 
 
 def fit_reputation(outcomes: DataFrame, url_col: str = "url", bad_col: str = "bad",
-                   lowest: float = 2.0, highest: float = 1000.0,
+                   lowest: float = 2.0, highest: float = 1000.0, suffixes: tuple[str, ...] = SUFFIXES,
                    ) -> tuple[DataFrame, DataFrame, DataFrame, tuple[float, float]]:
     """Posteriors (key, a, b) per host, domain and suffix, and the beta prior of all suffixes.
 
     ``lowest`` and ``highest`` bound a prior's pseudo-outcomes.
     """
+    of_suffix, of_domain = (lambda h: suffix(h, suffixes)), (lambda h: registered_domain(h, suffixes))
     flag = col(bad_col).cast("boolean")
     counted = outcomes.filter(flag.isNotNull()).groupBy(url_host(col(url_col)).alias("host")).agg(
         F.count("*").alias("n"), F.count_if(flag).alias("bad"))
     hosts = materialize(counted, "host-outcomes")
     by = lambda key: hosts.groupBy(key(F.col("host")).alias("key")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes, domains = by(suffix), by(registered_domain)
+    tops, domains = by(of_suffix), by(of_domain)
     hosts = hosts.withColumnRenamed("host", "key")
 
     def shrink(level: DataFrame, parent: DataFrame | None, parent_key, s: tuple[float, float]) -> DataFrame:
@@ -122,24 +138,25 @@ def fit_reputation(outcomes: DataFrame, url_col: str = "url", bad_col: str = "ba
         return rows.select("key", (F.col("bad") + mean * strength).alias("a"),
                            (F.col("n") - F.col("bad") + (1 - mean) * strength).alias("b"))
 
-    top = _strength(suffixes, lowest, highest)
-    suffix_post = materialize(shrink(suffixes, None, None, top), "suffixes")
-    domain_post = materialize(shrink(domains, suffix_post, suffix, _strength(domains, lowest, highest)), "domains")
-    host_post = shrink(hosts, domain_post, registered_domain, _strength(hosts, lowest, highest))
+    top = _strength(tops, lowest, highest)
+    suffix_post = materialize(shrink(tops, None, None, top), "suffixes")
+    domain_post = materialize(shrink(domains, suffix_post, of_suffix, _strength(domains, lowest, highest)), "domains")
+    host_post = shrink(hosts, domain_post, of_domain, _strength(hosts, lowest, highest))
     return host_post, domain_post, suffix_post, (top[0] * top[1], (1 - top[0]) * top[1])
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               rules: list[tuple[str, str, str]] | None = None, max_bad: float = 0.5, z: float = 1.645) -> DataFrame:
+               rules: list[tuple[str, str, str]] | None = None, max_bad: float = 0.5, z: float = 1.645,
+               suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """Each page's id, host, path, rule, verdict, and its host's posterior (bad_rate, bad_lower)."""
-    host_post, domain_post, suffix_post, prior = fit_reputation(outcomes, url_col)
+    host_post, domain_post, suffix_post, prior = fit_reputation(outcomes, url_col, suffixes=suffixes)
     url = col(url_col)
     rows = pages.select(col(id_col).alias("id"), url_host(url).alias("host"), url_path(url).alias("path"))
     # what a host without outcomes inherits is settled on the distinct hosts, not on the pages
     known = rows.select("host").distinct()
     side = lambda df, key: df.select(F.col("key").alias(key), F.col("a").alias(f"{key}_a"), F.col("b").alias(f"{key}_b"))
-    known = (known.withColumn("h", F.col("host")).withColumn("d", registered_domain(F.col("host")))
-             .withColumn("s", suffix(F.col("host")))
+    known = (known.withColumn("h", F.col("host")).withColumn("d", registered_domain(F.col("host"), suffixes))
+             .withColumn("s", suffix(F.col("host"), suffixes))
              .join(side(host_post, "h"), "h", "left").join(side(domain_post, "d"), "d", "left")
              .join(side(suffix_post, "s"), "s", "left"))
     a, b = (F.coalesce(F.col(f"h_{x}"), F.col(f"d_{x}"), F.col(f"s_{x}"), F.lit(p)) for x, p in zip("ab", prior, strict=True))

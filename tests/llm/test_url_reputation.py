@@ -67,3 +67,18 @@ def test_very_long_urls_and_clashing_columns(spark):
     none = pages.limit(0).select("url", F.lit(True).alias("bad"))
     rows = U.judge_urls(pages, none).collect()
     assert len(rows) == 2 and all((r["host"], r["path"]) == expected(long) and r["rule"] == "example.com/de/" for r in rows)
+
+
+def test_suffixes_of_several_labels(spark):
+    hosts = ["a.b.co.uk", "co.uk", "x.github.io", "github.io", "www.example.com", "com", "", "a.b.c.d.kawasaki.jp"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    more = (*U.SUFFIXES, "d.kawasaki.jp")
+    got = [tuple(r) for r in df.select(U.registered_domain(F.col("h"), more), U.suffix(F.col("h"), more)).collect()]
+    assert got == [("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("x.github.io", "github.io"), ("github.io", "github.io"), ("example.com", "com"),
+                   ("com", "com"), ("", ""), ("c.d.kawasaki.jp", "d.kawasaki.jp")]
+    # neighbours under a shared suffix are no relatives: only the bad site's own hosts fall
+    bad = [("http://spam.github.io/", True)] * 80 + [(f"http://u{k % 8}.github.io/", False) for k in range(160)]
+    outcomes = spark.createDataFrame(bad, "url string, bad boolean")
+    pages = frame(spark, ["http://new.spam.github.io/x", "http://fresh.github.io/x"])
+    new, old = ({r["id"]: r["bad_rate"] for r in U.judge_urls(pages, outcomes, suffixes=x).collect()} for x in (U.SUFFIXES, ()))
+    assert new[0] > 0.7 > 0.5 > new[1] and old[0] == old[1]
