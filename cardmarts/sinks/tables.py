@@ -34,6 +34,7 @@ class Written:
 
 
 STATS = "_stats"
+BUCKET_BYTES = 8 << 20  # of input files to a bucket
 
 
 def write_table(
@@ -237,6 +238,19 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def bucket_count(frames: Sequence[DataFrame], least: int = 8, per_bytes: int | None = None) -> int:
+    """Buckets for tables made of ``frames``: one for each ``per_bytes`` of the files that the largest one reads, at least ``least``.
+
+    A bucket is one task's work, so a number that does not grow with the input makes tasks that do.
+    """
+    most = 0
+    for df in frames:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in df.inputFiles()]
+        most = max(most, sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths))
+    return max(least, -(-most // (per_bytes or BUCKET_BYTES)))
+
+
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> None:
     """A catalog table at ``path`` whose rows lie in ``buckets`` hash buckets of ``key``, sorted in each.
 

@@ -27,6 +27,7 @@ from cardmarts.session import shared_dir
 from cardmarts.sinks.runlog import merge_log, read_log
 from cardmarts.sinks.tables import (
     Written,
+    bucket_count,
     compact_table,
     create_catalog_views,
     create_schema,
@@ -406,12 +407,13 @@ def distinct_customers_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucketed_risk_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The risk profile from silver tables bucketed on customer_id."""
+    """The risk profile from silver tables bucketed on customer_id; the buckets grow in number with the input."""
     silver, schema = silver_tables(spark, sf_dir), _schema(spark)
-    tables = {}
-    for name in G.GOLD_TABLES["customer_risk_profile"][1]:
+    names, tables = G.GOLD_TABLES["customer_risk_profile"][1], {}
+    buckets = bucket_count([silver[name] for name in names])
+    for name in names:
         path = shared_dir(spark, "cardmarts-testbed", f"{schema}-{name}")
-        save_bucketed(silver[name], f"{schema}.{name}", "customer_id", 8, path)
+        save_bucketed(silver[name], f"{schema}.{name}", "customer_id", buckets, path)
         tables[name] = spark.table(f"{schema}.{name}")
     return checked(G.build_customer_risk_profile(*tables.values(), RUN_DATE))
 

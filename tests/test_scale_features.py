@@ -121,6 +121,23 @@ def test_bucketed_inputs_are_not_shuffled(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_buckets_grow_with_the_input(spark, sf_dir, monkeypatch):
+    from cardmarts.testbed import queries as Q
+
+    small, large = new_root(spark, "small a%20b"), new_root(spark, "large")
+    spark.range(1_000).write.parquet(small)
+    spark.range(100_000).write.parquet(large)
+    frames = [spark.read.parquet(small), spark.read.parquet(small).join(spark.read.parquet(large), "id")]
+    few = T.bucket_count(frames, least=2, per_bytes=20_000)
+    assert few > 2 and abs(T.bucket_count(frames, least=2, per_bytes=5_000) - 4 * few) <= 4
+    assert T.bucket_count([spark.range(5)]) == 8 == T.bucket_count(frames)
+    used, save = [], T.save_bucketed
+    monkeypatch.setattr(T, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(Q, "save_bucketed", lambda df, name, key, buckets, path: used.append(buckets) or save(df, name, key, buckets, path))
+    assert Q.bucketed_risk_profile(spark, sf_dir).count() > 0
+    assert len(used) == 3 and len(set(used)) == 1 and used[0] > 8  # the same number for all, or they would not join without a shuffle
+
+
 def test_distinct_counts_merge(spark):
     rng = random.Random(1)
     rows = [(rng.randint(1, 12), f"c{rng.randint(0, 900)}" if rng.random() < 0.95 else None) for _ in range(5_000)]
