@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cardmarts.sinks.commits import POINTER, ConcurrentWrite, delete, entries, put_if_absent, record
@@ -133,13 +135,17 @@ def publish_table(
     check: Callable[[], None] | None = None,
     cluster_by: Sequence[str] = (),
     measures: Mapping[str, Column] | None = None,
+    rebalance: bool | None = None,
 ) -> Written:
     """Write a new version of a table, then make it the live copy unless ``check`` raises.
 
+    ``rebalance=False`` writes a partitioned table without a shuffle, each task a file for every value it
+    meets: for a copy that ``compact_table`` joins next.
     ``measures`` are aggregates of its rows, taken in the same pass and kept beside it (``read_stats``).
     """
     path, found = f"{table_root.rstrip('/')}/v={version or new_version()}", {}
-    rows = write_table(df, path, partition_by=partition_by, fmt=fmt, cluster_by=cluster_by, measures=measures, found=found)
+    rows = write_table(df, path, partition_by=partition_by, fmt=fmt, rebalance=rebalance, cluster_by=cluster_by,
+                       measures=measures, found=found)
     if check:
         check()
     if measures:
@@ -180,21 +186,25 @@ def compact_table(
     made from must still be the newest when it is recorded: else another job has
     published rows meanwhile, and the compaction starts anew from those, up to
     ``retries`` times. ``whole`` rewrites all files into one folder (partitioned
-    by ``partition_by``), which a catalog name can point to.
+    by ``partition_by``), which a catalog name can point to. Rows are only
+    shuffled if ``whole`` asks for other partition columns than the copy has.
     """
     for left in range(retries, -1, -1):
         number, path = _live(spark, table_root)
         new = f"{table_root.rstrip('/')}/v={new_version('compact')}"
         if whole:
-            rows = write_table(read_version(spark, table_root, path, fmt), new, partition_by, fmt, rebalance=True)
+            listed = live_files(spark, path, fmt).select("path", "length", "folder").collect()  # as a scan of them lists
+            if listed and {_partition_columns(r["folder"]) for r in listed} == {tuple(partition_by)}:
+                rows = _join_files(spark, table_root, listed, new, fmt, target_bytes)
+            else:
+                rows = write_table(read_version(spark, table_root, path, fmt), new, partition_by, fmt, rebalance=True)
         else:
             files = live_files(spark, path, fmt)
             chosen = packed(files, target_bytes)
-            listed = chosen.select("path", "folder").collect()  # names of small files, as a scan of them lists
+            listed = chosen.select("path", "length", "folder").collect()  # names of small files, as a scan of them lists
             if not listed:
                 return Written(path, read_version(spark, table_root, path, fmt).count())
-            columns = [x.split("=")[0] for x in listed[0]["folder"].split("/") if x]
-            write_table(read_files(spark, table_root, [r["path"] for r in listed], fmt), new, columns, fmt, rebalance=True)
+            _join_files(spark, table_root, listed, new, fmt, target_bytes)
             own = folder_files(spark, new, fmt)
             files.join(chosen.select("path"), "path", "left_anti").unionByName(own).write.parquet(f"{new}/{MANIFEST}")
             rows = read_version(spark, table_root, new, fmt).count()  # from the files' footers
@@ -207,6 +217,34 @@ def compact_table(
                 raise
 
 
+def _partition_columns(folder: str) -> tuple[str, ...]:
+    return tuple(x.split("=")[0] for x in folder.split("/") if x)
+
+
+def _join_files(spark: SparkSession, table_root: str, files: Sequence[Row], new: str, fmt: str, target_bytes: int) -> int:
+    """Rewrite files (path, length, folder) under ``new`` into files of about ``target_bytes``; the rows written.
+
+    Rows stay in their folder, so each folder is a job of its own whose tasks read whole files: nothing is
+    shuffled or sorted. Some of these jobs run at a time.
+    """
+    folders: dict[str, list[Row]] = {}
+    for r in files:
+        folders.setdefault(r["folder"], []).append(r)
+    every = read_files(spark, table_root, [r["path"] for r in files], fmt)
+    parts = {c for folder in folders for c in _partition_columns(folder)}
+    schema = every.select(*[F.col(f"`{c}`") for c in every.columns if c not in parts]).schema
+
+    def join(folder: str) -> int:
+        own = folders[folder]
+        tasks = -(-sum(r["length"] for r in own) // target_bytes)
+        # without a base path the folder's columns are not read; they are in its name
+        rows = spark.read.format(fmt).schema(schema).load([r["path"] for r in own]).coalesce(max(1, tasks))
+        return write_table(rows, f"{new}/{folder}" if folder else new, fmt=fmt)
+
+    with ThreadPoolExecutor(8) as pool:
+        return sum(pool.map(inheritable_thread_target(spark)(join), folders))
+
+
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{loc}")

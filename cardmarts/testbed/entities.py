@@ -39,11 +39,12 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    # the long names come last, so that no other join shuffles them
     j = (
-        li.join(od, li.l_orderkey == od.o_orderkey)
+        li.join(pa, li.l_partkey == pa.p_partkey)
+        .join(od, li.l_orderkey == od.o_orderkey)
         .join(su, li.l_suppkey == su.s_suppkey)
         .join(na, su.s_nationkey == na.n_nationkey)
-        .join(pa, li.l_partkey == pa.p_partkey)
     )
     line3 = F.col("l_linenumber") % 3
     return j.select(

@@ -293,11 +293,11 @@ def write_read_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked(read_table(spark, root))
 
 
-def _published_fact(spark: SparkSession, sf_dir: str) -> tuple[str, Written]:
+def _published_fact(spark: SparkSession, sf_dir: str, rebalance: bool | None = None) -> tuple[str, Written]:
     lake = _lake(spark)
     root = lake.table_root("silver", "fact_transactions")
     fact = silver_tables(spark, sf_dir)["fact_transactions"]
-    return root, publish_table(spark, fact, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"])
+    return root, publish_table(spark, fact, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"], rebalance=rebalance)
 
 
 def fact_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,7 +337,7 @@ def _schema(spark: SparkSession) -> str:
 
 def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The month-partitioned fact registered, moved to a second version, and read by its name."""
-    root, first = _published_fact(spark, sf_dir)
+    root, first = _published_fact(spark, sf_dir, rebalance=False)  # the second version has the joined files
     name = f"{_schema(spark)}.fact_transactions"
     register_table(spark, name, first.path)
     second = compact_table(spark, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"], whole=True)

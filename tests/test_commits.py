@@ -105,6 +105,29 @@ def test_compaction_rewrites_small_files_only(spark):
         T.register_table(spark, "x", w.path) if os.path.exists(w.path) else (_ for _ in ()).throw(ValueError())
 
 
+def test_compaction_shuffles_no_rows(spark, monkeypatch):
+    """Files of one folder are joined where they are; odd partition values and more files than one stay right."""
+    root = new_root(spark, "unshuffled")
+    rows = spark.range(600).select("id", F.expr("case id % 4 when 0 then null when 1 then 'a b/c=d' when 2 then '01' else 'x%20' end").alias("m"))
+    T._set_current(spark, root, f"{root}/v=first")
+    for k in range(3):
+        rows.filter(f"id % 3 = {k}").coalesce(1).write.mode("append").partitionBy("m").parquet(f"{root}/v=first")
+    before = sorted(T.read_table(spark, root).collect(), key=str)
+    write, plans = T.write_table, []
+    monkeypatch.setattr(T, "write_table", lambda df, *a, **k: plans.append(
+        df._jdf.queryExecution().executedPlan().toString() + str(k.get("rebalance"))) or write(df, *a, **k))
+    for whole in (False, True):
+        w = T.compact_table(spark, root, partition_by=["m"], whole=whole)
+        assert w.rows == 600 and sorted(T.read_table(spark, root).collect(), key=str) == before
+        assert len(names(spark, root)) == 4
+    assert len(plans) == 8 and not any("Exchange" in p or "True" in p for p in plans)
+    T.compact_table(spark, root, partition_by=["m"], whole=True, target_bytes=1_000)
+    assert sorted(T.read_table(spark, root).collect(), key=str) == before
+    assert T.compact_table(spark, root, whole=True).rows == 600  # other partition columns
+    assert not T._partition_columns(T.live_files(spark, T.current_path(spark, root)).first()["folder"])
+    assert sorted(T.read_table(spark, root).select("id", "m").collect(), key=str) == before
+
+
 def test_compaction_starts_anew_when_rows_were_published(spark, monkeypatch):
     root = new_root(spark, "race")
     scattered(spark, root)
