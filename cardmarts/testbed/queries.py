@@ -307,8 +307,8 @@ def fact_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The partitioned fact compacted into a new version; the rows must not change."""
-    root, _ = _published_fact(spark, sf_dir)
+    """The partitioned fact, written as the tasks come, compacted into a new version; the rows must not change."""
+    root, _ = _published_fact(spark, sf_dir, rebalance=False)
     compact_table(spark, root, partition_by=S.PARTITION_COLUMNS["fact_transactions"])
     return checked(read_table(spark, root))
 
