@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardmarts.operators.labels import frequent_ids, hot_from_summary, hot_label_ids
 from cardmarts.plans.gold import GOLD_TABLES
-from cardmarts.plans.silver import PARTITION_COLUMNS, SILVER_TABLES, with_month_partition
+from cardmarts.plans.silver import PARTITION_COLUMNS, SILVER_TABLES
 from cardmarts.schemas import ENTITIES
 from cardmarts.sinks.runlog import log_step, new_run_id, register_log, run_context
 from cardmarts.sinks.tables import (
@@ -140,12 +140,10 @@ def build_silver_table(
 
     def work() -> Written:
         frames = [read(i) for i in sources]
-        more = {"hot_ids": _hot_ids(spark, lake, frames[1], inputs)} if table == "fact_transactions" else {}
+        more = {"hot_ids": _hot_ids(spark, lake, frames[1], inputs), "by_month": True} if table == "fact_transactions" else {}
         df = builder(*frames, load_date, **more)
-        if parts:
-            df = with_month_partition(df)
         return publish_table(spark, df, lake.table_root("silver", table),
-                             version=_version(load_date, run_id), partition_by=parts, fmt=lake.fmt)
+                             version=_version(load_date, run_id), partition_by=parts, fmt=lake.fmt, rebalance=False)
 
     return _logged(spark, lake, run_id, "silver", table, work, log)
 

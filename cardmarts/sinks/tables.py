@@ -74,6 +74,8 @@ def write_table(
     obs = Observation()
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (measures or {}).items()])
     writer = out.write.mode(mode).format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")  # smaller files than with the default
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

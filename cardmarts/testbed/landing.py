@@ -30,6 +30,10 @@ def new_landing_root(spark: SparkSession) -> str:
 
 def _json_dictionary_files(df: DataFrame, key: str, value: str, root: str | None, path: str,
                            pairs_per_file: int) -> None:
+    # the pairs are written once, so that what derives them does not run again for their number
+    kept = shared_dir(df.sparkSession, "cardmarts-testbed", f"pairs-{uuid.uuid4().hex[:12]}")
+    df.select(key, value).write.parquet(kept)
+    df = df.sparkSession.read.parquet(kept)
     n = df.count()
     buckets = max(1, math.ceil(n / pairs_per_file))
     pair = F.regexp_replace(F.to_json(F.create_map(F.col(key), F.col(value))), r"^\{|\}$", "")
@@ -56,12 +60,15 @@ def _json_dictionary_files(df: DataFrame, key: str, value: str, root: str | None
 def write_landing(
     spark: SparkSession, sf_dir: str, landing_root: str, entity: str,
     ingestion_date: str = RUN_DATE, df: DataFrame | None = None, pairs_per_file: int = 50_000,
+    rows_per_file: int = 500_000,
 ) -> str:
     """Write one entity's raw rows as landing files; returns the date folder."""
     path = landing_path(landing_root, entity, ingestion_date)
     raw = df if df is not None else RAW_ENTITIES[entity](spark, sf_dir)
     if entity in CSV_ENTITIES:
-        raw.select(*CSV_ENTITIES[entity].fieldNames()).write.mode("overwrite").option("header", True).csv(path)
+        # compressed; such a file is read by one task, so its rows are bounded
+        raw.select(*CSV_ENTITIES[entity].fieldNames()).write.mode("overwrite").option("header", True).option(
+            "compression", "gzip").option("maxRecordsPerFile", rows_per_file).csv(path)
     else:
         root, key, value = JSON_ENTITIES[entity]
         _json_dictionary_files(raw, key, value, root, path, pairs_per_file)
