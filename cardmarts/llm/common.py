@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +101,28 @@ def byte_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iter
         a = b
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: Arrow's pool, and where the C library can, its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task`` over batches; at its end what it has freed goes back to the system.
+
+    A Python worker waits for its next task beside the JVM and would keep that memory meanwhile.
+    """
+
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        release_memory()
+
+    return run
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

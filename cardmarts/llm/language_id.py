@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from cardmarts.llm.common import col, fresh, materialize, table
+from cardmarts.llm.common import col, fresh, materialize, releasing, table
 
 WORD = r"\p{L}[\p{L}\p{M}]*"
 UNKNOWN = "und"
-MEMO_WORDS = 250_000  # scores kept per task before the memo is emptied
+MEMO_WORDS = 60_000  # scores kept per task before the memo is emptied
 _BLOCK = 4_096  # words summed at a time
 
 
@@ -122,8 +122,9 @@ def sample_by_language(labelled: DataFrame, at_most: int) -> DataFrame:
     if sum(per_lang.values()) <= at_most:
         return labelled.select("lang", "text", F.lit(1).cast("long").alias("times"))
     quota = language_quotas(per_lang, at_most)
-    rates = F.broadcast(labelled.sparkSession.createDataFrame(
-        [(x, quota[x] / n) for x, n in per_lang.items()], "lang string, rate double"))  # one row per language
+    # one row per language; as an Arrow table it needs no Python workers
+    rates = F.broadcast(labelled.sparkSession.createDataFrame(pa.table({
+        "lang": pa.array(per_lang, pa.string()), "rate": pa.array([quota[x] / n for x, n in per_lang.items()], pa.float64())})))
     keyed = labelled.select("lang", "text", F.xxhash64("id", "text").alias("key"))
     share = F.col("n") * F.col("rate")
     draw = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
@@ -182,6 +183,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str, lang_
     kind = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.arrow_udf(kind)
+    @releasing
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         for batch in batches:

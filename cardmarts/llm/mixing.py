@@ -42,6 +42,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -173,9 +174,11 @@ def group_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         .groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
     per_source = {r["source"]: int(r["n"]) for r in sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("n")).collect()}
     target = source_targets(per_source, weights, most)
-    rates = spark.createDataFrame(
-        [(s, n, target[s], target[s] / n if n else 0.0) for s, n in per_source.items()],
-        "source string, source_size long, target double, rate double")
+    # as an Arrow table it needs no Python workers
+    rates = spark.createDataFrame(pa.table({
+        "source": pa.array(per_source, pa.string()), "source_size": pa.array(per_source.values(), pa.int64()),
+        "target": pa.array([target[s] for s in per_source], pa.float64()),
+        "rate": pa.array([target[s] / n if n else 0.0 for s, n in per_source.items()], pa.float64())}))
     shared = F.broadcast(rates.withColumnRenamed("source", "name"))  # one row per source, already on the driver
     rated = sizes.join(shared, F.col("source").eqNullSafe(F.col("name")), "left").drop("name")
     # what the rows of a group take for certain, and the fraction of one copy that is left of all of them

@@ -60,7 +60,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardmarts.llm.common import Scratch, byte_slices, col, hot_join, materialize, one_row, spread, table
+from cardmarts.llm.common import Scratch, byte_slices, col, hot_join, materialize, one_row, releasing, spread, table
 from cardmarts.llm.exact_dedup import probe, repeat_filter
 
 SHINGLE = 5
@@ -190,7 +190,7 @@ def signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("digest"), lists], names=["id", "digest", "bands"])
 
-    return rows.select("id", "digest", "text").mapInArrow(run, "id long, digest binary, bands array<long>")
+    return rows.select("id", "digest", "text").mapInArrow(releasing(run), "id long, digest binary, bands array<long>")
 
 
 def shingle_vectors(rows: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def shingle_vectors(rows: DataFrame) -> DataFrame:
                     names=["digest", "hashes", "weights", "bits", "mass"])
 
     return rows.select("digest", "text").mapInArrow(
-        run, "digest binary, hashes binary, weights binary, bits array<long>, mass double")
+        releasing(run), "digest binary, hashes binary, weights binary, bits array<long>, mass double")
 
 
 def may_reach(x: str, y: str, threshold: float) -> Column:
@@ -330,7 +330,7 @@ def _entries(rows: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.repeat(digest, len(part)), pa.array(part), pa.array(w[a:a + 100_000].astype(np.float64))],
                                                      names=["digest", "shingle", "weight"])
 
-    return rows.select("digest", "hashes", "weights").mapInArrow(run, "digest binary, shingle long, weight double")
+    return rows.select("digest", "hashes", "weights").mapInArrow(releasing(run), "digest binary, shingle long, weight double")
 
 
 def prefix_pairs(members: DataFrame, vectors: DataFrame, threshold: float, save=materialize, block: int = 1_000) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardmarts.llm.common import byte_slices, col, sha256_hex, table
+from cardmarts.llm.common import byte_slices, col, releasing, sha256_hex, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -425,7 +425,7 @@ def encode_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays(out, names=["id", "ids", "decoded"][: len(out)])
 
     rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, ids array<int>" + ", decoded string" * decoded)
+    return rows.mapInArrow(releasing(run), "id long, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode_table(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -444,7 +444,7 @@ def decode_table(encoded: DataFrame, path: str = MODEL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 256), part, pa.array(texts, pa.string())],
                                                  names=["id", "ids", "decoded"])
 
-    return encoded.select("id", "ids").mapInArrow(run, "id long, ids array<int>, decoded string")
+    return encoded.select("id", "ids").mapInArrow(releasing(run), "id long, ids array<int>, decoded string")
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
