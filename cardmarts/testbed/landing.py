@@ -60,15 +60,16 @@ def _json_dictionary_files(df: DataFrame, key: str, value: str, root: str | None
 def write_landing(
     spark: SparkSession, sf_dir: str, landing_root: str, entity: str,
     ingestion_date: str = RUN_DATE, df: DataFrame | None = None, pairs_per_file: int = 50_000,
-    rows_per_file: int = 500_000,
+    compression: str = "none", rows_per_file: int = 500_000,
 ) -> str:
     """Write one entity's raw rows as landing files; returns the date folder."""
     path = landing_path(landing_root, entity, ingestion_date)
     raw = df if df is not None else RAW_ENTITIES[entity](spark, sf_dir)
     if entity in CSV_ENTITIES:
-        # compressed; such a file is read by one task, so its rows are bounded
-        raw.select(*CSV_ENTITIES[entity].fieldNames()).write.mode("overwrite").option("header", True).option(
-            "compression", "gzip").option("maxRecordsPerFile", rows_per_file).csv(path)
+        writer = raw.select(*CSV_ENTITIES[entity].fieldNames()).write.mode("overwrite").option("header", True)
+        if compression != "none":  # such a file is read by one task, so its rows are bounded
+            writer = writer.option("compression", compression).option("maxRecordsPerFile", rows_per_file)
+        writer.csv(path)
     else:
         root, key, value = JSON_ENTITIES[entity]
         _json_dictionary_files(raw, key, value, root, path, pairs_per_file)

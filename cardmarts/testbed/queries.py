@@ -227,10 +227,10 @@ def dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEXT_DATE = "2024-01-02"
 
 
-def _landing(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+def _landing(spark: SparkSession, sf_dir: str, *entities: str, compression: str = "none") -> str:
     root = new_landing_root(spark)
     for e in entities:
-        write_landing(spark, sf_dir, root, e, RUN_DATE)
+        write_landing(spark, sf_dir, root, e, RUN_DATE, compression=compression)
     return root
 
 
@@ -421,7 +421,7 @@ def bucketed_risk_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from landing files: bronze, silver, gold; the risk profile read back."""
     lake = _lake(spark)
-    root = _landing(spark, sf_dir, *E.RAW_ENTITIES)
+    root = _landing(spark, sf_dir, *E.RAW_ENTITIES, compression="gzip")
     run_all(spark, lake, root, RUN_DATE, file_glob=JSON_FILE_GLOB)
     return checked(lake.read(spark, "gold", "customer_risk_profile"))
 

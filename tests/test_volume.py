@@ -19,7 +19,7 @@ def new_root(spark, name):
 def test_landing_csv_is_compressed_in_bounded_files(spark):
     rows = spark.range(25).selectExpr(*[f"concat('{c}', id) as {c}" for c in CSV_ENTITIES["users"].fieldNames()]).coalesce(1)
     root = new_landing_root(spark)
-    path = write_landing(spark, "", root, "users", df=rows, rows_per_file=10)
+    path = write_landing(spark, "", root, "users", df=rows, compression="gzip", rows_per_file=10)
     names = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(names) == 3 and all(f.endswith(".csv.gz") for f in names)
     got = read_landing(spark, root, "users", E.RUN_DATE).select(*rows.columns)
